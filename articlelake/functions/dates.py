@@ -45,7 +45,7 @@ def was_naive(text: Column) -> Column:
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """First reading that works: ISO, then each format, in UTC when it has no zone."""
-    text = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3,9},?\s+(?=\d)", "")
+    text = F.regexp_replace(F.trim(text), r"^(?i)(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+", "")
     tries = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
     return F.coalesce(assume_utc(text), *tries)
 

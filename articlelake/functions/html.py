@@ -8,6 +8,8 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
+
 #: Rest of an open tag, quoted values included; possessive, so it never backtracks.
 TAG_REST = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+"""
 
@@ -35,6 +37,8 @@ _BLOCK_EDGE = rf"(?i)<(/?)({'|'.join(BLOCK_TAGS)})(?=[\s/>]){TAG_REST}>"
 _BREAK = rf"(?i)<br(?=[\s/>]){TAG_REST}>"
 _ANY_TAG = rf"</?[A-Za-z!?]{TAG_REST}>"
 
+_HEAD = rf"^<[^>\s/]+(?=[\s/>]){TAG_REST}>"
+
 _BASIC = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "#39": "'", "amp": "&"}
 _BASIC_NAMES = "|".join(_BASIC)
 _ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
@@ -51,12 +55,16 @@ def strip_tags(html: Column) -> Column:
 
 def decode_entities(text: Column) -> Column:
     """Character references resolved once: `&amp;lt;` gives `&lt;`."""
+    return let(text, _decoded)
+
+
+def _decoded(text: Column) -> Column:
     basic = text
     for name, char in _BASIC.items():
         basic = F.replace(basic, F.lit(f"&{name};"), F.lit(char))
     others = rf"&(?!(?:{_BASIC_NAMES});)(?:#|[A-Za-z])[A-Za-z0-9]*;"
-    marked = F.split(F.regexp_replace(text, _ENTITY, "\u0001&$1\u0001"), "\u0001")
-    full = F.array_join(F.transform(marked, _decoded_piece), "")
+    pieces = F.split(F.regexp_replace(text, _ENTITY, "\u0001&$1\u0001"), "\u0001")
+    full = F.array_join(F.transform(pieces, _decoded_piece), "")
     return (
         F.when(~F.contains(text, F.lit("&")), text)
         .when(~text.rlike(others), basic)
@@ -66,46 +74,48 @@ def decode_entities(text: Column) -> Column:
 
 def _decoded_piece(piece: Column) -> Column:
     names = {n[:-1]: c for n, c in html5.items() if n.endswith(";")}
-    joined = F.lit("\u0002".join(f"{n}\u0001{c}" for n, c in names.items()))
-    table = F.str_to_map(joined, F.lit("\u0002"), F.lit("\u0001"))
-    name = F.substring(piece, F.lit(2), F.length(piece))
-    decimal = F.when(name.rlike("^#[0-9]+$"), F.substring(name, 2, 8).cast("bigint"))
-    hexadecimal = F.conv(F.substring(name, 3, 8), 16, 10).cast("bigint")
-    code = F.when(name.rlike("^#[xX]"), hexadecimal).otherwise(decimal)
-    usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return (
-        F.when(~piece.rlike("^&."), piece)
-        .when(usable, char)
-        .when(name.startswith("#"), F.lit("\ufffd"))
-        .otherwise(F.coalesce(F.try_element_at(table, name), F.concat(piece, F.lit(";"))))
-    )
-
+    listed = F.lit("\u0002".join(f"{n}\u0001{c}" for n, c in names.items()))
+    table = F.str_to_map(listed, F.lit("\u0002"), F.lit("\u0001"))
+
+    def char(code: Column) -> Column:
+        usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(usable, text).otherwise(F.lit("\ufffd"))
+
+    def resolve(name: Column) -> Column:
+        code = F.when(
+            name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)
+        ).otherwise(F.substring(name, 2, 8))
+        known = F.coalesce(F.try_element_at(table, name), F.concat(piece, F.lit(";")))
+        return F.when(name.startswith("#"), let(code.try_cast("bigint"), char)).otherwise(
+            known
+        )
 
-def element_text(html: Column) -> Column:
-    """All text inside an element."""
-    return decode_entities(strip_tags(html))
+    return F.when(
+        piece.rlike("^&."), let(F.substring(piece, F.lit(2), F.length(piece)), resolve)
+    ).otherwise(piece)
 
 
 def inner_html(outer: Column) -> Column:
     """An element without its own open and close tag."""
-    return F.regexp_replace(outer, rf"(?s)^<[^>\s/]+(?=[\s/>]){TAG_REST}>|</[^<>]*>\s*$", "")
+    return F.regexp_replace(outer, rf"(?s){_HEAD}|</[^<>]*>\s*$", "")
 
 
-def attribute(element: Column, name: Column) -> Column:
-    """Decoded value of an attribute of the leading tag; null when absent."""
-    head = F.regexp_extract(element, rf"(?s)^<[^>\s/]+(?=[\s/>]){TAG_REST}>", 0)
-    quoted = F.concat(
-        F.lit(r"(?is)^<[^>\s/]+(?:[^>\"']*(?:\"[^\"]*\"|'[^']*'))*?[^>\"']*?\s"),
-        F.concat(F.lit(r"\Q"), name, F.lit(r"\E")),
-        F.lit(r"""(\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?(?=[\s/>])"""),
+def raw_attribute(element: Column, name: Column) -> Column:
+    """Value of an attribute of the leading tag, undecoded; null when absent."""
+    pattern = F.concat(
+        F.lit(r"(?is)^<[^>\s/]+(?:[^>\"']*(?:\"[^\"]*\"|'[^']*'))*?[^>\"']*?\s\Q"),
+        name,
+        F.lit(r"""\E(\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?(?=[\s/>])"""),
     )
 
-    def part(group: int) -> Column:
-        return F.call_function("regexp_extract", head, quoted, F.lit(group))
+    def value(head: Column) -> Column:
+        def group(n: int) -> Column:
+            return F.call_function("regexp_extract", head, pattern, F.lit(n))
+
+        return F.when(group(1) != "", F.concat(group(2), group(3), group(4)))
 
-    value = F.concat(part(2), part(3), part(4))
-    return F.when(part(1) != "", decode_entities(value))
+    return let(F.regexp_extract(element, rf"(?s){_HEAD}", 0), value)
 
 
 # ---------------------------------------------------------------- structured data
@@ -147,19 +157,25 @@ def text_blocks(html: Column) -> Column:
     """
     cut = F.split(F.regexp_replace(html, _BLOCK_EDGE, "\u0001$1$2\u0002"), "\u0001")
 
+    def piece(text: Column) -> Column:
+        tag = F.lower(F.substring_index(text, "\u0002", 1))
+        own = F.contains(text, F.lit("\u0002")) & ~text.startswith("/")
+        return F.struct(
+            F.when(own, tag).otherwise(F.lit("")).alias("tag"),
+            F.substring_index(text, "\u0002", -1).alias("html"),
+        )
+
     def block(piece: Column) -> Column:
-        tag = F.when(
-            F.contains(piece, F.lit("\u0002")),
-            F.lower(F.substring_index(piece, "\u0002", 1)),
-        ).otherwise(F.lit(""))
-        body = F.substring_index(piece, "\u0002", -1)
         return F.struct(
-            F.when(tag.startswith("/"), F.lit("")).otherwise(tag).alias("tag"),
-            body.alias("html"),
-            _trim(element_text(body)).alias("text"),
+            piece["tag"].alias("tag"),
+            piece["html"].alias("html"),
+            _trim(decode_entities(strip_tags(piece["html"]))).alias("text"),
         )
 
-    kept = F.filter(F.transform(cut, block), lambda b: b["text"] != "")
+    # One array function per step, so no step is evaluated twice.
+    kept = F.filter(
+        F.transform(F.transform(cut, piece), block), lambda b: b["text"] != ""
+    )
     return F.transform(
         kept,
         lambda b, i: F.struct(
@@ -222,13 +238,21 @@ def block_markdown(
 ) -> Column:
     """Markdown of one block."""
     table = default_converters() if converters is None else converters
-    inline = _trim(element_text(_inline_markdown(block["html"])))
-    flat = F.regexp_replace(inline, r"(?U)\s+", " ")
-    result = flat
-    for tag, convert in table.items():
-        source = inline if tag == "pre" else flat
-        result = F.when(block["tag"] == tag, convert(source)).otherwise(result)
-    return result
+
+    def converted(text: Column) -> Column:
+        flat = F.regexp_replace(text, r"(?U)\s+", " ")
+        result = flat
+        for tag, convert in table.items():
+            source = text if tag == "pre" else flat
+            result = F.when(block["tag"] == tag, convert(source)).otherwise(result)
+        return result
+
+    # Without inline tags the block's plain text already is the answer.
+    marked = F.when(
+        F.contains(block["html"], F.lit("<")),
+        _trim(decode_entities(strip_tags(_inline_markdown(block["html"])))),
+    ).otherwise(block["text"])
+    return let(marked, converted)
 
 
 def blocks_markdown(

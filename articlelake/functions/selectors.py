@@ -16,6 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .binding import arrow_function
 from .html import TAG_REST
 
 # Tags that never have content.
@@ -239,7 +240,7 @@ def _inside(element: dict, outer: dict) -> bool:
     return element["start"] > outer["start"] and element["end"] <= outer["end"]
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
+@arrow_function(T.ArrayType(T.StringType()))
 def read_first(pages: pd.Series, selectors: pd.Series) -> pd.Series:
     """First match of each selector as outer HTML; null pages give null."""
 
@@ -253,7 +254,7 @@ def read_first(pages: pd.Series, selectors: pd.Series) -> pd.Series:
     return pd.Series([one(h, w) for h, w in zip(pages, selectors)], dtype="object")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
+@arrow_function(T.ArrayType(T.StringType()))
 def read_all(pages: pd.Series, selectors: pd.Series, removed: pd.Series) -> pd.Series:
     """Every match of a selector as outer HTML, without the removed elements."""
 
@@ -275,7 +276,7 @@ def read_all(pages: pd.Series, selectors: pd.Series, removed: pd.Series) -> pd.S
     return pd.Series([one(h, c, r) for h, c, r in rows], dtype="object")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
+@arrow_function(T.ArrayType(T.StringType()))
 def read_links(
     pages: pd.Series, lists: pd.Series, containers: pd.Series, links: pd.Series
 ) -> pd.Series:

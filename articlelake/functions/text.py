@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .binding import arrow_function
+
 # The dash code points that count as "-".
 DASHES = (
     "\u002d\u058a\u05be\u2010\u2011\u2012\u2013\u2014\u2015\u2e3a\u2e3b\ufe58\ufe63\uff0d"
@@ -23,12 +25,12 @@ _RARE_SPACE = r"[\x1c-\x1f]"
 _MARKS = r"[,.\"'/\\:-]"
 
 
-@F.pandas_udf(T.StringType())
+@arrow_function(T.StringType())
 def _nfkd(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKD", t), na_action="ignore")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
+@arrow_function(T.ArrayType(T.StringType()))
 def _nfkd_all(lists: pd.Series) -> pd.Series:
     def one(texts):
         return [t if t is None else unicodedata.normalize("NFKD", t) for t in texts]
@@ -39,6 +41,10 @@ def _nfkd_all(lists: pd.Series) -> pd.Series:
 _WIDE = r"[^\x00-\x7F]"
 
 
+def _flat(text: Column) -> Column:
+    return F.replace(text, F.lit("\n"), F.lit(" "))
+
+
 def _one_line(text: Column) -> Column:
     return F.translate(text, "\n" + DASHES, " " + "-" * len(DASHES))
 
@@ -46,14 +52,17 @@ def _one_line(text: Column) -> Column:
 def clean_text(text: Column) -> Column:
     """Compatibility form, one line, plain dashes."""
     wide = text.rlike(_WIDE)
-    return _one_line(F.when(wide, _nfkd(F.when(wide, text))).otherwise(text))
+    normal = _nfkd(F.when(wide, text))
+    return F.when(wide, _one_line(normal)).otherwise(_flat(text))
 
 
 def clean_texts(texts: Column) -> Column:
     """`clean_text` for each string of an array column."""
     wide = F.exists(texts, lambda t: t.rlike(_WIDE))
-    normal = F.when(wide, _nfkd_all(F.when(wide, texts))).otherwise(texts)
-    return F.transform(normal, _one_line)
+    normal = _nfkd_all(F.when(wide, texts))
+    return F.when(wide, F.transform(normal, _one_line)).otherwise(
+        F.transform(texts, _flat)
+    )
 
 
 def tokenize(text: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.binding import let
 from ..functions.indicators import Indicator, extract_indicators
 from ..functions.tags import with_frequent
 from ..functions.text import clean_text, clean_texts, tokenize
@@ -146,7 +147,7 @@ class IdfWeights:
 
     def weigh(self, words: Column) -> Column:
         """Token to weight (count times idf) for an array of words."""
-        return _let(F.sort_array(words), self._weigh_sorted)
+        return let(F.sort_array(words), self._weigh_sorted)
 
     def _weigh_sorted(self, words: Column) -> Column:
         starts = F.filter(
@@ -165,7 +166,7 @@ class IdfWeights:
 
             return F.map_from_entries(F.transform(starts, entry))
 
-        return _let(starts, entries)
+        return let(starts, entries)
 
     def _idf(self, token: Column) -> Column:
         at = token_slot(token, self.slots) * 8 + 1
@@ -174,11 +175,6 @@ class IdfWeights:
         return F.log(F.lit(self.texts + 1) / (df + 1)) + 1
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Compute `value` once and use it several times inside one expression."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def fit_idf(texts: DataFrame, text: str = "text", slots: int = SLOTS) -> IdfWeights:
     """Count in how many texts each slot occurs.
 

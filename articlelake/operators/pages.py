@@ -186,11 +186,15 @@ def page_links(
     elements = F.when(F.col("__gate"), F.col("__read")).otherwise(by_pattern)
     hrefs = F.filter(
         F.transform(
-            F.slice(elements, 1, max_per_page), lambda e: H.attribute(e, F.lit("href"))
+            F.slice(elements, 1, max_per_page),
+            lambda e: H.raw_attribute(e, F.lit("href")),
         ),
         lambda h: h.isNotNull(),
     )
-    links = F.transform(hrefs, lambda h: resolve_url(F.col("address"), h))
+    links = F.transform(
+        F.transform(hrefs, H.decode_entities),
+        lambda h: resolve_url(F.col("address"), h),
+    )
     return boxed.select(
         *pages.columns,
         missing.alias("list_missing"),
@@ -231,18 +235,24 @@ def with_meta(ruled: DataFrame, as_of: Column, fall_through: bool = False) -> Da
         ),
     )
 
-    def value(f: str) -> Column:
+    def raw(f: str) -> Column:
         read = F.coalesce(F.get("__read", F.lit(META_FIELDS.index(f))), F.lit(""))
         element = F.when(F.col("__doubt"), read).otherwise(F.col(f"__{f}"))
         taken = F.when(
-            F.col(f"{f}_attr").isNotNull(), H.attribute(element, F.col(f"{f}_attr"))
-        ).otherwise(H.element_text(element))
+            F.col(f"{f}_attr").isNotNull(),
+            H.raw_attribute(element, F.col(f"{f}_attr")),
+        ).otherwise(H.strip_tags(element))
         return F.when(_set(f"{f}_rule"), F.nullif(taken, F.lit("")))
 
-    found = found.withColumns({f"__v_{f}": value(f) for f in META_FIELDS}).withColumn(
+    found = found.withColumn("__raw", F.array(*[raw(f) for f in META_FIELDS]))
+    found = found.withColumn("__values", F.transform("__raw", H.decode_entities))
+    found = found.withColumns(
+        {f"__v_{f}": F.get("__values", F.lit(i)) for i, f in enumerate(META_FIELDS)}
+    ).withColumn(
         "__ld",
         F.when(
-            F.col("__v_author").isNull() | F.col("__v_publish_date").isNull()
+            F.col("__v_author").isNull()
+            | F.col("__v_publish_date").isNull()
             | F.lit(fall_through),
             H.json_ld_scripts(F.col("html")),
         ),
