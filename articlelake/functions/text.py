@@ -75,7 +75,7 @@ def tokenize(text: Column) -> Column:
 def _split_words(text: Column, space: str, ink: str) -> Column:
     text = F.regexp_replace(text, f"(?U)['\u2019]{ink}*", "")
     # The look-behind tries each run of marks once, so long rules stay linear.
-    edge = f"(?U){space}{_MARKS}+|(?<!{_MARKS}){_MARKS}+{space}"
+    edge = f"(?U){space}{_MARKS}+|{_MARKS}(?<!{_MARKS}{{2}}){_MARKS}*+{space}"
     text = F.regexp_replace(text, edge, " ")
     text = F.regexp_replace(text, r"(?d)\{.*\}", "")
     text = F.regexp_replace(text, "[\u201c\"()]", " ")
