@@ -309,8 +309,8 @@ def tokenize_counts(spark, sf):
 
 def _ranked(docs: DataFrame) -> DataFrame:
     return docs.select(
-        "doc_id", F.posexplode("automatic").alias("rank", "token")
-    ).withColumn("rank", (F.col("rank") + 1).cast("bigint"))
+        "doc_id", F.posexplode_outer("automatic").alias("rank", "token")
+    ).filter("token is not null").withColumn("rank", (F.col("rank") + 1).cast("bigint"))
 
 
 @_query(f"""WITH {_TAGS_CTE}
@@ -476,8 +476,9 @@ def sparse_embed(spark, sf):
         F.transform("embeddings.content_chunks", lambda c: c["elser"]),
     )
     return (
-        done.select("doc_id", F.posexplode(vectors).alias("part", "v"))
-        .select("doc_id", "part", F.explode("v").alias("token", "weight"))
+        done.select("doc_id", F.posexplode_outer(vectors).alias("part", "v"))
+        .select("doc_id", "part", F.explode_outer("v").alias("token", "weight"))
+        .filter("token is not null")
         .select(
             "doc_id",
             F.col("part").cast("bigint").alias("part"),

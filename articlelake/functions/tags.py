@@ -8,90 +8,70 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .binding import let
 
-def _sql_text(word: str) -> str:
-    return "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
+def without_words(tokens: Column, words: Sequence[str]) -> Column:
+    """Tokens that are neither empty nor in `words`, tested by one hash set."""
+    excluded = ["", *sorted(set(words) - {""})]
+    return F.filter(tokens, lambda t: ~t.isin(excluded))
 
-def without_words(tokens: str, words: Sequence[str]) -> Column:
-    """Tokens of column `tokens` that are neither empty nor in `words`."""
-    excluded = ",".join(_sql_text(w) for w in ["", *sorted(set(words) - {""})])
-    return F.expr(f"filter(`{tokens}`, t -> t NOT IN ({excluded}))")
 
+def frequent_tokens(
+    tokens: Column, k: int | None = 10, min_count: int = 3
+) -> Column:
+    """The `k` most frequent tokens seen at least `min_count` times, best first.
 
-def with_frequent(
-    docs: DataFrame,
-    tokens: str,
-    words: Sequence[str],
-    k: int | None = 10,
-    min_count: int = 3,
-    out: str = "tags",
-) -> DataFrame:
-    """Add `out`: the `k` most frequent tokens seen at least `min_count` times.
-
-    Ties go to the token that appears first. `tokens` is an array column; it is
-    replaced by nothing and no row leaves its partition. Each element of `out`
-    is `struct<token, n, first_seen>`.
+    Ties go to the token that appears first. Elements are
+    `struct<token, n, seen>`, `seen` being the first position. Empty for null.
     """
     reach = min_count - 1
-    words_, sorted_, first, last = (f"__{out}_{p}" for p in ("words", "sorted", "from", "to"))
-
-    def at(position: Column) -> Column:
-        return F.get(F.col(sorted_), position)
-
-    def opens_run(token: Column, i: Column) -> Column:
-        fresh = (i == 0) | (at(i - 1) != token)
-        return F.when(fresh & (at(i + reach) == token), i)
-
-    def closes_run(token: Column, i: Column) -> Column:
-        done = F.coalesce(at(i + 1) != token, F.lit(True))
-        return F.when(done & (i >= reach) & (at(i - reach) == token), i)
-
-    def present(positions: Column) -> Column:
-        return F.filter(positions, lambda i: i.isNotNull())
-
-    # Each step is its own projection, so the sorted list is computed once.
-    staged = (
-        docs.withColumn(words_, without_words(tokens, words))
-        .withColumn(sorted_, F.sort_array(F.col(words_)))
-        .withColumns(
-            {
-                first: present(F.transform(F.col(sorted_), opens_run)),
-                last: present(F.transform(F.col(sorted_), closes_run)),
-            }
-        )
-    )
 
-    # Frequent tokens in order of appearance, then by name like the runs are.
-    frequent = F.array_intersect(F.col(words_), F.transform(F.col(first), at))
-    by_name = F.sort_array(
-        F.transform(frequent, lambda t, i: F.struct(t.alias("token"), i.alias("seen")))
-    )
-    runs = F.zip_with(
-        F.col(first), F.col(last), lambda a, b: (a - b - 1).alias("less")
-    )
-    ranked = F.sort_array(
-        F.zip_with(
-            runs,
-            by_name,
-            lambda less, t: F.struct(
-                less.alias("less"), t["seen"].alias("seen"), t["token"].alias("token")
-            ),
-        )
-    )
-    best = ranked if k is None else F.slice(ranked, 1, k)
+    def ranked(words: Column, ordered: Column) -> Column:
+        def at(position: Column) -> Column:
+            return F.get(ordered, position)
+
+        def opens_run(token: Column, i: Column) -> Column:
+            fresh = (i == 0) | (at(i - 1) != token)
+            return F.when(fresh & (at(i + reach) == token), i)
+
+        def closes_run(token: Column, i: Column) -> Column:
+            done = F.coalesce(at(i + 1) != token, F.lit(True))
+            return F.when(done & (i >= reach) & (at(i - reach) == token), i)
+
+        def positions(test) -> Column:
+            return F.filter(F.transform(ordered, test), lambda i: i.isNotNull())
+
+        def joined(first: Column) -> Column:
+            # Frequent tokens in order of appearance, then by name like the runs are.
+            frequent = F.array_intersect(words, F.transform(first, at))
+            by_name = F.sort_array(
+                F.transform(
+                    frequent, lambda t, i: F.struct(t.alias("token"), i.alias("seen"))
+                )
+            )
+            lengths = F.zip_with(first, positions(closes_run), lambda a, b: a - b - 1)
+            return F.zip_with(
+                lengths,
+                by_name,
+                lambda less, t: F.struct(
+                    less.alias("less"), t["seen"].alias("seen"), t["token"].alias("token")
+                ),
+            )
+
+        return F.sort_array(let(positions(opens_run), joined))
+
+    best = let(tokens, lambda w: let(F.sort_array(w), lambda s: ranked(w, s)))
+    if k is not None:
+        best = F.slice(best, 1, k)
     result = F.transform(
         best,
         lambda r: F.struct(
-            r["token"].alias("token"),
-            (-r["less"]).alias("n"),
-            r["seen"].alias("seen"),
+            r["token"].alias("token"), (-r["less"]).alias("n"), r["seen"].alias("seen")
         ),
     )
     empty = F.array().cast("array<struct<token:string,n:int,seen:int>>")
-    return staged.withColumn(out, F.coalesce(result, empty)).drop(
-        words_, sorted_, first, last
-    )
+    return F.coalesce(result, empty)

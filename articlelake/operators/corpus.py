@@ -1,4 +1,8 @@
-"""Keyword tags, indicators and sparse vectors over a corpus of documents."""
+"""Keyword tags, indicators and sparse vectors over a corpus of documents.
+
+Computed arrays are unpacked by the outer forms of explode: for the plain forms
+Spark adds a size test below, which computes the whole array a second time.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.binding import let
 from ..functions.indicators import Indicator, extract_indicators
-from ..functions.tags import with_frequent
+from ..functions.tags import frequent_tokens, without_words
 from ..functions.text import clean_text, clean_texts, tokenize
 
 #: Word lists up to this size become one hash-set test inside the row.
@@ -23,7 +27,9 @@ def token_counts(docs: DataFrame, key: str = "id", text: str = "content") -> Dat
 
     The key of the shuffle is (document, token), so a huge document spreads.
     """
-    words = docs.select(key, F.posexplode(tokenize(F.col(text))).alias("pos", "token"))
+    words = docs.select(
+        key, F.posexplode_outer(tokenize(F.col(text))).alias("pos", "token")
+    ).filter("token is not null")
     return words.groupBy(key, "token").agg(
         F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos")
     )
@@ -50,19 +56,17 @@ def with_top_tags(
         if len(head) > IN_ROW_WORDS:
             return _joined_top_tags(docs, words, text, k, min_count, key, out)
         common_words = [row["token"] for row in head if row["token"] is not None]
-    tokens = docs.withColumn("__tokens", tokenize(F.col(text)))
-    ranked = with_frequent(tokens, "__tokens", common_words, k, min_count, "__best")
-    return ranked.withColumn(
-        out, F.transform("__best", lambda t: t["token"])
-    ).drop("__tokens", "__best")
+    words = without_words(tokenize(F.col(text)), common_words)
+    best = frequent_tokens(words, k, min_count)
+    return docs.withColumn(out, F.transform(best, lambda t: t["token"]))
 
 
 def _joined_top_tags(docs, words, text, k, min_count, key, out) -> DataFrame:
     # Only frequent tokens meet the word list; few of a document's tokens do.
-    tokens = docs.select(key, tokenize(F.col(text)).alias("__tokens"))
+    tokens = without_words(tokenize(F.col(text)), [])
     frequent = (
-        with_frequent(tokens, "__tokens", [], None, min_count, "__all")
-        .select(key, F.inline("__all"))
+        docs.select(key, F.inline_outer(frequent_tokens(tokens, None, min_count)))
+        .filter("token is not null")
         .join(words, "token", "left_anti")
     )
     order = W.partitionBy(key).orderBy(F.desc("n"), "seen")
@@ -96,8 +100,9 @@ def indicators_long(
     """One row per document, group and value."""
     return (
         with_indicators(docs, text, indicators, "__found")
-        .select(key, F.inline("__found"))
-        .select(key, "name", F.explode("values").alias("value"))
+        .select(key, F.inline_outer("__found"))
+        .select(key, "name", F.explode_outer("values").alias("value"))
+        .filter("value is not null")
     )
 
 
@@ -186,7 +191,7 @@ def fit_idf(texts: DataFrame, text: str = "text", slots: int = SLOTS) -> IdfWeig
     # Slot -1 occurs in every text and so counts the texts themselves.
     marked = F.array_append(occupied, F.lit(-1))
     counts = (
-        words.select(F.explode(marked).alias("slot"))
+        words.select(F.explode_outer(marked).alias("slot"))
         .groupBy("slot")
         .agg(F.count(F.lit(1)).alias("df"))
     )

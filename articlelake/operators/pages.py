@@ -124,7 +124,8 @@ def extract_links(
         .distinct()
     )
     links = (
-        found.select("profile", F.explode("links").alias("url"))
+        found.select("profile", F.explode_outer("links").alias("url"))
+        .filter("url is not null")
         .distinct()
         .join(failed.select("profile"), "profile", "left_anti")
     )
@@ -366,9 +367,11 @@ def extract_content(pages: DataFrame, profiles: DataFrame) -> DataFrame:
 def page_blocks(pages: DataFrame, profiles: DataFrame) -> DataFrame:
     """Block table: one row per text block of a page's content."""
     ruled = with_content(with_rules(pages, profiles))
-    return ruled.select(
-        "page_id", F.explode("blocks").alias("block")
-    ).select("page_id", "block.pos", "block.tag", "block.text")
+    return (
+        ruled.select("page_id", F.explode_outer("blocks").alias("block"))
+        .filter("block is not null")
+        .select("page_id", "block.pos", "block.tag", "block.text")
+    )
 
 
 def pages_to_markdown(

@@ -79,8 +79,10 @@ def feed_urls(feeds: DataFrame, max_per_feed: int = 10) -> DataFrame:
     reason = F.when(F.col("__ids").isNull(), F.lit("not a feed")).when(
         broken, F.lit("entry without id")
     )
-    return capped.withColumn("reason", reason).select(
-        *kept, F.posexplode(rows).alias("pos", "url"), "reason"
+    return (
+        capped.withColumn("reason", reason)
+        .select(*kept, F.posexplode_outer(rows).alias("pos", "url"), "reason")
+        .filter("pos is not null")
     )
 
 
