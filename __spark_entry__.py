@@ -715,7 +715,7 @@ def expand_url_template(spark, sf):
     return readers.expand_url_template(seeds, "template").select("nation", "url")
 
 
-@_query("""SELECT DISTINCT trim(unnest(string_split(text, ' '))) AS token FROM benchmark""")
+@_query("""SELECT DISTINCT unnest(string_split(replace(text, chr(10), ' '), ' ')) AS token FROM benchmark""")
 def word_list(spark, sf):
     path = scratch_dir(spark, "words")
     words = _table(spark, sf, "benchmark").select(
@@ -813,3 +813,469 @@ def profile_slugs(spark, sf):
 SELECT doc_id, strftime(publish_date, '%Y-%m-%d %H:%M:%S') AS publish_date FROM articles""")
 def spread_dates(spark, sf):
     return _articles(spark, sf).select("doc_id", _stamp("publish_date").alias("publish_date"))
+
+
+# ------------------------------------------------------------- presence and merging
+
+
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles of the documents that have a label: stands for a stored corpus."""
+    marks = _table(spark, sf, "labels").select("doc_id")
+    return _articles(spark, sf).join(marks, "doc_id", "left_semi")
+
+
+@_query(f"""WITH {_ARTICLES_SQL} SELECT doc_id, url FROM articles
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def not_stored(spark, sf):
+    batch = _articles(spark, sf).select("doc_id", "url")
+    return merge.not_stored(batch, _labelled(spark, sf)).select("doc_id", "url")
+
+
+@_query(f"""WITH {_ARTICLES_SQL} SELECT doc_id, url FROM articles
+WHERE doc_id IN (SELECT doc_id FROM labels)""")
+def already_stored(spark, sf):
+    batch = _articles(spark, sf).select("doc_id", "url")
+    return merge.already_stored(batch, _labelled(spark, sf)).select("doc_id", "url")
+
+
+@_query("""WITH batch AS (
+  SELECT 'https://' || source || '.example.org/' || lang AS url, doc_id, n_chars FROM documents),
+newest AS (SELECT url, doc_id, n_chars, row_number() OVER (PARTITION BY url ORDER BY n_chars DESC, doc_id DESC) AS nth
+           FROM batch)
+SELECT url, doc_id FROM newest WHERE nth = 1 AND url NOT IN (
+  SELECT 'https://' || source || '.example.org/' || lang FROM documents JOIN labels USING (doc_id)
+  WHERE toxic = 1)""")
+def new_articles(spark, sf):
+    """Many documents share an address here; addresses with toxic documents are stored."""
+    url = F.concat(F.lit("https://"), "source", F.lit(".example.org/"), "lang").alias("url")
+    docs = _table(spark, sf, "documents").select(url, "doc_id", "n_chars")
+    toxic = _table(spark, sf, "labels").filter("toxic = 1").select("doc_id")
+    store = docs.join(toxic, "doc_id", "left_semi")
+    fresh, _ = merge.new_articles(docs, store, ["n_chars", "doc_id"])
+    return fresh.select("url", "doc_id")
+
+
+@_query(f"""WITH {_ARTICLES_SQL},
+batch AS (SELECT a.id, 'Revised ' || e.event_id AS title, e.event_id AS seq
+          FROM events e JOIN articles a ON a.doc_id = e.user_id),
+latest AS (SELECT id, title FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS nth
+           FROM batch) WHERE nth = 1)
+SELECT id, title FROM latest UNION ALL
+SELECT id, title FROM articles WHERE id NOT IN (SELECT id FROM latest)""")
+def upsert_latest(spark, sf):
+    """Every event revises the article numbered like its user; the last one counts."""
+    store = _articles(spark, sf).select("id", "title", "doc_id")
+    events = _table(spark, sf, "events").select(
+        F.col("user_id").alias("doc_id"),
+        F.concat(F.lit("Revised "), "event_id").alias("title"),
+        F.col("event_id").alias("seq"),
+    )
+    batch = events.join(store.select("id", "doc_id"), "doc_id").select("id", "title", "seq")
+    saved = merge.upsert(store.select("id", "title"), batch, order=["seq"])
+    return saved.select("id", "title")
+
+
+@_query(f"""WITH {_ARTICLES_SQL}
+SELECT a.id, CASE WHEN l.doc_id IS NULL THEN a.title WHEN l.toxic = 1 THEN NULL
+  ELSE 'Checked ' || l.quality END AS title, a.description
+FROM articles a LEFT JOIN labels l USING (doc_id)""")
+def update_fields(spark, sf):
+    """Labelled articles get a new title, toxic ones a null title; the rest stay."""
+    store = _articles(spark, sf)
+    title = F.when(F.col("toxic") == 0, F.concat(F.lit("Checked "), "quality"))
+    batch = (
+        _table(spark, sf, "labels")
+        .join(store.select("doc_id", "id"), "doc_id")
+        .select("id", title.alias("title"), F.lit("unused").alias("description"))
+    )
+    return merge.update_fields(store, batch, ["title"]).select("id", "title", "description")
+
+
+def _copied(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    source = merge.align_schema(_judged(spark, sf), ARTICLE_SCHEMA).withColumn(
+        "read_times", F.col("n_chars")
+    )
+    target = merge.align_schema(_labelled(spark, sf), ARTICLE_SCHEMA)
+    return merge.copy_fields(source, target, COPIED_FIELDS)
+
+
+@_query(f"""WITH {_ML_SQL}
+SELECT id, coalesce(label, '') AS labels, incident, n_chars AS read_times FROM judged
+WHERE doc_id IN (SELECT doc_id FROM labels)""")
+def copy_fields(spark, sf):
+    updated, _ = _copied(spark, sf)
+    return updated.select(
+        "id",
+        F.array_join("ml.labels", ",").alias("labels"),
+        F.col("ml.incident").alias("incident"),
+        "read_times",
+    )
+
+
+@_query(f"""WITH {_ARTICLES_SQL} SELECT url FROM articles
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def copy_fields_absent(spark, sf):
+    return _copied(spark, sf)[1]
+
+
+@_query(f"""WITH {_ARTICLES_SQL} SELECT id FROM articles
+WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
+def delete_by_id(spark, sf):
+    store = _articles(spark, sf)
+    toxic = _table(spark, sf, "labels").filter("toxic = 1")
+    ids = store.join(toxic, "doc_id", "left_semi").select("id")
+    return merge.delete_by_id(store, ids).select("id")
+
+
+@_query("""WITH store AS (
+  SELECT page_id, url, CASE WHEN contains(url, '#') THEN md5(reverse(url)) ELSE md5(url) END AS id FROM pages),
+ranked AS (SELECT md5(url) AS new_id, url, page_id, row_number() OVER (
+    PARTITION BY url ORDER BY (id <> md5(url))::INT DESC, page_id DESC) AS nth FROM store)
+SELECT new_id AS id, url, page_id FROM ranked WHERE nth = 1""")
+def rekey(spark, sf):
+    """Pages whose address has a fragment carry a wrong id."""
+    url = F.col("url")
+    wrong = F.contains(url, F.lit("#"))
+    store = _table(spark, sf, "pages").select(
+        F.when(wrong, F.md5(F.reverse(url))).otherwise(F.md5(url)).alias("id"), "url", "page_id"
+    )
+    return merge.rekey(merge.latest_per_key(store, "url", ["page_id"]), ["page_id"])
+
+
+_ZONED_SQL = """CASE event_type WHEN 'click' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+02:00'
+  WHEN 'view' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || 'Z' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END"""
+
+
+def _zoned(spark: SparkSession, sf: str) -> DataFrame:
+    iso = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss")
+    kind = F.col("event_type")
+    raw = (
+        F.when(kind == "click", F.concat(iso, F.lit("+02:00")))
+        .when(kind == "view", F.concat(F.replace(iso, F.lit("T"), F.lit(" ")), F.lit("Z")))
+        .otherwise(iso)
+    )
+    return _table(spark, sf, "events").select(
+        F.col("event_id").alias("id"), raw.alias("publish_date"), raw.alias("inserted_at")
+    )
+
+
+@_query("""SELECT event_id AS id, strftime(CASE event_type WHEN 'click' THEN ts - INTERVAL 2 HOUR ELSE ts END,
+  '%Y-%m-%d %H:%M:%S') AS publish_date FROM events""")
+def add_timezone(spark, sf):
+    done = jobs.add_timezone(_zoned(spark, sf))
+    return done.select("id", _stamp("publish_date").alias("publish_date"))
+
+
+@_query("""SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS publish_date FROM events
+WHERE event_type NOT IN ('click', 'view')""")
+def add_timezone_modified(spark, sf):
+    """Only the articles whose dates had no zone, as they are written back."""
+    done = jobs.modified_dates(_zoned(spark, sf))
+    return done.select("id", _stamp("publish_date").alias("publish_date"))
+
+
+@_query(f"""WITH {_ARTICLES_SQL}
+SELECT id, title, NULL AS summary, 0 AS incident FROM articles""")
+def align_schema(spark, sf):
+    """An older table without half of the properties."""
+    old = _articles(spark, sf).select("id", "title", F.struct(F.lit("x").alias("odd")).alias("tags"))
+    grown = merge.align_schema(old, ARTICLE_SCHEMA)
+    incident = F.coalesce("ml.incident", F.lit(0))
+    return grown.select("id", "title", "summary", incident.alias("incident"))
+
+
+@_query("""SELECT doc_id, text, NULL AS title_vector FROM documents""")
+def without_vectors(spark, sf):
+    vector = F.create_map(F.col("lang"), F.lit(1.0).cast("float"))
+    chunk = F.struct(F.col("text").alias("text"), vector.alias("elser"))
+    articles = _table(spark, sf, "documents").select(
+        "doc_id",
+        F.struct(
+            F.struct(vector.alias("elser"), F.lit(None).cast("string").alias("kept")).alias("title"),
+            F.struct(vector.alias("elser"), F.lit(None).cast("string").alias("kept")).alias("description"),
+            F.array(chunk).alias("content_chunks"),
+        ).alias("embeddings"),
+    )
+    bare = corpus.without_vectors(articles)
+    assert bare.schema["embeddings"].dataType["title"].dataType.fieldNames() == ["kept"]
+    return bare.select(
+        "doc_id",
+        F.get("embeddings.content_chunks", F.lit(0))["text"].alias("text"),
+        F.col("embeddings.title.kept").alias("title_vector"),
+    )
+
+
+# --------------------------------------------------------------- quality and labels
+
+
+def _doubtful(spark: SparkSession, sf: str) -> DataFrame:
+    """Articles with broken fields, decided by their language and length."""
+    docs = _table(spark, sf, "documents")
+    lang = F.col("lang")
+    return docs.select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.when(lang == "es", F.lit("")).otherwise(F.concat(F.lit("Document "), "doc_id")).alias("title"),
+        F.when(F.col("n_chars") < 300, F.lit(None)).otherwise(lang).alias("description"),
+        F.concat(F.when(lang == "de", F.lit("ftp")).otherwise(F.lit("https")), F.lit("://a.b/"), "doc_id").alias("url"),
+        F.when(F.col("n_chars") > 5000, F.lit("2999-01-01")).otherwise(F.lit("2024-01-01")).alias("publish_date"),
+    )
+
+
+_ERRORS_SQL = """
+errors AS (
+  SELECT doc_id::VARCHAR AS id, 'title' AS field, 'is required' AS message FROM documents WHERE lang = 'es'
+  UNION ALL SELECT doc_id::VARCHAR, 'description', 'is required' FROM documents WHERE n_chars < 300
+  UNION ALL SELECT doc_id::VARCHAR, 'url', 'is not an http address' FROM documents WHERE lang = 'de'
+  UNION ALL SELECT doc_id::VARCHAR, 'publish_date', 'is in the future' FROM documents WHERE n_chars > 5000)"""
+
+
+@_query(f"""WITH {_ERRORS_SQL}
+SELECT d.doc_id::VARCHAR AS id, e.field, e.message FROM documents d LEFT JOIN errors e ON e.id = d.doc_id::VARCHAR""")
+def validate_split(spark, sf):
+    """Valid articles with a null field, invalid ones with each of their errors."""
+    good, bad = quality.validate(_doubtful(spark, sf), quality.article_rules(_ts(AS_OF)))
+    listed = bad.select("id", F.inline_outer("errors")).filter("field is not null")
+    none = F.lit(None).cast("string")
+    return good.select("id", none.alias("field"), none.alias("message")).unionByName(listed)
+
+
+@_query(f"""WITH {_ERRORS_SQL},
+fixable AS (SELECT id FROM errors GROUP BY id HAVING bool_and(field IN ('title', 'url')))
+SELECT f.id, CASE WHEN lang = 'es' THEN 'Sin título' ELSE 'Document ' || doc_id END AS title,
+  CASE WHEN lang = 'de' THEN 'http://fixed.example/' || doc_id ELSE 'https://a.b/' || doc_id END AS url
+FROM fixable f JOIN documents d ON f.id = d.doc_id::VARCHAR
+WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
+def apply_corrections(spark, sf):
+    """Titles and addresses are corrected, toxic documents are deleted."""
+    rules = quality.article_rules(_ts(AS_OF))
+    _, bad = quality.validate(_doubtful(spark, sf), rules)
+    fields = F.inline(
+        F.array(
+            F.struct(F.lit("es").alias("lang"), F.lit("title").alias("field"), F.lit("Sin título").alias("text")),
+            F.struct(F.lit("de").alias("lang"), F.lit("url").alias("field"), F.lit("http://fixed.example/").alias("text")),
+        )
+    )
+    decided = _table(spark, sf, "documents").select("doc_id", F.col("lang").alias("own"), fields)
+    number = F.when(F.col("field") == "url", F.col("doc_id")).otherwise(F.lit(""))
+    fixes = decided.filter("own = lang").select(
+        F.col("doc_id").cast("string").alias("id"), "field", F.concat("text", number).alias("new_value")
+    )
+    deletes = (
+        _table(spark, sf, "labels").filter("toxic = 1").select(F.col("doc_id").cast("string").alias("id"))
+    )
+    good, _ = quality.apply_corrections(bad, fixes, deletes, rules, ["title", "url"])
+    return good.select("id", "title", "url")
+
+
+@_query(f"""SELECT DISTINCT {_HOST_SQL} AS profile, 'more-' || length({_HOST_SQL}) AS name FROM pages
+WHERE length({_HOST_SQL}) NOT IN (SELECT length(lower(n_name)) + 8 FROM nation)""")
+def verify_references(spark, sf):
+    files = _table(spark, sf, "nation").select(
+        F.concat(F.lit("more-"), F.length("n_name") + 8).alias("name")
+    )
+    known = files.unionByName(files.select(F.lit("consent").alias("name")))
+    return quality.missing_references(_profiles(spark, sf), known)
+
+
+@_query(f"""SELECT h.profile, count(p.url) AS urls FROM (SELECT DISTINCT {_HOST_SQL} AS profile FROM pages) h
+LEFT JOIN (SELECT {_HOST_SQL} AS profile, url FROM pages WHERE contains(url, '?')) p USING (profile) GROUP BY h.profile""")
+def url_counts(spark, sf):
+    found = _table(spark, sf, "pages").select(urls.url_host(F.col("url")).alias("profile"), "url")
+    return quality.url_counts(
+        found.select("profile"), found.filter(F.contains(F.col("url"), F.lit("?")))
+    )
+
+
+@_query(f"""SELECT {_HOST_SQL} AS profile, count(*) FILTER (WHERE contains(html, '<!-- ad 1')) AS success,
+count(*) FILTER (WHERE NOT contains(html, '<!-- ad 1')) AS failure FROM pages GROUP BY ALL""")
+def parse_success(spark, sf):
+    """Pages without a certain comment lose their heading and so fail."""
+    profiles = _profiles(spark, sf)
+    kept = F.contains(F.col("html"), F.lit("<!-- ad 1"))
+    damaged = F.regexp_replace("html", "</?h1>", "")
+    found = _pages(spark, sf, profiles).withColumn(
+        "html", F.when(kept, F.col("html")).otherwise(damaged)
+    )
+    results = build.parse_results(found, profiles, _ts(AS_OF))
+    names = profiles.select(F.col("source.profile_name").alias("profile"))
+    return quality.parse_success(names, results)
+
+
+@_query("SELECT DISTINCT source FROM documents")
+def unique_sources(spark, sf):
+    return quality.unique_values(_table(spark, sf, "documents"), "source")
+
+
+@_query(f"""WITH {_ARTICLES_SQL} SELECT count(*) AS left_over FROM articles
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)""")
+def urls_left(spark, sf):
+    batch = _articles(spark, sf).select("url")
+    left = merge.not_stored(batch, _labelled(spark, sf))
+    return left.agg(F.count("url").alias("left_over"))
+
+
+@_query("""SELECT count(*) AS rows, count(*) FILTER (WHERE event_type NOT IN ('click', 'view')) AS modified
+FROM events""")
+def run_report(spark, sf):
+    """Counts taken while the rows pass through a write."""
+    naive = dates.was_naive(F.col("publish_date"))
+    seen, report = quality.observed(_zoned(spark, sf), "zones", modified=naive)
+    seen.write.format("noop").mode("overwrite").save()
+    counts = report.get
+    return spark.range(1).select(
+        F.lit(counts["rows"]).alias("rows"), F.lit(counts["modified"]).alias("modified")
+    )
+
+
+@_query(f"""WITH {_ML_SQL},
+newest AS (SELECT id, title, label FROM judged ORDER BY publish_date DESC, id LIMIT 1000)
+SELECT id, title FROM newest WHERE label IS NULL""")
+def label_queue(spark, sf):
+    return labels.label_queue(_judged(spark, sf)).select("id", "title")
+
+
+@_query(f"WITH {_ML_SQL} SELECT id, title FROM judged WHERE incident = 0")
+def incident_queue(spark, sf):
+    return labels.incident_queue(_judged(spark, sf)).select("id", "title")
+
+
+@_query(f"""WITH {_ARTICLES_SQL} SELECT id, title FROM articles WHERE profile IN ('src1', 'src2')
+ORDER BY publish_date, id LIMIT 25""")
+def query_articles(spark, sf):
+    return labels.query_articles(
+        _articles(spark, sf), 25, "publish_date", "asc", ["src1", "src2"], ["title"]
+    )
+
+
+_CHOICE_SQL = """CASE WHEN quality = 1 AND toxic = 1 THEN '0, 3' WHEN quality = 1 THEN '6'
+  WHEN toxic = 1 THEN '7' ELSE '' END"""
+
+
+def _choices(spark: SparkSession, sf: str) -> DataFrame:
+    quality_, toxic = F.col("quality") == 1, F.col("toxic") == 1
+    choice = (
+        F.when(quality_ & toxic, F.lit("0, 3")).when(quality_, F.lit("6")).when(toxic, F.lit("7"))
+    )
+    articles = _judged(spark, sf).select("doc_id", "id")
+    return _table(spark, sf, "labels").join(articles, "doc_id").select(
+        "id", F.coalesce(choice, F.lit("")).alias("choice"), toxic.alias("is_incident")
+    )
+
+
+@_query(f"""WITH {_ML_SQL}
+SELECT id, CASE {_CHOICE_SQL} WHEN '0, 3' THEN 'trends,research' WHEN '6' THEN 'malware'
+  WHEN '' THEN CASE WHEN l.doc_id IS NULL THEN coalesce(label, '') ELSE 'none' END
+  ELSE coalesce(label, '') END AS labels, incident
+FROM judged LEFT JOIN labels l USING (doc_id)""")
+def apply_labels(spark, sf):
+    done, _ = labels.apply_labels(_judged(spark, sf), _choices(spark, sf))
+    return done.select(
+        "id", F.array_join("ml.labels", ",").alias("labels"), F.col("ml.incident").alias("incident")
+    )
+
+
+@_query(f"""WITH {_ARTICLES_SQL} SELECT id, '7' AS choice FROM articles JOIN labels USING (doc_id)
+WHERE toxic = 1 AND quality <> 1""")
+def apply_labels_rejects(spark, sf):
+    _, rejected = labels.apply_labels(_judged(spark, sf), _choices(spark, sf))
+    return rejected.select("id", "choice")
+
+
+@_query(f"""WITH {_ML_SQL}
+SELECT id, CASE WHEN l.doc_id IS NULL THEN incident WHEN toxic = 1 THEN 2 ELSE 1 END AS incident
+FROM judged LEFT JOIN labels l USING (doc_id)""")
+def apply_incident(spark, sf):
+    done = labels.apply_incident(_judged(spark, sf), _choices(spark, sf))
+    return done.select("id", F.col("ml.incident").alias("incident"))
+
+
+# ------------------------------------------------------------ exports and the store
+
+_PLAIN_SQL = f"""WITH {_ARTICLES_SQL}
+SELECT id, title, url, content, strftime(publish_date, '%Y-%m-%d %H:%M:%S') AS publish_date FROM articles"""
+
+
+def _whole(spark: SparkSession, sf: str) -> DataFrame:
+    return merge.align_schema(_articles(spark, sf).drop("doc_id", "n_chars"), ARTICLE_SCHEMA)
+
+
+def _plain(articles: DataFrame) -> DataFrame:
+    return articles.select(
+        "id", "title", "url", "content", _stamp("publish_date").alias("publish_date")
+    )
+
+
+@_query(_PLAIN_SQL)
+def json_roundtrip(spark, sf):
+    path = scratch_dir(spark, "json")
+    writers.write_articles_json(_whole(spark, sf), path)
+    return _plain(readers.read_articles_json(spark, path))
+
+
+@_query(_PLAIN_SQL.replace("AS publish_date FROM", "AS publish_date, 'articles' AS index FROM"))
+def backup(spark, sf):
+    path = scratch_dir(spark, "backup")
+    found = _whole(spark, sf).withColumn("highlights", F.col("content"))
+    writers.write_backup({"articles": found}, path)
+    saved = spark.read.schema(found.schema).json(path)
+    return _plain(saved.filter("highlights is null")).withColumn("index", F.lit("articles"))
+
+
+@_query("""SELECT event_id, k FROM (SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events)""")
+def raw_backup(spark, sf):
+    """Event properties as untyped documents of a second store."""
+    path = scratch_dir(spark, "raw")
+    raw = _table(spark, sf, "events").select(
+        F.to_json(F.struct("event_id", "props")).alias("value")
+    )
+    writers.write_raw_backup(raw, path)
+    saved = readers.read_raw_documents(spark, path)
+    return saved.select(
+        F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"),
+        F.get_json_object(F.get_json_object("value", "$.props"), "$.k").cast("bigint").alias("k"),
+    )
+
+
+@_query(f"""WITH {_ARTICLES_SQL}
+SELECT profile, id, '# ' || title || chr(10) || chr(10) || '> ' || description || chr(10) || chr(10) ||
+  '**Source:** ' || source || '  ' || chr(10) || '**Published:** ' || strftime(publish_date, '%Y-%m-%d %H:%M:%S') ||
+  '  ' || chr(10) || '**Address:** ' || url AS markdown FROM articles""")
+def markdown_export(spark, sf):
+    path = scratch_dir(spark, "markdown")
+    writers.write_markdown(_whole(spark, sf), path)
+    return spark.read.parquet(path).select("profile", "id", "markdown")
+
+
+@_query(f"""WITH {_ARTICLES_SQL} SELECT id, url FROM articles
+WHERE doc_id NOT IN (SELECT doc_id FROM labels) AND n_chars >= 300""")
+def import_articles(spark, sf):
+    """Short documents lose their description and so are rejected."""
+    described = F.when(F.col("n_chars") >= 300, F.col("description"))
+    batch = merge.align_schema(
+        _articles(spark, sf).withColumn("description", described), ARTICLE_SCHEMA
+    )
+    good, _ = jobs.import_articles(batch, _labelled(spark, sf), _ts(AS_OF))
+    return good.select("id", "url")
+
+
+@_query("SELECT DISTINCT md5(url) AS id, url FROM pages")
+def incremental_ingest(spark, sf):
+    """Pages arrive in two files; a third run and a repeated file add nothing."""
+    root = scratch_dir(spark, "ingest")
+    profiles = _profiles(spark, sf)
+    crawled = _table(spark, sf, "pages")
+    store = ArticleStore(spark, f"{root}/store")
+
+    def run() -> None:
+        ingest_incremental(
+            spark, f"{root}/pages", crawled.schema, profiles, COMMON, store,
+            f"{root}/checkpoint", _ts(AS_OF),
+        )
+
+    query_pages = F.contains(F.col("url"), F.lit("?"))
+    crawled.filter(query_pages).write.mode("append").parquet(f"{root}/pages")
+    run()
+    crawled.write.mode("append").parquet(f"{root}/pages")
+    run()
+    run()
+    return store.read().select("id", "url")
