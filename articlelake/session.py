@@ -46,6 +46,16 @@ def broadcast_if_bounded(df: DataFrame, **bounds: int) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, **bounds) else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on an input that has fewer splits than there are cores.
+
+    Such an input is small, so moving it is cheap next to parsing it. A large
+    one has splits to spare and is left where it lies.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below `spark.checkpoint.dir`, or a local one when it is unset."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
