@@ -113,7 +113,7 @@ def raw_attribute(element: Column, name: Column) -> Column:
         def group(n: int) -> Column:
             return F.call_function("regexp_extract", head, pattern, F.lit(n))
 
-        return F.when(group(1) != "", F.concat(group(2), group(3), group(4)))
+        return F.when(group(0) != "", F.concat(group(2), group(3), group(4)))
 
     return let(F.regexp_extract(element, rf"(?s){_HEAD}", 0), value)
 

@@ -100,6 +100,12 @@ def compile_rule(selectors: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([compile_selector(s) or empty for s in selectors])
 
 
+@F.pandas_udf(T.ArrayType(COMPILED))
+def compile_rules(lists: pd.Series) -> pd.Series:
+    """`compile_rule` for a column of lists; empty selectors are left out."""
+    return lists.map(lambda css: [c for c in map(compile_selector, css) if c])
+
+
 # ------------------------------------------------------- patterns applied by Spark
 
 

@@ -10,7 +10,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import html as H
 from ..functions import selectors as S
@@ -56,23 +55,12 @@ def compile_profiles(profiles: DataFrame) -> DataFrame:
             for f in META_FIELDS
         ],
     )
-    compiled = base.withColumns(
+    return base.withColumns(
         {
             f"{name}_rule": S.compile_rule(F.col(f"{name}_css"))
             for name in ("list", "box", "link", "content", *META_FIELDS)
         }
-    )
-    removals = (
-        base.select("profile", F.posexplode("remove_css").alias("n", "css"))
-        .withColumn("rule", S.compile_rule("css"))
-        .groupBy("profile")
-        .agg(F.sort_array(F.collect_list(F.struct("n", "rule"))).alias("rules"))
-        .select("profile", F.transform("rules", lambda r: r["rule"]).alias("remove_rules"))
-    )
-    none = F.array().cast(T.ArrayType(S.COMPILED))
-    return compiled.join(removals, "profile", "left").withColumn(
-        "remove_rules", F.coalesce("remove_rules", none)
-    )
+    ).withColumn("remove_rules", S.compile_rules("remove_css"))
 
 
 def with_profile(pages: DataFrame, profiles: DataFrame) -> DataFrame:

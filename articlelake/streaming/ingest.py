@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators.merge import latest_per_key
-from ..operators.pages import with_profile
+from ..operators.merge import latest_per_key, not_stored
+from ..operators.pages import split_by_status, with_profile
 from ..plans.build import build_articles
 from ..sources.store import ArticleStore
 
@@ -23,23 +23,30 @@ def ingest_incremental(
     checkpoint_dir: str,
     as_of: Column,
     max_files_per_batch: int = 1000,
+    rejects_dir: str | None = None,
 ) -> None:
     """Process every page file not seen before, then stop.
 
     Each batch drops stored addresses, parses the rest and adds them as a
-    folder named after the batch. A batch that is tried again writes the same
-    folder, so nothing is stored twice.
+    folder named after stream and batch. A batch that is tried again writes
+    the same folder, so nothing is stored twice. Rejected pages are kept below
+    `rejects_dir` when one is given.
     """
 
     def add(pages: DataFrame, batch: int) -> None:
-        folder = f"batch-{batch}"
-        if "profile" not in pages.columns:
-            pages = with_profile(pages, profiles)
-        once = latest_per_key(pages, "url", ["page_id"])
-        articles, _ = build_articles(
-            once, profiles, common_words, as_of, store=store.read(without=folder)
+        # The id lives in the checkpoint: a new checkpoint never reuses a folder.
+        stream_id = spark.read.json(f"{checkpoint_dir}/metadata").first()["id"]
+        folder = f"stream-{stream_id}-{batch}"
+        fresh = not_stored(
+            split_by_status(pages)[0], store.read(without=folder), "url"
         )
+        once = latest_per_key(fresh, "url", ["page_id"])
+        if "profile" not in once.columns:
+            once = with_profile(once, profiles)
+        articles, rejected = build_articles(once, profiles, common_words, as_of)
         store.append(articles, folder)
+        if rejects_dir is not None:
+            rejected.write.mode("overwrite").parquet(f"{rejects_dir}/{folder}")
 
     stream = (
         spark.readStream.schema(page_schema)
@@ -53,6 +60,3 @@ def ingest_incremental(
         .start()
     )
     query.awaitTermination()
-
-
-__all__ = ["ingest_incremental"]
