@@ -118,10 +118,14 @@ def _header_value(header: Column, key: str) -> Column:
 
 def read_markdown_raw(spark: SparkSession, path: str) -> DataFrame:
     """`(path, content)` of one Markdown file or of a whole tree."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    if not path.endswith(".md"):
-        reader = reader.option("pathGlobFilter", "*.md")
-    return reader.text(path).select(
+    single = path.endswith(".md")
+    files = spark.read.text(
+        path,
+        wholetext=True,
+        recursiveFileLookup=not single,
+        pathGlobFilter=None if single else "*.md",
+    )
+    return files.select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("content")
     )
 
