@@ -1057,7 +1057,7 @@ def apply_corrections(spark, sf):
         )
     )
     decided = _table(spark, sf, "documents").select("doc_id", F.col("lang").alias("own"), fields)
-    number = F.when(F.col("field") == "url", F.col("doc_id")).otherwise(F.lit(""))
+    number = F.when(F.col("field") == "url", F.col("doc_id").cast("string")).otherwise(F.lit(""))
     fixes = decided.filter("own = lang").select(
         F.col("doc_id").cast("string").alias("id"), "field", F.concat("text", number).alias("new_value")
     )

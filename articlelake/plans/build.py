@@ -17,7 +17,7 @@ from ..operators.merge import align_schema, not_stored
 from ..operators.pages import split_by_status, with_content, with_meta, with_rules
 from ..schemas import ARTICLE_SCHEMA
 
-#: Address given to articles that were written by hand rather than crawled.
+# Fixed value: address given to articles that were written by hand, not crawled.
 PLACEHOLDER_URL = "https://www.youtube.com/watch?v=dQw4w9WgXcQ"
 
 
