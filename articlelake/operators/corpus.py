@@ -187,7 +187,9 @@ def fit_idf(texts: DataFrame, text: str = "text", slots: int = SLOTS) -> IdfWeig
     driver receives that many numbers, whatever the corpus holds.
     """
     words = texts.select(_words(clean_text(F.col(text))).alias("words"))
-    occupied = F.array_distinct(F.transform("words", lambda t: token_slot(t, slots)))
+    occupied = F.array_distinct(
+        F.transform(F.array_distinct("words"), lambda t: token_slot(t, slots))
+    )
     # Slot -1 occurs in every text and so counts the texts themselves.
     marked = F.array_append(occupied, F.lit(-1))
     counts = (
