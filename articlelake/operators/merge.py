@@ -31,16 +31,18 @@ def not_stored(batch: DataFrame, store: DataFrame, key: str = "url") -> DataFram
 
 
 def _stored_keys(batch: DataFrame, store: DataFrame, key: str) -> DataFrame:
-    """The store's keys; only those of the batch when the batch is small.
+    """The batch's keys that are in the store, found by looking at keys alone.
 
-    A small batch is sent to the store's key column, which is then read in
-    place; what comes back is no longer than the batch.
+    Batch rows may carry whole pages, so they are kept out of the search. A
+    small batch is sent to the store's key column, which is then read in place;
+    what comes back is no longer than the batch. For a large one the keys of
+    both sides are shuffled, and the rows themselves move only if the keys
+    found are too many to broadcast.
     """
-    keys = batch.select(key)
-    stored = store.select(key)
-    if not fits_broadcast(keys):
-        return stored
-    return F.broadcast(stored.join(F.broadcast(keys), key, "left_semi").distinct())
+    keys, stored = batch.select(key), store.select(key)
+    if fits_broadcast(keys):
+        return F.broadcast(stored.join(F.broadcast(keys), key, "left_semi").distinct())
+    return broadcast_if_bounded(stored.join(keys, key, "left_semi").distinct())
 
 
 def new_articles(

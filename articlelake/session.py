@@ -58,6 +58,6 @@ def spread(df: DataFrame) -> DataFrame:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below `spark.checkpoint.dir`, or a local one when it is unset."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None)
     root = shared or os.path.join(tempfile.gettempdir(), "articlelake")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

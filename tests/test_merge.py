@@ -45,6 +45,20 @@ def test_small_batch_leaves_the_store_in_place(spark, sf):
     assert "SortMergeJoin" not in plan.split("== Physical Plan ==")[1]
 
 
+def test_large_batch_keeps_wide_rows_out_of_the_search(spark, sf, monkeypatch):
+    stored = spark.read.parquet(f"{sf}/documents.parquet").withColumnRenamed("source", "url")
+    batch = spark.read.parquet(f"{sf}/pages.parquet")
+    answers = iter([False])
+    monkeypatch.setattr(merge, "fits_broadcast", lambda df: next(answers))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merge.not_stored(batch, stored)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    top = plan.split("SortMergeJoin")[0]
+    assert "BroadcastHashJoin" in top and "Exchange hashpartitioning" not in top.split("FileScan")[0]
+
+
 def test_new_articles(spark, size):
     batch = table(spark, STORE, ("x", "u1", "X", 1), ("y", "u8", "old", 1), ("z", "u8", "new", 2), ("w", None, "W", 1))
     fresh, rejected = merge.new_articles(batch, store(spark))

@@ -1,3 +1,4 @@
+import hashlib
 import re
 import unicodedata
 from collections import Counter
@@ -50,9 +51,7 @@ def test_resolve_url(one, root, target, out):
 
 
 def test_ids_and_slugs(one):
-    assert one(urls.article_id, u="https://a.b") == "06ce9e6e5d6b6e8e5e0e8f4d4f7b3b1f" or len(
-        one(urls.article_id, u="https://a.b")
-    ) == 32
+    assert one(urls.article_id, u="https://a.é") == hashlib.md5("https://a.é".encode()).hexdigest()
     assert one(urls.profile_slug, s="The Daily News") == "thedailynews"
     assert one(urls.site_icon, a="https://a.b/") == "https://a.b/favicon.ico"
     assert one(urls.site_icon, a="https://a.b") == "https://a.b/favicon.ico"
@@ -134,8 +133,7 @@ def expected_tags(tokens, words, k=10, least=3):
 def tag_docs(spark):
     texts = [
         "b a b a b a c c d d d the the the the",
-        " ".join(f"w{i} w{i} w{i}" for i in range(11)).replace("w", "w x")[:0]
-        + " ".join(["k j i h g f e d c b a"] * 3),
+        " ".join(["k j i h g f e d c b a"] * 3),
         "rare words only",
         "",
         None,
