@@ -79,7 +79,7 @@ def upsert(
 ) -> DataFrame:
     """Store with each batch row saved over the row of the same key."""
     latest = latest_per_key(batch, key, order)
-    kept = store.join(broadcast_if_bounded(batch.select(key)), key, "left_anti")
+    kept = delete_by_id(store, batch, key)
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
@@ -113,7 +113,18 @@ def update_fields(
 
 
 def delete_by_id(store: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
-    return store.join(broadcast_if_bounded(ids.select(key)), key, "left_anti")
+    """Store without the given keys.
+
+    A long list of keys is first reduced to those the store has, by keys alone:
+    for a batch of mostly new articles few remain, and the store stays in place.
+    """
+    keys = ids.select(key)
+    if fits_broadcast(keys):
+        gone = F.broadcast(keys)
+    else:
+        held = store.select(key).join(keys, key, "left_semi").distinct()
+        gone = broadcast_if_bounded(held)
+    return store.join(gone, key, "left_anti")
 
 
 def rekey(store: DataFrame, order: Sequence[str] = ("inserted_at",)) -> DataFrame:
@@ -127,8 +138,8 @@ def rekey(store: DataFrame, order: Sequence[str] = ("inserted_at",)) -> DataFram
     moved = store.filter(moving).withColumn("__old", F.col("id")).withColumn("id", wanted)
     moved = latest_per_key(moved, "id", [*order, "__old"]).drop("__old")
     kept = store.filter(~moving)
-    landed = broadcast_if_bounded(store.filter(moving).select(wanted.alias("id")))
-    return kept.join(landed, "id", "left_anti").unionByName(moved)
+    landed = store.filter(moving).select(wanted.alias("id"))
+    return delete_by_id(kept, landed).unionByName(moved)
 
 
 def copy_fields(
