@@ -38,11 +38,20 @@ def _query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | _llm("QUERIES")
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | _llm("ORACLES")
+
+
+def _llm(part: str) -> dict:
+    """Queries over text corpora, where that subpackage is there."""
+    try:
+        from articlelake.llm import queries as llm
+    except ImportError:
+        return {}
+    return getattr(llm, part)
 
 
 def entry(spark: SparkSession) -> DataFrame:
