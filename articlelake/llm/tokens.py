@@ -36,10 +36,11 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 STRETCH = 4096
 BLOCK_IDS = 1 << 16
+SLICE_BYTES = 8 << 20
 END_ID = 2
 MAGIC = b"S8B1"
-#: Word pieces remembered by a worker before it forgets the older half.
-REMEMBERED = 400_000
+#: Word pieces remembered by a worker before it starts anew.
+REMEMBERED = 1_000_000
 
 #: Letters of the first 256 characters, then marks that never join a letter's piece.
 _PLAIN_WORD = re.compile('([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|"#]*)$')
@@ -133,50 +134,82 @@ class Encoder:
         self.mark = self._plain([self.MARK])[0]
         if len(self.mark) != 1:
             raise ValueError("the mark between pieces must be one id")
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}  # of a piece in the next two
+        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _keep(self, pieces: list[str], ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
+        at, to = len(self.place), len(self.place) + len(pieces)
+        while to > len(self.start):
+            self.start, self.length = np.append(self.start, self.start), np.append(self.length, self.length)
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.append(self.flat, self.flat)
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[at:to], self.length[at:to] = starts + self.used, lengths
+        self.place.update(zip(pieces, range(at, to), strict=True))
+        self.used += len(ids)
+
+    def _keep_lists(self, pieces: list[str]) -> None:
+        if pieces:
+            lists = self._plain(pieces)
+            lengths = np.array([len(x) for x in lists], np.int64)
+            ids = np.array([i for x in lists for i in x], np.uint32)
+            self._keep(pieces, ids, np.cumsum(lengths) - lengths, lengths)
+
     def _learn(self, pieces: list[str]) -> None:
         """Plain words are learnt in lower case and without the marks after them,
         which the tokenizer makes a piece of its own."""
-        parts = {p: (m[1].lower(), m[2]) if (m := _PLAIN_WORD.match(p)) else (p, "") for p in pieces}
-        new = {x for both in parts.values() for x in both if x not in self.known}
-        odd = [p for p in new if self.MARK in p or "<|" in p]
-        self.known.update(zip(odd, self._plain(odd), strict=True))
-        even = list(new.difference(odd))
+        matches = [_PLAIN_WORD.match(p) for p in pieces]
+        cut = {p: (m[1].lower(), m[2]) for p, m in zip(pieces, matches, strict=True) if m}
+        new = {x for both in cut.values() for x in both} | {p for p in pieces if p not in cut}
+        new = [p for p in new if p not in self.place]
+        self._keep_lists([p for p in new if self.MARK in p or "<|" in p])
+        even = [p for p in new if p not in self.place]
         for at in range(0, len(even), 1000):
             some = even[at : at + 1000]
-            ids = np.array(self._plain([f" {self.MARK} ".join(some)])[0])
+            ids = np.array(self._plain([f" {self.MARK} ".join(some)])[0], np.uint32)
             cuts = np.flatnonzero(ids == self.mark[0])
-            if len(cuts) != len(some) - 1:  # a piece gave the id of the mark
-                self.known.update(zip(some, self._plain(some), strict=True))
-                continue
-            flat, begin = ids.tolist(), 0
-            for piece, end in zip(some, [*cuts.tolist(), len(flat)], strict=True):
-                self.known[piece] = flat[begin:end]
-                begin = end + 1
-        for piece, (word, marks) in parts.items():
-            if piece not in new:
-                self.known[piece] = self.known[word] + self.known[marks]
+            if len(cuts) == len(some) - 1:
+                starts, ends = np.append(0, cuts + 1), np.append(cuts, len(ids))
+                self._keep(some, ids, starts, ends - starts)
+            else:  # a piece gave the id of the mark
+                self._keep_lists(some)
+        joined = [p for p in cut if p not in self.place]
+        if joined:
+            both = np.array([self.place[x] for p in joined for x in cut[p]], np.int64)
+            lengths = self.length[both].reshape(-1, 2).sum(axis=1)
+            self._keep(joined, self._ids_at(both), np.cumsum(lengths) - lengths, lengths)
+
+    def _ids_at(self, places: np.ndarray) -> np.ndarray:
+        lengths = self.length[places]
+        shift = self.start[places] - (np.cumsum(lengths) - lengths)
+        return self.flat[np.repeat(shift, lengths) + np.arange(int(lengths.sum()))]
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         # str.split also cuts at four control characters that the tokenizer keeps.
         cut = [None if _KEPT.search(t) else t.split() for t in texts]
-        wanted = set().union(*[c for c in cut if c])
-        if len(self.known) > REMEMBERED:
-            self.older, self.known = self.known, {}
-        for piece in wanted - self.known.keys():
-            if piece in self.older:
-                self.known[piece] = self.older[piece]
-        self._learn(list(wanted - self.known.keys()))
-        known = self.known
-        return [
-            np.array(self._plain([t])[0] if c is None else [i for p in c for i in known[p]], np.uint32)
-            for t, c in zip(texts, cut, strict=True)
-        ]
+        if len(self.place) > REMEMBERED:
+            self._forget()
+        known = self.place.keys()
+        new = set()
+        for c in cut:
+            if c:
+                new.update(c)
+        new.difference_update(known)
+        self._learn(list(new))
+        out = []
+        for text, pieces in zip(texts, cut, strict=True):
+            if pieces is None:
+                out.append(np.array(self._plain([text])[0], np.uint32))
+            else:
+                out.append(self._ids_at(np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))))
+        return out
 
 
 def word_tokenizer() -> str:
@@ -214,7 +247,7 @@ def _blocks(path, end_id: int, block_ids: int):
 
         encoder = _encoder(path)
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", SLICE_BYTES):
                 texts = [t or "" for t in some.column("text").to_pylist()]
                 for doc, ids in zip(some.column("doc_id").to_pylist(), encoder.ids(texts), strict=True):
                     keys.append(doc)
