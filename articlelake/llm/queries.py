@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from articlelake.llm import exactdedup, mixing, neardup, tokens
+from articlelake.llm import decontamination, exactdedup, mixing, neardup, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,11 @@ def op1_mix_sources(spark, sf):
     return mixing.mix(_read(spark, sf, "documents")).documents()
 
 
+@_query()
+def op5_benchmark_index(spark, sf):
+    return decontamination.decontaminate(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"))
+
+
 @_query()
 def op6_minhash_groups(spark, sf):
     return neardup.near_groups(_read(spark, sf, "documents"))
