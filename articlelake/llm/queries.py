@@ -5,8 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from articlelake.llm import decontamination, exactdedup, mixing, neardup, tokens
+from pyspark.sql import functions as F
+
+from articlelake.llm import (
+    decontamination,
+    exactdedup,
+    langid,
+    linededup,
+    mixing,
+    neardup,
+    tokens,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +41,17 @@ def op1_mix_sources(spark, sf):
     return mixing.mix(_read(spark, sf, "documents")).documents()
 
 
+@_query()
+def op3_toxicity(spark, sf):
+    return toxicity.train_and_score(_read(spark, sf, "documents"), _read(spark, sf, "labels"))
+
+
+@_query(linededup.SQL)
+def op4_line_runs(spark, sf):
+    kept = linededup.dedup_lines(_read(spark, sf, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @_query()
 def op5_benchmark_index(spark, sf):
     return decontamination.decontaminate(_read(spark, sf, "documents"), _read(spark, sf, "benchmark"))
@@ -46,6 +67,11 @@ def op7_exact_dedup(spark, sf):
     return exactdedup.exact_groups(_read(spark, sf, "documents"))
 
 
+@_query()
+def op8_language_spans(spark, sf):
+    return langid.train_and_identify(_read(spark, sf, "documents"))
+
+
 @_query()
 def op10_token_ids(spark, sf):
     folder = tokens.write_ids(_read(spark, sf, "documents"))
