@@ -29,23 +29,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from articlelake.llm.common import fresh_folder, name, small_batches
-from articlelake.llm.words import slices
+from articlelake.llm.words import BETWEEN_BLANKS, LOWER, SECOND, buffer_of, hashes, slices, spans
 
 #: Ids per word of 60 bits for selectors 1 to 14; selector 15 is an escape.
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 STRETCH = 4096
 BLOCK_IDS = 1 << 16
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 END_ID = 2
 MAGIC = b"S8B1"
 #: Word pieces remembered by a worker before it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
 
 #: Letters of the first 256 characters, then marks that never join a letter's piece.
 _PLAIN_WORD = re.compile('([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|"#]*)$')
-_KEPT = re.compile("[\x1c-\x1f]")
-
 FILE_SCHEMA = "part int, seq int, before long, doc_ids array<long>, at array<long>, payload binary"
 
 
@@ -119,21 +117,17 @@ class Encoder:
     """`encode` of the tokenizers library, remembering the pieces between blanks.
 
     For a tokenizer that cuts texts at white space and normalises by character,
-    as this one does, the ids of a text are those of its pieces in a row. A
-    missing piece is encoded with others in one call, parted by a mark whose id
-    is known and which no piece encoded so may hold.
+    as this one does, the ids of a text are those of its pieces in a row.
     """
 
-    MARK = "\x01"
-
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
-        self.mark = self._plain([self.MARK])[0]
-        if len(self.mark) != 1:
-            raise ValueError("the mark between pieces must be one id")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -167,19 +161,19 @@ class Encoder:
         which the tokenizer makes a piece of its own."""
         matches = [_PLAIN_WORD.match(p) for p in pieces]
         cut = {p: (m[1].lower(), m[2]) for p, m in zip(pieces, matches, strict=True) if m}
-        new = {x for both in cut.values() for x in both} | {p for p in pieces if p not in cut}
-        new = [p for p in new if p not in self.place]
-        self._keep_lists([p for p in new if self.MARK in p or "<|" in p])
-        even = [p for p in new if p not in self.place]
-        for at in range(0, len(even), 1000):
-            some = even[at : at + 1000]
-            ids = np.array(self._plain([f" {self.MARK} ".join(some)])[0], np.uint32)
-            cuts = np.flatnonzero(ids == self.mark[0])
-            if len(cuts) == len(some) - 1:
-                starts, ends = np.append(0, cuts + 1), np.append(cuts, len(ids))
-                self._keep(some, ids, starts, ends - starts)
-            else:  # a piece gave the id of the mark
+        words = [w for w in {w for w, _ in cut.values()} if w not in self.place]
+        for at in range(0, len(words), 1000):
+            # The last id of a word of letters is one that ends words.
+            some = words[at : at + 1000]
+            ids = np.array(self._plain([" ".join(some)])[0], np.int64)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):
                 self._keep_lists(some)
+                continue
+            starts = np.append(0, ends[:-1])
+            self._keep(some, ids, starts, ends - starts)
+        rest = {m for _, m in cut.values()}.union(p for p in pieces if p not in cut)
+        self._keep_lists([p for p in rest if p not in self.place])
         joined = [p for p in cut if p not in self.place]
         if joined:
             both = np.array([self.place[x] for p in joined for x in cut[p]], np.int64)
@@ -188,28 +182,29 @@ class Encoder:
 
     def _ids_at(self, places: np.ndarray) -> np.ndarray:
         lengths = self.length[places]
-        shift = self.start[places] - (np.cumsum(lengths) - lengths)
-        return self.flat[np.repeat(shift, lengths) + np.arange(int(lengths.sum()))]
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        # str.split also cuts at four control characters that the tokenizer keeps.
-        cut = [None if _KEPT.search(t) else t.split() for t in texts]
+        shift = (self.start[places] - (np.cumsum(lengths) - lengths)).astype(np.int32)
+        return self.flat[np.repeat(shift, lengths) + np.arange(int(lengths.sum()), dtype=np.int32)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and the bounds between the texts."""
+        data, offsets = buffer_of(texts)
+        if b"<|" not in data.tobytes():  # special tokens are known by their case
+            data = LOWER[data]
+        starts, ends, bounds = spans(data, offsets, BETWEEN_BLANKS)
+        _, first, which = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
+        second = hashes(data, starts, ends, SECOND)
+        if (second != second[first[which]]).any():  # two words of one hash
+            lists = self._plain(texts.fill_null("").to_pylist())
+            limits = np.cumsum([0, *map(len, lists)])
+            return np.array([i for x in lists for i in x], np.uint32), limits
+        raw = data.tobytes()
+        pieces = [raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
         if len(self.place) > REMEMBERED:
             self._forget()
-        known = self.place.keys()
-        new = set()
-        for c in cut:
-            if c:
-                new.update(c)
-        new.difference_update(known)
-        self._learn(list(new))
-        out = []
-        for text, pieces in zip(texts, cut, strict=True):
-            if pieces is None:
-                out.append(np.array(self._plain([text])[0], np.uint32))
-            else:
-                out.append(self._ids_at(np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))))
-        return out
+        self._learn([p for p in pieces if p not in self.place])
+        places = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))[which]
+        limits = np.append(0, np.cumsum(self.length[places]))
+        return self._ids_at(places), limits[bounds]
 
 
 def word_tokenizer() -> str:
@@ -248,11 +243,12 @@ def _blocks(path, end_id: int, block_ids: int):
         encoder = _encoder(path)
         for batch in batches:
             for some in slices(batch, "text", SLICE_BYTES):
-                texts = [t or "" for t in some.column("text").to_pylist()]
-                for doc, ids in zip(some.column("doc_id").to_pylist(), encoder.ids(texts), strict=True):
+                flat, limits = encoder.encode(some.column("text"))
+                limits = limits.tolist()
+                for doc, a, b in zip(some.column("doc_id").to_pylist(), limits, limits[1:], strict=False):
                     keys.append(doc)
-                    parts.append(np.append(ids, np.uint32(end_id)))
-                    held += len(ids) + 1
+                    parts.append(np.append(flat[a:b], np.uint32(end_id)))
+                    held += b - a + 1
                     if held >= block_ids:
                         yield block()
                         seq, before, held = seq + 1, before + held, 0

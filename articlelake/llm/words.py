@@ -16,8 +16,9 @@ import pyarrow as pa
 SLICE_BYTES = 2 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_powers: dict[str, np.ndarray] = {}
+#: A second hash, where words have to be told apart for sure.
+SECOND = np.uint64(0xC2B2AE3D27D4EB4F)
+_powers: dict[int, np.ndarray] = {}
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -79,26 +80,27 @@ def spans(data: np.ndarray, offsets: np.ndarray, marks: np.ndarray) -> tuple[np.
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def _power(kind: str, base: np.uint64, size: int) -> np.ndarray:
-    if kind not in _powers or len(_powers[kind]) < size:
+def _power(base: np.uint64, size: int) -> np.ndarray:
+    if len(_powers.get(int(base), ())) < size:
         steps = np.full(max(size, SLICE_BYTES + 1), base, np.uint64)
         steps[0] = 1
-        _powers[kind] = np.cumprod(steps)
-    return _powers[kind][:size]
+        _powers[int(base)] = np.cumprod(steps)
+    return _powers[int(base)][:size]
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64 = _BASE) -> np.ndarray:
     """A 64-bit hash of every span, by differences of one running sum per slice."""
+    inverse = np.uint64(pow(int(base), -1, 1 << 64))
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
-        base = int(starts[at])
-        to = max(int(np.searchsorted(ends, base + SLICE_BYTES, "right")), at + 1)
-        part = data[base : int(ends[to - 1])]
+        begin = int(starts[at])
+        to = max(int(np.searchsorted(ends, begin + SLICE_BYTES, "right")), at + 1)
+        part = data[begin : int(ends[to - 1])]
         total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _power("up", _BASE, len(part)), out=total[1:])
-        a, b = starts[at:to] - base, ends[at:to] - base
-        own = (total[b] - total[a]) * _power("down", _INVERSE, len(part))[a]
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * _power(base, len(part)), out=total[1:])
+        a, b = starts[at:to] - begin, ends[at:to] - begin
+        own = (total[b] - total[a]) * _power(inverse, len(part))[a]
         out[at:to] = mix(own + (b - a).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
         at = to
     return out
