@@ -58,3 +58,15 @@ def name(column: str) -> Column:
 def crc_of(key: Column) -> Column:
     """CRC-32 of an id written as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary"))
+
+
+def text_hash(text: str) -> Column:
+    """Tells texts of one id apart; a null text counts as empty."""
+    return F.xxhash64(F.coalesce(name(text), F.lit("")))
+
+
+def rows_of(docs: DataFrame, chosen: DataFrame, how: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of `docs` whose id and text are (`left_semi`) or are not (`left_anti`) in
+    `chosen`, which has doc_id and text_hash. Columns stay as they are; null ids are equal."""
+    ids = chosen.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    return docs.join(ids, name(key).eqNullSafe(F.col("__id")) & (text_hash(text) == F.col("__hash")), how)

@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from articlelake.llm.common import name, small_batches, written
+from articlelake.llm.common import name, rows_of, small_batches, written
 from articlelake.llm.words import ALPHANUMERIC, LOWER, buffer_of, hashes, mix, slices, spans
 
 WINDOW = 10
@@ -284,7 +284,7 @@ def decontaminate(
     size: int = WINDOW,
     rarest: int = RAREST,
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash.
 
     Words are runs of ASCII letters and digits and of all that is not ASCII, A-Z
     in lower case. A word inside any occurrence of a window is hit. A null or
@@ -321,5 +321,12 @@ def decontaminate(
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
+        F.col("print").alias("text_hash"),
     )
 
+
+def keep_clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of `docs` in which no window of the items occurs."""
+    found = decontaminate(docs, items, key, text, **how).filter("contaminated").select("doc_id", "text_hash").distinct()
+    return rows_of(docs, written(found, "contaminated"), "left_anti", key, text)
+

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ SWITCH = 8.0
 #: Share of a language's letters from which it is a candidate for a script.
 USED = 0.01
 UNKNOWN = "und"
+#: Share of letters that a text's language must have for `keep_known`.
+LEAST_SHARE = 0.5
 
 #: Words labelled as one stretch; stretches of a text are then joined.
 _STRETCH = 256
@@ -272,6 +275,29 @@ def identify(
     return rows.mapInArrow(_label(shared, switch), schema)
 
 
+def keep_known(
+    docs: DataFrame, model: LanguageModel, text: str = "text", share: float = LEAST_SHARE, switch: float = SWITCH
+) -> DataFrame:
+    """The rows of `docs` with letters, of which one language has at least `share`; columns stay as they are."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
+    label = _label(shared, switch)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = pa.array(range(batch.num_rows), pa.int64())
+            texts = pa.RecordBatch.from_arrays([number, batch.column(batch.schema.get_field_index(text))], ["doc_id", "text"])
+            parts = [part.select(["lang_pred", "score"]) for part in label(iter([texts]))]
+            if parts:
+                found = pa.Table.from_batches(parts).combine_chunks()
+                known = pc.not_equal(found["lang_pred"], UNKNOWN)
+                good = pc.and_(known, pc.greater_equal(found["score"], share)).combine_chunks()
+                yield batch.filter(good)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(key: Column) -> Column:
     """Rows never learnt from: those whose id, as text, has CRC-32 2 modulo 4."""
     return crc_of(key) % 4 == 2

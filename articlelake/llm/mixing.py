@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from articlelake.llm.common import WORD, name, written
+from articlelake.llm.common import WORD, name, text_hash, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -168,6 +168,7 @@ def mix(
         name(key).alias("doc_id"),
         name(source).alias("source"),
         F.coalesce(F.regexp_count(name(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        text_hash(text).alias("text_hash"),
     )
     drawn = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(f":{seed}")))
     sized = written(sized.withColumn("draw", drawn), "sizes")
@@ -180,17 +181,17 @@ def mix(
     rows = totals.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     digits = max(1, math.ceil(math.log(max(rows, 1), 16) / 2))
     sized = sized.join(sources.select("source", "sid"), sized["source"].eqNullSafe(sources["source"]))
-    sized = sized.select("doc_id", "sid", "size", "draw", F.substring("draw", 1, digits).alias("bucket"))
+    sized = sized.select("doc_id", "text_hash", "sid", "size", "draw", F.substring("draw", 1, digits).alias("bucket"))
     sums = sized.groupBy("sid", "bucket").agg(F.sum("size").alias("sum"))
     earlier = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("sid", "bucket", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("before"))
-    within = Window.partitionBy("sid", "bucket").orderBy("draw", "size", "doc_id")
+    within = Window.partitionBy("sid", "bucket").orderBy("draw", "size", "text_hash")
     above = within.rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         sized.withColumn("row", F.row_number().over(within))
         .withColumn("inner", F.coalesce(F.sum("size").over(above), F.lit(0)))
         .join(sums, ["sid", "bucket"])
-        .select("doc_id", "sid", "bucket", "row", "size", (F.col("before") + F.col("inner")).alias("at"))
+        .select("doc_id", "text_hash", "sid", "bucket", "row", "size", (F.col("before") + F.col("inner")).alias("at"))
     )
     placed = written(placed, "places")
 
@@ -209,6 +210,31 @@ def mix(
     return Mix(placed, sources, schedule, pieces)
 
 
+def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
+    """Rows of `docs` as often as the mix takes them, columns as they are.
+
+    A document is taken whole in each pass over its source in which the mix
+    takes its first word, so a source is at most one document over its target.
+    Rows alike in id, text and source share their passes, rounded up.
+    """
+    plan = mix(docs, key, text, source, **how)
+    goal = F.floor(F.col("target") + 0.5)
+    rounds = F.floor(goal / F.col("source_size"))
+    placed = plan.docs.filter("size > 0").join(plan.sources.select("sid", "source", "source_size", "target"), "sid")
+    passes = rounds + (F.col("at") < goal - rounds * F.col("source_size")).cast("int")
+    taken = placed.groupBy("doc_id", "text_hash", "source").agg(F.ceil(F.avg(passes)).cast("int").alias("__times"))
+    taken = written(taken.filter("__times > 0"), "taken").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("source").alias("__source"), "__times"
+    )
+    same = (
+        name(key).eqNullSafe(F.col("__id"))
+        & (text_hash(text) == F.col("__hash"))
+        & name(source).eqNullSafe(F.col("__source"))
+    )
+    rows = docs.join(taken, same).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return rows.select(*[name(c) for c in docs.columns])
+
+
 SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
@@ -233,7 +259,7 @@ WITH sized AS (
   FROM levels
 ), placed AS (
   SELECT doc_id, size, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS goal,
-         coalesce(CAST(sum(size) OVER (PARTITION BY s.source ORDER BY draw, size, doc_id
+         coalesce(CAST(sum(size) OVER (PARTITION BY s.source ORDER BY draw, size
                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS begin_at
   FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
 )

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from articlelake.llm.common import name, small_batches, written
+from articlelake.llm.common import name, rows_of, small_batches, text_hash, written
 from articlelake.llm.components import contract
 from articlelake.llm.words import BETWEEN_BLANKS, LOWER, buffer_of, hashes, mix, shingles, slices, spans
 
@@ -185,7 +185,7 @@ def near_groups(
     batch: int = BATCH,
     miss: float = MISS,
 ) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
+    """One row per document: doc_id, n_shingles, component_id, kept, text_hash.
 
     Words are runs between white space, A-Z in lower case; a set holds the
     distinct runs of `size` words, or the whole sequence where there are fewer.
@@ -267,7 +267,7 @@ def near_groups(
         fresh = merged.select(F.col("label").alias("node"), F.col("to").alias("label"))
         labels = written(moved.union(fresh.join(labels, "node", "left_anti")), "labels")
 
-    found = signed.select("doc_id", "n_shingles", "node").join(labels, "node", "left")
+    found = signed.select("doc_id", "n_shingles", "node", "print").join(labels, "node", "left")
     found = found.withColumn("label", F.coalesce("label", "node"))
     least = found.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
     found = found.join(least, "label", "left")
@@ -277,4 +277,16 @@ def near_groups(
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        F.col("print").alias("text_hash"),
     )
+
+
+def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of `docs` that stay: of every group the one of the smallest id; rows alike in id and text become one."""
+    kept = near_groups(docs, key, text, **how).filter("kept").select("doc_id", "text_hash")
+    kept = written(kept.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")), "kept")
+    rows = rows_of(docs, kept, "left_semi", key, text)
+    if kept.filter("rows > 1").isEmpty():
+        return rows
+    once = rows.withColumn("__hash", text_hash(text))
+    return once.dropDuplicates([key, "__hash"]).drop("__hash")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from articlelake.llm import (
     decontamination,
     exactdedup,
@@ -76,3 +77,8 @@ def op8_language_spans(spark, sf):
 def op10_token_ids(spark, sf):
     folder = tokens.write_ids(_read(spark, sf, "documents"))
     return tokens.read_back(spark, folder)
+
+
+@_query(corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)
