@@ -15,6 +15,8 @@ from articlelake.llm import (
     linededup,
     mixing,
     neardup,
+    quotes,
+    surrogates,
     tokens,
     toxicity,
 )
@@ -42,6 +44,11 @@ def op1_mix_sources(spark, sf):
     return mixing.mix(_read(spark, sf, "documents")).documents()
 
 
+@_query()
+def op2_surrogates(spark, sf):
+    return surrogates.replace_entities(_read(spark, sf, "documents"))
+
+
 @_query()
 def op3_toxicity(spark, sf):
     return toxicity.train_and_score(_read(spark, sf, "documents"), _read(spark, sf, "labels"))
@@ -73,6 +80,11 @@ def op8_language_spans(spark, sf):
     return langid.train_and_identify(_read(spark, sf, "documents"))
 
 
+@_query()
+def op9_quote_links(spark, sf):
+    return quotes.reply_order(_read(spark, sf, "conversations"))
+
+
 @_query()
 def op10_token_ids(spark, sf):
     folder = tokens.write_ids(_read(spark, sf, "documents"))
