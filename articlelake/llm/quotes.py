@@ -20,7 +20,7 @@ from articlelake.llm.common import WHITE, name, text_hash, written
 #: Turns of one conversation that are looked through together.
 REACH = 1024
 
-_MARKS = r"^(?:[ \t]*+>)*"
+_MARKS = r"^[ \t>]*>"
 
 
 def _passages(text: Column) -> Column:
