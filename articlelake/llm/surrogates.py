@@ -43,7 +43,7 @@ SCRIPT = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: Kinds in the order in which they are tried. No pattern tries a start inside a run of its own characters.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.)+\p{L}{2,24}",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++){0,8}\.\p{L}{2,24}",
     "ip": rf"(?<![\p{{L}}\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)",
     "ssn": r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\p{L}\d-])(?:\d{4}(?:[ -]\d{4}){3}|\d{13,19})(?![\p{L}\d-])",
