@@ -4,8 +4,10 @@ Documents with equal sets of shingles are one class, and only classes are
 compared. Signatures are cut into bands; classes that agree in a band share a
 bucket. Pairs of a bucket are not all compared: in a first round every class
 meets the most central member of its buckets, and what is linked is merged; in
-the second only members of a bucket that are still in different components meet.
-As links within a component change nothing, no link between components is lost.
+the second only members of a bucket that are still in different components meet,
+in a large bucket only those that share one of their rarest shingles, as sets
+similar enough must. As links within a component change nothing, no link between
+components is lost.
 
 A pair is compared batch by batch of its signatures and dropped once the chance
 that its similarity reaches the threshold, given the matches so far and a
@@ -35,6 +37,9 @@ BANDS = 24
 BATCH = 24
 MISS = 1e-6
 
+#: Buckets of more members meet through their sets' rarest shingles instead of one by one.
+SMALL = 32
+
 #: Shingles whose signatures are worked on at once.
 _STRIP = 1 << 15
 
@@ -174,6 +179,43 @@ def _sided(table: DataFrame, side: str, *columns: str) -> DataFrame:
     return table.select(F.col("node").alias(side), *[F.col(c).alias(f"{c[0] if c != 'set' else 'x'}{side}") for c in columns])
 
 
+def _apart(rows: DataFrame, key: str, holds) -> DataFrame:
+    """Pairs (a, b) of nodes that share `key` but not `label`, for which `holds`.
+
+    Of a key's largest label no two nodes are looked at, so what it costs is the
+    number of nodes outside that label times the number of all.
+    """
+    here = rows.groupBy(key, "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = here.groupBy(key).agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("labels"))
+    rows = rows.join(largest.filter("labels > 1").select(key, F.col("most.label").alias("most")), key)
+    few = rows.filter("label <> most").drop("most")
+    few = few.select(key, *[F.col(c).alias(f"{c}_x") for c in few.columns if c != key])
+    order = (F.col("label") == F.col("most")) | (F.col("node_x") < F.col("node"))
+    apart = few.join(rows, key).filter((F.col("label_x") != F.col("label")) & order & holds)
+    return apart.select(F.least("node_x", "node").alias("a"), F.greatest("node_x", "node").alias("b"))
+
+
+def _prefixes(rows: DataFrame, percent: int) -> DataFrame:
+    """The rarest shingles of each set, (node, label, size, token, at): two sets
+    similar enough have one in common among so many, in any order that all share."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, values in enumerate(batch.column("set")):
+                values = np.frombuffer(values.as_buffer(), np.int64)
+                one = [pa.array([batch.column(c)[i].as_py()] * len(values), pa.binary()) for c in ("node", "label")]
+                yield pa.RecordBatch.from_arrays([*one, pa.array(values)], ["node", "label", "token"])
+
+    each = written(rows.select("node", "label", "set").mapInArrow(tokens, "node binary, label binary, token long"), "tokens")
+    often = each.groupBy("token").agg(F.count(F.lit(1)).alias("sets"))
+    ordered = each.join(often, "token").groupBy("node", "label")
+    ordered = ordered.agg(F.array_sort(F.collect_list(F.struct("sets", "token"))).alias("all"))
+    size = F.size("all")
+    first = F.slice("all", 1, (F.floor(size * (100 - percent) / 100) + 1).cast("int"))
+    chosen = ordered.select("node", "label", size.alias("size"), F.posexplode(first).alias("at", "x"))
+    return written(chosen.select("node", "label", "size", "at", F.col("x.token").alias("token")), "prefixes")
+
+
 def near_groups(
     docs: DataFrame,
     key: str = "doc_id",
@@ -248,14 +290,18 @@ def near_groups(
     labels = contract(links(pairs))
 
     # Members of a bucket that are in different components still have to meet.
-    open_ = shared.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    here = open_.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = here.groupBy("band").agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("labels"))
-    open_ = open_.join(largest.filter("labels > 1"), "band").withColumn("most", F.col("most.label"))
-    open_ = written(open_.select("band", "node", "label", "most"), "open")
-    few = open_.filter("label <> most").select("band", F.col("node").alias("x"), F.col("label").alias("lx"))
-    apart = few.join(open_, "band").filter("lx <> label AND (label = most OR x < node)")
-    pairs = apart.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    open_ = shared.join(labels, "node", "left").select(
+        "band", "members", "node", F.coalesce("label", "node").alias("label")
+    )
+    kinds = open_.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    open_ = written(open_.join(kinds.filter("low <> high").select("band"), "band"), "open")
+    pairs = _apart(open_.filter(F.col("members") <= SMALL), "band", F.lit(True))
+    crowded = open_.filter(F.col("members") > SMALL).select("node", "label").distinct()
+    prefixes = _prefixes(crowded.join(sets, "node"), percent)
+    # A shared shingle at places i and j leaves room for so much in common; the first one shared leaves enough.
+    room = F.least(F.col("size_x") - F.col("at_x"), F.col("size") - F.col("at"))
+    pairs = pairs.union(_apart(prefixes, "token", room * (100 + percent) >= percent * (F.col("size_x") + F.col("size"))))
+    pairs = pairs.distinct()
     late = links(pairs)
     if not late.isEmpty():
         own = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
