@@ -458,13 +458,12 @@ parts AS (
                    unnest(string_split(text, chr(10))) FROM documents),
 words AS (
   SELECT doc_id, part, unnest({_tokens_sql(_clean_sql('text'))}) AS token FROM parts),
-slotted AS (
-  SELECT doc_id, part, token, ('0x' || substr(md5(token), 1, 8))::BIGINT % {corpus.SLOTS} AS slot
-  FROM words WHERE token <> ''),
-df AS (SELECT slot, count(DISTINCT (doc_id, part)) AS df FROM slotted GROUP BY slot)
+counted AS (
+  SELECT doc_id, part, token, count(*) AS n FROM words WHERE token <> '' GROUP BY doc_id, part, token),
+df AS (SELECT token, count(*) AS df FROM counted GROUP BY token)
 SELECT doc_id, part, token,
-       round((count(*) * (ln(((SELECT count(*) FROM parts) + 1) / (any_value(df) + 1)) + 1))::FLOAT::DOUBLE, 3) AS weight
-FROM slotted JOIN df USING (slot) GROUP BY doc_id, part, token"""
+       round((n * (ln(((SELECT count(*) FROM parts) + 1) / (df + 1)) + 1))::FLOAT::DOUBLE, 3) AS weight
+FROM counted JOIN df USING (token)"""
 
 
 @_query(f"WITH {_VECTOR_SQL}")

@@ -40,7 +40,7 @@ def assume_utc(text: Column) -> Column:
 
 def was_naive(text: Column) -> Column:
     """True for a readable date that had no zone and therefore changes."""
-    return text.isNotNull() & ~has_offset(text)
+    return F.coalesce(assume_utc(text).isNotNull() & ~has_offset(text), F.lit(False))
 
 
 def parse_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:

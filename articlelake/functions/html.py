@@ -188,7 +188,7 @@ def text_blocks(html: Column) -> Column:
 
 
 def _trim(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(text, r"(?U)^\s++|(?<!\s)\s++$", "")
 
 
 def blocks_text(blocks: Column) -> Column:

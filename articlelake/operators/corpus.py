@@ -7,7 +7,6 @@ Spark adds a size test below, which computes the whole array a second time.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,10 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.binding import let
 from ..functions.indicators import Indicator, extract_indicators
 from ..functions.tags import frequent_tokens, without_words
-from ..functions.text import clean_text, clean_texts, tokenize
-
-#: Word lists up to this size become one hash-set test inside the row.
-IN_ROW_WORDS = 20_000
+from ..functions.text import clean_text, tokenize
 
 
 def token_counts(docs: DataFrame, key: str = "id", text: str = "content") -> DataFrame:
@@ -46,39 +42,40 @@ def with_top_tags(
 ) -> DataFrame:
     """Add the most frequent uncommon words of each document, best first.
 
-    A word list is a sequence or a one-column table. Tables of up to
-    `IN_ROW_WORDS` words are tested inside the row, which needs no shuffle at
-    all; longer ones are joined by token.
+    A sequence of words is tested inside the row, which needs no shuffle at
+    all; a one-column table is joined by token.
     """
     if isinstance(common_words, DataFrame):
         words = common_words.select(F.col(common_words.columns[0]).alias("token"))
-        head = words.distinct().take(IN_ROW_WORDS + 1)
-        if len(head) > IN_ROW_WORDS:
-            return _joined_top_tags(docs, words, text, k, min_count, key, out)
-        common_words = [row["token"] for row in head if row["token"] is not None]
+        return _joined_top_tags(docs, words, text, k, min_count, key, out)
     words = without_words(tokenize(F.col(text)), common_words)
     best = frequent_tokens(words, k, min_count)
     return docs.withColumn(out, F.transform(best, lambda t: t["token"]))
 
 
 def _joined_top_tags(docs, words, text, k, min_count, key, out) -> DataFrame:
+    """A document is known by key and text, so that repeated or null keys get their own tags."""
     # Only frequent tokens meet the word list; few of a document's tokens do.
     tokens = without_words(tokenize(F.col(text)), [])
+    keyed = docs.withColumn("__text", F.md5(text))
     frequent = (
-        docs.select(key, F.inline_outer(frequent_tokens(tokens, None, min_count)))
+        keyed.select(F.col(key).alias("__k"), F.col("__text").alias("__t"), F.inline_outer(frequent_tokens(tokens, None, min_count)))
         .filter("token is not null")
-        .join(words, "token", "left_anti")
+        .distinct()
+        .join(words.filter("token is not null").distinct(), "token", "left_anti")
     )
-    order = W.partitionBy(key).orderBy(F.desc("n"), "seen")
+    order = W.partitionBy("__k", "__t").orderBy(F.desc("n"), "seen")
     best = (
         frequent.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
-        .groupBy(key)
+        .groupBy("__k", "__t")
         .agg(F.sort_array(F.collect_list(F.struct("rank", "token"))).alias("best"))
-        .select(key, F.transform("best", lambda b: b["token"]).alias(out))
+        .select("__k", "__t", F.transform("best", lambda b: b["token"]).alias("__best"))
     )
+    same = keyed[key].eqNullSafe(best["__k"]) & (keyed["__text"] == best["__t"])
     none = F.array().cast("array<string>")
-    return docs.join(best, key, "left").withColumn(out, F.coalesce(out, none))
+    tags = F.coalesce("__best", none)
+    return keyed.join(best, same, "left").withColumn(out, tags).drop("__text", "__k", "__t", "__best")
 
 
 def with_indicators(
@@ -124,168 +121,108 @@ def with_tags(
 
 Weigher = Callable[[Column], Column]
 
-#: Document frequencies are kept per hash slot, so their table has a fixed size.
-SLOTS = 1 << 16
-
-
-def token_slot(token: Column, slots: int = SLOTS) -> Column:
-    """Slot of a token: the leading md5 digits, the same in any engine."""
-    digits = F.conv(F.substring(F.md5(token), 1, 8), 16, 10)
-    return F.pmod(digits.cast("bigint"), F.lit(slots)).cast("int")
-
-
 def _words(cleaned: Column) -> Column:
     return F.filter(tokenize(cleaned), lambda t: t != "")
 
 
-@dataclass(frozen=True)
-class IdfWeights:
-    """Inverse document frequencies by slot: `slots` numbers for any corpus.
-
-    Being of fixed size they travel as one constant inside the plan, so
-    weighing texts needs neither a join nor a shuffle.
-    """
-
-    texts: int
-    counts: bytes
-    slots: int
-
-    def weigh(self, words: Column) -> Column:
-        """Token to weight (count times idf) for an array of words."""
-        return let(F.sort_array(words), self._weigh_sorted)
-
-    def _weigh_sorted(self, words: Column) -> Column:
-        starts = F.filter(
-            F.transform(
-                words, lambda t, i: F.when((i == 0) | (F.get(words, i - 1) != t), i)
-            ),
-            lambda i: i.isNotNull(),
-        )
-
-        def entries(starts: Column) -> Column:
-            def entry(start: Column, nth: Column) -> Column:
-                token = F.get(words, start)
-                end = F.coalesce(F.get(starts, nth + 1), F.size(words))
-                weight = (end - start) * self._idf(token)
-                return F.struct(token.alias("key"), weight.cast("float").alias("value"))
-
-            return F.map_from_entries(F.transform(starts, entry))
-
-        return let(starts, entries)
-
-    def _idf(self, token: Column) -> Column:
-        at = token_slot(token, self.slots) * 8 + 1
-        packed = F.substring(F.lit(self.counts), at, F.lit(8))
-        df = F.conv(F.hex(packed), 16, 10).cast("bigint")
-        return F.log(F.lit(self.texts + 1) / (df + 1)) + 1
-
-
-def fit_idf(texts: DataFrame, text: str = "text", slots: int = SLOTS) -> IdfWeights:
-    """Count in how many texts each slot occurs.
-
-    Counts combine on the map side: a task ships at most `slots` rows, and the
-    driver receives that many numbers, whatever the corpus holds.
-    """
-    words = texts.select(_words(clean_text(F.col(text))).alias("words"))
-    occupied = F.array_distinct(
-        F.transform(F.array_distinct("words"), lambda t: token_slot(t, slots))
-    )
-    # Slot -1 occurs in every text and so counts the texts themselves.
-    marked = F.array_append(occupied, F.lit(-1))
-    counts = (
-        words.select(F.explode_outer(marked).alias("slot"))
-        .groupBy("slot")
+def document_frequencies(texts: DataFrame, text: str = "text") -> DataFrame:
+    """`(token, df)`: in how many texts each token occurs."""
+    words = F.array_distinct(_words(clean_text(F.col(text))))
+    return (
+        texts.select(F.explode_outer(words).alias("token"))
+        .filter("token is not null")
+        .groupBy("token")
         .agg(F.count(F.lit(1)).alias("df"))
     )
-    table = dict(counts.collect())
-    packed = b"".join(table.get(i, 0).to_bytes(8, "big") for i in range(slots))
-    return IdfWeights(table.get(-1, 0), packed, slots)
+
+
+def _texts(articles: DataFrame) -> Column:
+    """Title, description and chunk texts of an article, in this order."""
+    chunks = F.transform("embeddings.content_chunks", lambda c: c["text"])
+    none = F.array().cast("array<string>")
+    return F.concat(F.array("title", "description"), F.coalesce(chunks, none))
 
 
 def article_texts(articles: DataFrame) -> DataFrame:
     """Every text that gets a vector: titles, descriptions and content chunks."""
-    chunks = F.col("embeddings.content_chunks")
-    none = F.array().cast("array<string>")
-    texts = F.concat(
-        F.array("title", "description"),
-        F.coalesce(F.transform(chunks, lambda c: c["text"]), none),
-    )
-    return articles.select(F.explode(texts).alias("text")).filter("text is not null")
+    return articles.select(F.explode(_texts(articles)).alias("text")).filter("text is not null")
 
 
 def sparse_embed(articles: DataFrame, model: Weigher | None = None) -> DataFrame:
     """Replace all vectors of `embeddings` by fresh ones.
 
-    `model` maps a text column to `map<string,float>`; it may be a pandas UDF,
-    which then sees title, description and chunks as exploded rows. Without
-    one, weights are TF-IDF over the articles' own texts. Articles without
-    chunks keep a null chunk list.
+    `model` maps a text column to `map<string,float>`; it may be a pandas UDF.
+    Without one, weights are TF-IDF over the articles' own texts, by the exact
+    number of texts that hold a token. Articles without chunks keep a null chunk
+    list. An article is known by its id and its texts, so articles that share an
+    id, or have none, get their own vectors.
     """
+    keyed = articles.withColumn("__key", F.md5(F.to_json(F.struct(_texts(articles).alias("t")))))
+    parts = keyed.select("id", "__key", F.posexplode(_texts(articles)).alias("at", "text"))
     if model is not None:
-        return _embed_exploded(articles, model)
-    weights = fit_idf(article_texts(articles))
-    # NFKD runs in Python, so it is applied to whole columns before any lambda.
-    chunks = F.col("embeddings.content_chunks")
-    chunk_texts = F.transform(chunks, lambda c: c["text"])
-    staged = articles.withColumns(
-        {
-            "__title": _words(clean_text(F.col("title"))),
-            "__description": _words(clean_text(F.col("description"))),
-            "__chunks": clean_texts(chunk_texts),
-        }
-    )
-    fresh = F.transform(
-        F.arrays_zip(chunk_texts.alias("text"), F.col("__chunks").alias("clean")),
-        lambda c: F.struct(
-            c["text"].alias("text"),
-            weights.weigh(_words(c["clean"])).alias("elser"),
-        ),
-    )
-    embeddings = F.struct(
-        F.struct(weights.weigh(F.col("__title")).alias("elser")).alias("title"),
-        F.struct(weights.weigh(F.col("__description")).alias("elser")).alias(
-            "description"
-        ),
-        fresh.alias("content_chunks"),
-    )
-    return staged.withColumn("embeddings", embeddings).drop(
-        "__title", "__description", "__chunks"
+        weighed = parts.withColumn("elser", F.map_entries(model(F.col("text"))))
+        entries = weighed.select("id", "__key", "at", "elser").distinct()
+    else:
+        entries = _tfidf(parts)
+    vectors = entries.groupBy(F.col("id").alias("__id"), F.col("__key").alias("__k")).agg(
+        F.map_from_entries(F.collect_list(F.struct("at", "elser"))).alias("__vectors")
     )
+    same = keyed["id"].eqNullSafe(vectors["__id"]) & (keyed["__key"] == vectors["__k"])
 
+    def vector(at: Column, text: Column) -> Column:
+        none = F.array().cast("array<struct<key:string,value:float>>")
+        found = F.coalesce(F.try_element_at(F.col("__vectors"), at), none)
+        return F.when(text.isNotNull(), F.map_from_entries(found))
 
-def _embed_exploded(articles: DataFrame, model: Weigher) -> DataFrame:
-    """Run a user's model on one text per row, then put the vectors back by id."""
-    chunks = F.coalesce(
-        F.transform("embeddings.content_chunks", lambda c: c["text"]),
-        F.array().cast("array<string>"),
-    )
-    parts = articles.select(
-        "id", F.posexplode(F.concat(F.array("title", "description"), chunks)).alias("at", "text")
-    )
-    vectors = (
-        parts.withColumn("elser", model(F.col("text")))
-        .groupBy("id")
-        .agg(F.sort_array(F.collect_list(F.struct("at", F.struct("text", F.map_entries("elser").alias("w"))))).alias("v"))
+    chunks = F.transform(
+        "embeddings.content_chunks",
+        lambda c, i: F.struct(c["text"].alias("text"), vector(i + 2, c["text"]).alias("elser")),
     )
-    chunk = F.transform(
-        F.filter("v", lambda v: v["at"] >= 2),
-        lambda v: F.struct(
-            v["col2"]["text"].alias("text"), F.map_from_entries(v["col2"]["w"]).alias("elser")
-        ),
+    fresh = F.struct(
+        F.struct(vector(F.lit(0), F.col("title")).alias("elser")).alias("title"),
+        F.struct(vector(F.lit(1), F.col("description")).alias("elser")).alias("description"),
+        chunks.alias("content_chunks"),
     )
+    joined = keyed.join(vectors, same, "left").withColumn("embeddings", fresh)
+    return joined.drop("__key", "__id", "__k", "__vectors")
 
-    def field(at: int) -> Column:
-        return F.struct(F.map_from_entries(F.get("v", F.lit(at))["col2"]["w"]).alias("elser"))
 
-    had = F.col("embeddings.content_chunks").isNotNull()
-    return articles.join(vectors, "id", "left").withColumn(
-        "embeddings",
-        F.struct(
-            field(0).alias("title"),
-            field(1).alias("description"),
-            F.when(had, chunk).alias("content_chunks"),
-        ),
-    ).drop("v")
+def _tfidf(parts: DataFrame) -> DataFrame:
+    """`(id, __key, at, elser)` with the weights of each text as sorted entries.
+
+    Counts are made in the row of the text. Tokens meet their frequency by a
+    join that Spark splits where a token is in very many texts, or broadcasts
+    where the frequencies turn out to be few.
+    """
+    words = F.sort_array(_words(clean_text(F.col("text"))))
+    texts = parts.select("id", "__key", "at", words.alias("words")).filter(F.size("words") > 0)
+    counted = texts.select("id", "__key", "at", F.inline_outer(let(F.col("words"), _runs)))
+    frequencies = counted.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    total = parts.filter("text is not null").agg(F.count(F.lit(1)).alias("texts"))
+    weight = F.col("n") * (F.log((F.col("texts") + 1) / (F.col("df") + 1)) + 1)
+    weighed = counted.join(frequencies, "token").join(F.broadcast(total)).select(
+        "id", "__key", "at", F.struct(F.col("token").alias("key"), weight.cast("float").alias("value")).alias("entry")
+    )
+    return weighed.groupBy("id", "__key", "at").agg(F.collect_set("entry").alias("elser"))
+
+
+def _runs(words: Column) -> Column:
+    """`(token, n)` of sorted words."""
+    ends = F.filter(
+        F.sequence(F.lit(1), F.size(words)),
+        lambda i: (i == F.size(words)) | (F.get(words, i) != F.get(words, i - 1)),
+    )
+
+    def entry(ends: Column) -> Column:
+        return F.transform(
+            ends,
+            lambda end, k: F.struct(
+                F.get(words, end - 1).alias("token"),
+                (end - F.when(k == 0, 0).otherwise(F.get(ends, k - 1))).alias("n"),
+            ),
+        )
+
+    return let(ends, entry)
 
 
 def without_vectors(articles: DataFrame) -> DataFrame:

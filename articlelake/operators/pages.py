@@ -64,23 +64,29 @@ def compile_profiles(profiles: DataFrame) -> DataFrame:
 
 
 def with_profile(pages: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Name the profile of each page by the host of its address."""
+    """Name the profile of each page by the host of its address; null where no profile has it."""
     hosts = profiles.select(
         F.col("source.profile_name").alias("profile"),
         url_host(F.col("source.address")).alias("__host"),
     )
     return (
         pages.withColumn("__host", url_host(F.col("url")))
-        .join(broadcast_if_bounded(hosts), "__host")
+        .join(broadcast_if_bounded(hosts), "__host", "left")
         .drop("__host")
     )
 
 
+def without_rules(pages: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Pages whose `profile` is null or not among the profiles, which `with_rules` leaves out."""
+    known = profiles.select(F.col("source.profile_name").alias("profile")).distinct()
+    return pages.join(broadcast_if_bounded(known), "profile", "left_anti")
+
+
 def with_rules(pages: DataFrame, profiles: DataFrame) -> DataFrame:
     """Attach the compiled rules of each page's `profile`, and the cleaned page."""
     rules = compile_profiles(profiles)
-    # Patterns are a few times as long as the selectors that were measured.
-    if fits_broadcast(profiles, max_rows=20_000, max_bytes=8 * 1024 * 1024):
+    # Patterns can be many times as long as the selectors, so the patterns are measured.
+    if fits_broadcast(rules, max_rows=20_000, max_bytes=64 * 1024 * 1024):
         rules = F.broadcast(rules)
     joined = pages.join(rules, "profile")
     return joined.withColumn("__clean", H.strip_noise(F.col("html")))
@@ -103,12 +109,15 @@ def extract_links(
     """Article addresses on front pages as distinct `(profile, url)`, and rejects.
 
     The cap counts link elements before their address is looked at. A page
-    whose configured list is missing rejects its whole profile.
+    whose configured list is missing rejects its whole profile, as does one
+    whose profile is not known.
     """
     found = page_links(pages, profiles, max_per_page)
+    unknown = without_rules(pages, profiles).select("profile", F.lit("no profile").alias("reason"))
     failed = (
         found.filter("list_missing")
         .select("profile", F.lit("link list not found").alias("reason"))
+        .unionByName(unknown)
         .distinct()
     )
     links = (
@@ -259,7 +268,7 @@ def with_meta(ruled: DataFrame, as_of: Column, fall_through: bool = False) -> Da
         F.col("__v_title").alias("title"),
         F.col("__v_description").alias("description"),
         F.coalesce(F.col("__v_image_url"), icon).alias("image_url"),
-        F.regexp_replace(author, r"(?U)^\s+|\s+$", "").alias("author"),
+        F.regexp_replace(author, r"(?U)^\s++|(?<!\s)\s++$", "").alias("author"),
         F.col("__date")["value"].alias("publish_date"),
         F.col("__date")["origin"].alias("date_origin"),
     )

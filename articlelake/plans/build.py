@@ -14,13 +14,9 @@ from ..functions.text import clean_text
 from ..functions.urls import article_id, profile_slug
 from ..operators.corpus import with_tags
 from ..operators.merge import align_schema, not_stored
-from ..operators.pages import split_by_status, with_content, with_meta, with_rules
+from ..operators.pages import split_by_status, with_content, with_meta, with_rules, without_rules
 from ..schemas import ARTICLE_SCHEMA
 
-# Fixed value: address given to articles that were written by hand, not crawled.
-PLACEHOLDER_URL = "https://www.youtube.com/watch?v=dQw4w9WgXcQ"
-
-
 def build_articles(
     pages: DataFrame,
     profiles: DataFrame,
@@ -32,15 +28,23 @@ def build_articles(
 ) -> tuple[DataFrame, DataFrame]:
     """Articles of `(url, html, profile)` pages, and rejected pages with `errors`.
 
-    Pages already stored are dropped before anything is parsed. From there to
+    A page fetched with another status than 200, without a known profile, or
+    without a field its profile asks for is rejected: articles, rejects and pages
+    already stored are all pages. Stored ones are dropped before anything is parsed. From there to
     the finished record no row is shuffled: metadata, content, tags and
     indicators are all computed in the page's own row.
     """
-    usable, _ = split_by_status(pages)
+    usable, failed = split_by_status(pages)
     if store is not None:
         usable = not_stored(usable, store, "url")
+    unknown = without_rules(usable, profiles)
     read = with_meta(with_rules(usable, profiles), as_of)
-    rejected = read.filter(F.size("errors") > 0).select("url", "profile", "errors")
+    rejected = (
+        read.filter(F.size("errors") > 0)
+        .select("url", "profile", "errors")
+        .unionByName(failed.select("url", "profile", F.array("reason").alias("errors")))
+        .unionByName(unknown.select("url", "profile", F.array(F.lit("no profile")).alias("errors")))
+    )
     good = with_content(read.filter(F.size("errors") == 0), converters)
     articles = good.select(
         article_id(F.col("url")).alias("id"),
@@ -66,13 +70,18 @@ def build_articles(
 def parse_results(pages: DataFrame, profiles: DataFrame, as_of: Column) -> DataFrame:
     """`(profile, url, ok)`: whether each page yields an article."""
     read = with_meta(with_rules(pages, profiles), as_of)
-    return read.select("profile", "url", (F.size("errors") == 0).alias("ok"))
+    unknown = without_rules(pages, profiles).select("profile", "url", F.lit(False).alias("ok"))
+    return read.select("profile", "url", (F.size("errors") == 0).alias("ok")).unionByName(unknown)
 
 
 def articles_from_markdown(
-    parsed: DataFrame, start: Column, end: Column, seed: int = 0
+    parsed: DataFrame, start: Column, end: Column, seed: int = 0, url: Column | None = None
 ) -> DataFrame:
-    """Articles of parsed Markdown files, dated evenly in `[start, end)`."""
+    """Articles of parsed Markdown files, dated evenly in `[start, end)`.
+
+    They were not crawled; without a `url` each gets one of its own, made of its id.
+    """
+    url = F.concat(F.lit("urn:article:"), F.col("id")) if url is None else url
     dated = parsed.withColumn(
         "__date", spread_dates(F.col("id"), start, end, seed)
     )
@@ -80,7 +89,7 @@ def articles_from_markdown(
         article_id(F.col("id")).alias("id"),
         "title",
         "description",
-        F.lit(PLACEHOLDER_URL).alias("url"),
+        url.alias("url"),
         F.coalesce("image", F.lit("")).alias("image_url"),
         profile_slug(F.col("source")).alias("profile"),
         "source",

@@ -46,6 +46,15 @@ def modified_dates(
     )
 
 
+def unreadable_dates(
+    articles: DataFrame, fields: Sequence[str] = ("publish_date", "inserted_at"), key: str = "id"
+) -> DataFrame:
+    """`(key, field, value)` of date texts that cannot be read, which `add_timezone` makes null."""
+    texts = [F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"), assume_utc(F.col(f)).alias("read")) for f in fields]
+    each = articles.select(key, F.inline(F.array(*texts)))
+    return each.filter("value IS NOT NULL AND read IS NULL").select(key, "field", "value")
+
+
 def add_timezone(
     articles: DataFrame, fields: Sequence[str] = ("publish_date", "inserted_at")
 ) -> DataFrame:

@@ -21,9 +21,9 @@ def gather_urls(
     """`(profile, url)` of all profiles, and failed profiles with a reason.
 
     `feeds` is `(profile, feed_url, xml)` and `front_pages` is `(profile, url,
-    html)`; each profile uses the one its retrieval method names. One failing
-    source fails its profile, and a failed profile has no addresses while the
-    others go on. Feed entries keep repeats; front-page links do not.
+    html)`; each profile uses the one its retrieval method names. A profile without
+    a feed or page fails, as does one with a failing source; a failed profile has no
+    addresses while the others go on. Feed entries keep repeats; front-page links do not.
     """
     methods = profiles.select(
         F.col("source.profile_name").alias("profile"),
@@ -41,8 +41,21 @@ def gather_urls(
     )
 
     crawled = profiles.filter(F.col("source.retrieval_method").isin("scraping", "dynamic"))
+    empty = (
+        methods.filter("method = 'rss'")
+        .join(feeds.select("profile").distinct(), "profile", "left_anti")
+        .select("profile", F.lit("no feed").alias("reason"))
+        .unionByName(
+            methods.filter("method IN ('scraping', 'dynamic')")
+            .join(front_pages.select("profile").distinct(), "profile", "left_anti")
+            .select("profile", F.lit("no front page").alias("reason"))
+        )
+    )
+    front_pages = front_pages.join(
+        broadcast_if_bounded(crawled.select(F.col("source.profile_name").alias("profile"))), "profile", "left_semi"
+    )
     links, bad_pages = extract_links(front_pages, crawled, max_per_source)
     return (
         from_feeds.unionByName(links),
-        unknown.unionByName(bad_feeds).unionByName(bad_pages),
+        unknown.unionByName(bad_feeds).unionByName(bad_pages).unionByName(empty),
     )

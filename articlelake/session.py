@@ -57,7 +57,10 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below `spark.checkpoint.dir`, or a local one when it is unset."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or os.path.join(tempfile.gettempdir(), "articlelake")
+    """A fresh folder below `spark.checkpoint.dir`, which only local mode may leave unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = os.path.join(tempfile.gettempdir(), "articlelake")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

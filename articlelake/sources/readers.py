@@ -140,7 +140,7 @@ def parse_markdown(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     parsed = files.select(
         F.col("path").alias("file_path"),
         *[_header_value(header, k).alias(k) for k in (*REQUIRED_KEYS, "image")],
-        F.regexp_replace(body, r"(?U)^\s+|\s+$", "").alias("content"),
+        F.regexp_replace(body, r"(?U)^\s++|(?<!\s)\s++$", "").alias("content"),
     )
     errors = F.array_compact(
         F.array(

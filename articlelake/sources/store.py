@@ -21,6 +21,11 @@ from ..schemas import ARTICLE_SCHEMA
 _LOG = "version bigint, folders array<string>"
 
 
+def _call(folder: str) -> str:
+    """The name under which a folder was added."""
+    return folder.rpartition("~")[0] or folder
+
+
 class ArticleStore:
     """Versioned corpus below one path, for a single writer."""
 
@@ -34,7 +39,9 @@ class ArticleStore:
     def _latest(self) -> tuple[int, list[str]]:
         try:
             log = self.spark.read.schema(_LOG).json(f"{self.path}/versions")
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return 0, []
         row = log.agg(F.max_by(F.struct("*"), "version").alias("v")).first()
         return (row["v"]["version"], list(row["v"]["folders"])) if row["v"] else (0, [])
@@ -45,7 +52,7 @@ class ArticleStore:
 
     def read(self, without: str | None = None) -> DataFrame:
         """All articles of the current version, optionally without one folder."""
-        folders = [f for f in self._latest()[1] if f != without]
+        folders = [f for f in self._latest()[1] if _call(f) != without]
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         paths = [f"{self.path}/{f}" for f in folders]
@@ -58,16 +65,18 @@ class ArticleStore:
     def append(self, articles: DataFrame, folder: str | None = None) -> int:
         """Add articles known to be new.
 
-        A named folder makes the call repeatable: writing it again replaces it.
+        A name makes the call repeatable: a second one of the same name takes the
+        place of the first. Published folders are never written to; the new rows
+        get a folder of their own, and the next version names it instead.
         """
         version, folders = self._latest()
-        folder = folder or f"added-{uuid.uuid4().hex}"
+        name = folder or "added"
+        fresh = f"{name}~{uuid.uuid4().hex}"
         rows = align_schema(articles, self.schema).select(*self.schema.fieldNames())
-        rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
-        if folder not in folders:
-            self._publish(version + 1, [*folders, folder])
-            return version + 1
-        return version
+        rows.write.mode("errorifexists").parquet(f"{self.path}/{fresh}")
+        left = folders if folder is None else [f for f in folders if _call(f) != folder]
+        self._publish(version + 1, [*left, fresh])
+        return version + 1
 
     def replace(self, articles: DataFrame) -> int:
         """Make `articles`, usually derived from `read()`, the whole corpus."""

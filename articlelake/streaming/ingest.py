@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.merge import latest_per_key, not_stored
@@ -29,24 +30,29 @@ def ingest_incremental(
 
     Each batch drops stored addresses, parses the rest and adds them as a
     folder named after stream and batch. A batch that is tried again writes
-    the same folder, so nothing is stored twice. Rejected pages are kept below
-    `rejects_dir` when one is given.
+    the same folder, so nothing is stored twice. Every page that does not become
+    an article is written with its reasons below `rejects_dir`, which is
+    the checkpoint's name with `-rejects` unless given. Pages without an address have
+    nothing to be known by and are rejected.
     """
 
+    rejects = rejects_dir or f"{checkpoint_dir.rstrip('/')}-rejects"
+
     def add(pages: DataFrame, batch: int) -> None:
         # The id lives in the checkpoint: a new checkpoint never reuses a folder.
         stream_id = spark.read.json(f"{checkpoint_dir}/metadata").first()["id"]
         folder = f"stream-{stream_id}-{batch}"
-        fresh = not_stored(
-            split_by_status(pages)[0], store.read(without=folder), "url"
-        )
+        usable, failed = split_by_status(pages)
+        nameless = usable.filter("url IS NULL").withColumn("reason", F.lit("no url"))
+        fresh = not_stored(usable.filter("url IS NOT NULL"), store.read(without=folder), "url")
         once = latest_per_key(fresh, "url", ["page_id"])
         if "profile" not in once.columns:
             once = with_profile(once, profiles)
         articles, rejected = build_articles(once, profiles, common_words, as_of)
         store.append(articles, folder)
-        if rejects_dir is not None:
-            rejected.write.mode("overwrite").parquet(f"{rejects_dir}/{folder}")
+        unread = failed.select("url", "reason").unionByName(nameless.select("url", "reason"))
+        unread = unread.select("url", F.lit(None).cast("string").alias("profile"), F.array("reason").alias("errors"))
+        rejected.unionByName(unread).write.mode("overwrite").parquet(f"{rejects}/{folder}")
 
     stream = (
         spark.readStream.schema(page_schema)

@@ -250,6 +250,25 @@ def test_gather_urls(spark):
         ("feed", "1"), ("feed", "1"), ("page", "https://a.b/b?x=1&y")
     ]
     assert {r["profile"] for r in failed.collect()} == {"odd", "badfeed", "nolist"}
+    _, failed = gather_urls(profiles, feeds.limit(0), fronts.limit(0), 2)
+    assert {(r["profile"], r["reason"]) for r in failed.collect()} >= {("feed", "no feed"), ("page", "no front page")}
+
+
+def test_every_page_is_an_article_or_a_reject(spark):
+    good = f"<body>{HEAD}<h1>T</h1><article><p>x</p></article></body>"
+    table = page_table(spark, good, good, "<p>bad", good).withColumn(
+        "status", F.when(F.col("url").endswith("1"), 404).otherwise(200)
+    ).withColumn("profile", F.when(F.col("url").endswith("3"), "unheard of").otherwise(F.col("profile")))
+    made, rejected = build_articles(table, rules(spark, profile()), ["the"], as_of())
+    reasons = {r["url"][-1]: list(r["errors"]) for r in rejected.collect()}
+    assert made.count() + len(reasons) == 4
+    assert reasons["1"] == ["status 404"] and reasons["3"] == ["no profile"] and "2" in reasons
+
+
+@pytest.mark.parametrize("blank", [" ", "\u00a0"])
+def test_trims_stay_linear(one, blank):
+    text = "a" + blank * 300_000 + "b" + blank * 300_000
+    assert one(html._trim, t=text) == text.rstrip()
 
 
 def test_parsing_moves_no_page(spark, sf):

@@ -180,13 +180,22 @@ def test_store(spark, tmp_path):
     store = ArticleStore(spark, str(tmp_path / "s"))
     assert store.read().count() == 0 and store.version == 0
     assert store.append(articles(spark, 2), "first") == 1
-    assert store.append(articles(spark, 3), "first") == 1 and store.read().count() == 3
-    assert store.replace(store.read().filter("title <> 't0'")) == 2
+    published = {p: p.stat().st_mtime_ns for p in (tmp_path / "s").glob("first*/*")}
+    assert store.append(articles(spark, 3), "first") == 2 and store.read().count() == 3
+    assert published == {p: p.stat().st_mtime_ns for p in published}
+    assert store.read(without="first").count() == 0
+    assert store.replace(store.read().filter("title <> 't0'")) == 3
     assert sorted(r["title"] for r in store.read().collect()) == ["t1", "t2"]
     assert store.read(without="first").count() == 2
     ids = articles(spark, 2).select("id")
     store.replace(merge.delete_by_id(store.read(), ids))
-    assert [r["title"] for r in store.read().collect()] == ["t2"] and store.version == 3
+    assert [r["title"] for r in store.read().collect()] == ["t2"] and store.version == 4
+
+
+def test_unreadable_dates(spark):
+    found = spark.createDataFrame([("1", "soon", "2024-01-02"), ("2", None, "2024-01-02T03:04:05+01:00")], "id string, publish_date string, inserted_at string")
+    assert [tuple(r) for r in jobs.unreadable_dates(found).collect()] == [("1", "publish_date", "soon")]
+    assert [r["id"] for r in jobs.modified_dates(found).collect()] == ["1"]
 
 
 def test_ingest(spark, tmp_path):
@@ -211,4 +220,6 @@ def test_ingest(spark, tmp_path):
     assert run() == ["1", "2", "3"]
     # A new stream over the same files finds everything stored.
     assert run("other") == ["1", "2", "3"]
-    assert spark.read.parquet(f"{tmp_path}/rejects/*").filter("url like '%/0'").count() >= 1
+    rejects = spark.read.parquet(f"{tmp_path}/rejects/*")
+    assert rejects.filter("url like '%/0'").count() >= 1
+    assert rejects.filter("url like '%/9' and array_contains(errors, 'status 500')").count() >= 1
