@@ -49,10 +49,14 @@ def _fold(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
 
 
 def windows(items: DataFrame, key: str = "item_id", text: str = "text", size: int = WINDOW) -> DataFrame:
-    """All windows of the items: (item_id, window, terms). Fewer words than `size`,
-    but not none, are one window; a null text has none."""
+    """All windows of the items: (item_id, item, at, window, terms). `item` numbers the
+    rows, `at` is a window's first word. Fewer words than `size`, but not none, are
+    one window; a null text has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for some in slices(batch, "text"):
                 words, bounds = _words(some.column("text"))
@@ -67,14 +71,17 @@ def windows(items: DataFrame, key: str = "item_id", text: str = "text", size: in
                 yield pa.RecordBatch.from_pydict(
                     {
                         "item_id": some.column("item_id").take(pa.array(owner)),
+                        "item": pa.array(owner + number),
+                        "at": pa.array((starts - bounds[:-1][owner]).astype(np.int32)),
                         "window": pa.array(_fold(words, starts, lengths)),
                         "terms": pa.ListArray.from_arrays(limits, terms),
                     }
                 )
+                number += some.num_rows
 
     rows = items.select(name(key).alias("item_id"), name(text).alias("text"))
     kind = dict(rows.dtypes)["item_id"]
-    return rows.mapInArrow(run, f"item_id {kind}, window long, terms array<long>")
+    return rows.mapInArrow(run, f"item_id {kind}, item long, at int, window long, terms array<long>")
 
 
 def _filter_of(terms: DataFrame) -> np.ndarray:
@@ -211,29 +218,33 @@ class PositionalIndex:
         self.postings = stored.filter("term IS NOT NULL").select("term", "doc_id", "print", "positions")
         self.lengths = stored.filter("term IS NULL").select("doc_id", "print", "n_words")
 
-    def _anchors(self) -> DataFrame:
-        return self.windows.select("window", "length", F.size("anchors").alias("need"), F.posexplode("anchors").alias("nth", "anchor"))
-
     def places(self) -> DataFrame:
-        """Where all anchors of a window agree: (doc_id, print, window, length, start)."""
-        anchors = self._anchors().select("window", "length", "need", "nth", F.col("anchor.term").alias("term"), F.col("anchor.offset").alias("offset"))
+        """Where all anchors of a window agree: (doc_id, print, window, length, start).
+
+        Lists are adjusted to where the item, not each window, would begin, as
+        windows of an item share their anchors.
+        """
+        anchored = self.items.select("item", "at", "window").join(self.windows, "window")
+        offsets = F.transform("anchors", lambda a: a["offset"] + F.col("at"))
+        anchored = anchored.select("item", "at", "window", "length", offsets.alias("offsets"), "anchors.term")
+        fewest = anchored.groupBy("item").agg(F.min(F.size("offsets")).alias("fewest"))
+        points = anchored.select("item", F.explode(F.arrays_zip("offsets", "term")).alias("x")).select("item", "x.*").distinct()
+        points = points.join(fewest, "item").select("item", "fewest", "term", F.col("offsets").alias("offset"))
         adjusted = (
-            self.postings.join(anchors, "term")
-            .select("doc_id", "print", "window", "length", "need", "nth", F.explode("positions").alias("at"), "offset")
-            .withColumn("start", F.col("at") - F.col("offset"))
-            .filter("start >= 0")
-        )
-        met = adjusted.groupBy("doc_id", "print", "window", "length", "need", "start").agg(
-            F.bit_or(F.expr("shiftleft(1, nth)")).alias("met")
-        )
-        return met.filter(F.col("met") == F.expr("shiftleft(1, need) - 1")).select(
-            "doc_id", "print", "window", "length", "start"
+            self.postings.join(points, "term")
+            .select("doc_id", "print", "item", "fewest", F.explode("positions").alias("found"), "offset")
+            .withColumn("start", F.col("found") - F.col("offset"))
         )
+        met = adjusted.groupBy("doc_id", "print", "item", "fewest", "start").agg(F.collect_set("offset").alias("met"))
+        met = met.filter(F.size("met") >= F.col("fewest")).withColumn("rarest", F.explode("met"))
+        anchored = anchored.drop("term").withColumn("rarest", F.col("offsets")[0])
+        agreed = met.join(anchored, ["item", "rarest"]).filter(F.size(F.array_except("offsets", "met")) == 0)
+        return agreed.select("doc_id", "print", "window", "length", (F.col("start") + F.col("at")).alias("start"))
 
     def phrases(self) -> DataFrame:
         """Documents with windows word by word: (doc_id, print, n_hit, windows)."""
         places = self.places().groupBy("doc_id", "print").agg(
-            F.collect_list(F.struct("start", "length", "window")).alias("places")
+            F.collect_set(F.struct("start", "length", "window")).alias("places")
         )
         here = self.docs.join(
             places.select(F.col("doc_id").alias("d"), F.col("print").alias("p"), "places"),
@@ -246,7 +257,9 @@ class PositionalIndex:
     def proximity(self, slop: int = 5) -> DataFrame:
         """Windows whose anchors all lie within the window's length and `slop` words
         of each other, in any order: (doc_id, print, window, around)."""
-        anchors = self._anchors().select("window", "length", "need", F.col("anchor.term").alias("term"), "nth")
+        anchors = self.windows.select(
+            "window", "length", F.size("anchors").alias("need"), F.posexplode("anchors.term").alias("nth", "term")
+        )
         near = (
             self.postings.join(anchors, "term")
             .select("doc_id", "print", "window", "length", "need", "nth", F.explode("positions").alias("at"))
