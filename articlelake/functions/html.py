@@ -41,7 +41,9 @@ _HEAD = rf"^<[^>\s/]+(?=[\s/>]){TAG_REST}>"
 
 _BASIC = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "#39": "'", "amp": "&"}
 _BASIC_NAMES = "|".join(_BASIC)
-_ENTITY = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_ENTITY = r"&(#[0-9]++|#[xX][0-9A-Fa-f]++|[A-Za-z][A-Za-z0-9]*+);"
+# References to these control codes mean the characters of an old code page.
+_OLD_CODES = {i: bytes([i]).decode("cp1252") for i in range(0x80, 0xA0) if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 
 
 def strip_noise(html: Column) -> Column:
@@ -80,12 +82,14 @@ def _decoded_piece(piece: Column) -> Column:
     def char(code: Column) -> Column:
         usable = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
         text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        text = F.translate(text, "".join(map(chr, _OLD_CODES)), "".join(_OLD_CODES.values()))
         return F.when(usable, text).otherwise(F.lit("\ufffd"))
 
     def resolve(name: Column) -> Column:
-        code = F.when(
-            name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)
-        ).otherwise(F.substring(name, 2, 8))
+        digits = F.regexp_replace(name, "^#[xX]?0*(?=.)", "")
+        code = F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+        # Longer than any code point: out of range.
+        code = F.when(F.length(digits) > 8, "0").otherwise(code)
         known = F.coalesce(F.try_element_at(table, name), F.concat(piece, F.lit(";")))
         return F.when(name.startswith("#"), let(code.try_cast("bigint"), char)).otherwise(
             known

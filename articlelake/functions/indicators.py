@@ -30,8 +30,8 @@ SHA512 = "SHA512-hash"
 CVE_PATTERN = r"[Cc][Vv][Ee]-\d{4}-\d{4,7}"
 ATTACK_PATTERN = r"(?:[TMSGO]|TA)\d{4}\.\d{3}"
 
-_DOT = r"(?:[\[(\\]{0,2}\.[\])]{0,2}|(?i:\[dot\]|\(dot\)))"
-_AT = r"(?:@|\[@\]|\(@\)|(?i:\[at\]|\(at\)))"
+_DOT = r"(?:[\[({\\]{0,2}\.[\])}]{0,2}|(?i:\[dot\]|\(dot\)|\{dot\}))"
+_AT = r"(?:@|\[@\]|\(@\)|\{@\}|(?i:\[at\]|\(at\)|\{at\}))"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _GROUP = r"[0-9A-Fa-f]{1,4}"
 
@@ -46,8 +46,10 @@ _EMAIL = (
     rf"(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]++{_AT}"
     rf"[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+"
 )
-_EMAIL_HINT = r"@|(?i:[\[(]at[\])])"
-_URL = r"(?i)(?:h(?:tt|xx)ps?|f[tx]p)\[?:\]?//[^\s<>\"'`{}|^]+"
+_EMAIL_HINT = r"@|(?i:[\[({]at[\])}])"
+_SLASHES = r"(?:\[://\]|\[?:\]?//)"
+_URL_RUN = r"[^\s<>\"'`{}|^]+"
+_URL = rf"(?i)(?:h(?:tt|xx)ps?|f[tx]p){_SLASHES}{_URL_RUN}(?:\{{\.\}}{_URL_RUN})*"
 _HEX_RUN = r"[0-9A-Fa-f]{32,}"
 
 
@@ -98,8 +100,8 @@ def email_addresses(text: Column) -> Column:
 
 def urls(text: Column) -> Column:
     def plain(found: Column) -> Column:
-        found = F.regexp_replace(found, r"^(?i)(?:hxx|htt)(ps?)\[?:\]?//", "htt$1://")
-        found = F.regexp_replace(found, r"^(?i)f[tx]p\[?:\]?//", "ftp://")
+        found = F.regexp_replace(found, rf"^(?i)(?:hxx|htt)(ps?){_SLASHES}", "htt$1://")
+        found = F.regexp_replace(found, rf"^(?i)f[tx]p{_SLASHES}", "ftp://")
         return F.regexp_replace(_plain_dots(found), r"[.,;:!?)\]]+$", "")
 
     return F.transform(_find(text, _URL), plain)

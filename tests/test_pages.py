@@ -65,6 +65,20 @@ def test_decode_entities(one, raw, text):
     assert one(html.decode_entities, t=raw) == text
 
 
+@pytest.mark.parametrize(
+    "raw,text",
+    [
+        ("&#00000065;", "A"),
+        ("&#x0000000041;", "A"),
+        ("it&#146;s &#150; &#x80;", "it\u2019s \u2013 \u20ac"),
+        ("&#" + "9" * 40 + ";", "\ufffd"),
+        ("&#x110000; &#xD800;", "\ufffd \ufffd"),
+    ],
+)
+def test_numeric_references(one, raw, text):
+    assert one(html.decode_entities, t=raw) == text
+
+
 @pytest.mark.parametrize(
     "tag,name,value",
     [

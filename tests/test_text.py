@@ -186,6 +186,11 @@ def found(one, s):
         ("x[at]y[.]z or A.b@c.org.", indicators.EMAIL, ["A.b@c.org", "x@y.z"]),
         ("hxxp://a[.]b/c, (https://d.e/f?g=1).", indicators.URL,
          ["http://a.b/c", "https://d.e/f?g=1"]),
+        ("hxxps[://]evil[.]com/x", indicators.URL, ["https://evil.com/x"]),
+        ("hxxp://evil{.}com/a", indicators.URL, ["http://evil.com/a"]),
+        ("ftp[:]//a.b/c", indicators.URL, ["ftp://a.b/c"]),
+        ("x{at}y{dot}z", indicators.EMAIL, ["x@y.z"]),
+        ("1{.}2{.}3.4", indicators.IPV4, ["1.2.3.4"]),
         ("md5 " + "aB" * 16, indicators.MD5, ["aB" * 16]),
         ("sha1 " + "0f" * 20, indicators.SHA1, ["0f" * 20]),
         ("sha256 " + "0f" * 32, indicators.SHA256, ["0f" * 32]),
