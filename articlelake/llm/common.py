@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space everywhere in this subpackage: blank, tab, LF, VT, FF, CR.
@@ -17,6 +17,9 @@ BLANKS = " \t\n\x0b\f\r"
 BATCH_ROWS = 500
 
 
+_local_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share, from `spark.checkpoint.dir`.
 
@@ -24,10 +27,12 @@ def shared_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local["):
+        context = spark.sparkContext
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if context.applicationId not in _local_roots:
+            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="checkpoint-")
+        root = _local_roots[context.applicationId]
     return root.rstrip("/")
 
 
@@ -70,3 +75,19 @@ def rows_of(docs: DataFrame, chosen: DataFrame, how: str, key: str = "doc_id", t
     `chosen`, which has doc_id and text_hash. Columns stay as they are; null ids are equal."""
     ids = chosen.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
     return docs.join(ids, name(key).eqNullSafe(F.col("__id")) & (text_hash(text) == F.col("__hash")), how)
+
+
+def draw_rows(rows: DataFrame, label: str, limit: int, *identity: str) -> DataFrame:
+    """At most `limit` rows of each label, by a hash of the columns `identity`.
+
+    Labels are few, as a model has a column for each: their counts come to the
+    driver. Rows whose hash is too high to be among the drawn go before anything moves.
+    """
+    counts = rows.groupBy(label).count().filter(F.col(label).isNotNull()).collect()
+    if not counts:
+        return rows.limit(0)
+    shares = [x for r in counts for x in (F.lit(r[label]), F.lit(min(1.0, 3 * limit / r["count"])))]
+    place = F.pmod(F.xxhash64(*identity), F.lit(1 << 30))
+    near = rows.filter(place < F.create_map(*shares)[F.col(label)] * (1 << 30))
+    order = Window.partitionBy(label).orderBy(place, *identity)
+    return near.withColumn("__nth", F.row_number().over(order)).filter(F.col("__nth") <= limit).drop("__nth")

@@ -14,11 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from articlelake.llm.chars import code_points, lower
-from articlelake.llm.common import crc_of, name, small_batches
+from articlelake.llm.common import crc_of, draw_rows, name, small_batches, written
 from articlelake.llm.words import slices
 
 BUCKETS = 1 << 18
@@ -125,11 +125,11 @@ def train(texts: list[str | None], labels: np.ndarray) -> ToxicityModel:
 def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Learn from at most `rows` labelled texts of each label, drawn by a hash of their ids."""
     marks = labels.select(name(key).alias("doc_id"), name(label).cast("int").alias("label")).filter("label IN (0, 1)")
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
     texts = docs.select(name(key).alias("doc_id"), name(text).alias("text")).filter(F.octet_length("text") <= SAMPLE_BYTES)
-    # Texts too long leave gaps, so somewhat more ids than rows are drawn before texts are joined.
-    drawn = marks.distinct().withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= 2 * rows)
-    found = texts.join(drawn, "doc_id").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= rows)
+    # Texts too long leave gaps, so more ids than rows are drawn before texts are joined.
+    # They are 4 * `rows` at most, few enough to go to every task.
+    drawn = draw_rows(marks.distinct(), "label", 2 * rows, "doc_id")
+    found = draw_rows(written(texts.join(F.broadcast(drawn), "doc_id"), "sample"), "label", rows, "doc_id", "text")
     sample = found.select("label", "text", "doc_id").orderBy("doc_id", "label", "text").toArrow()
     return train(sample.column("text").to_pylist(), sample.column("label").to_numpy())
 
