@@ -655,6 +655,18 @@ def page_rejects(spark, sf):
     return pages.split_by_status(crawled)[1].select("page_id", "url", "reason")
 
 
+@_query(f"""SELECT url, CASE WHEN contains(url, '?') THEN 'status 404' ELSE 'no profile' END AS errors
+FROM pages WHERE contains(url, '?') OR {_HOST_SQL} NOT LIKE 'm.%'""")
+def build_rejects(spark, sf):
+    """Only hosts starting with m have a profile, and addresses with a query string were not found."""
+    profiles = _profiles(spark, sf)
+    known = profiles.filter(F.col("source.profile_name").startswith("m."))
+    status = F.when(F.contains(F.col("url"), F.lit("?")), F.lit(404)).otherwise(F.lit(200))
+    found = _pages(spark, sf, known).withColumn("status", status)
+    _, rejected = build.build_articles(found, known, COMMON, _ts(AS_OF))
+    return rejected.select("url", F.array_join("errors", ",").alias("errors"))
+
+
 # ------------------------------------------------------------------------- sources
 
 
@@ -712,6 +724,18 @@ def gather_urls(spark, sf):
     return gather.gather_urls(profiles, _feeds(spark, sf), found, 4)[0]
 
 
+@_query(f"""WITH hosts AS (SELECT DISTINCT {_HOST_SQL} AS profile FROM pages)
+SELECT profile, CASE WHEN profile LIKE 'm.%' THEN 'no feed' ELSE 'no front page' END AS reason
+FROM hosts WHERE length(profile) % 2 = 1""")
+def gather_rejects(spark, sf):
+    """Profiles of odd name length have neither feed nor front page."""
+    by_feed = F.when(F.col("host").startswith("m."), F.lit("rss"))
+    profiles = _profiles(spark, sf, method=by_feed.otherwise(F.lit("dynamic")))
+    even = F.length("profile") % 2 == 0
+    found, feeds = _pages(spark, sf, profiles).filter(even), _feeds(spark, sf).filter(even)
+    return gather.gather_urls(profiles, feeds, found, 4)[1].select("profile", "reason")
+
+
 @_query("""SELECT n_nationkey::BIGINT AS nation, 'https://' || lower(replace(n_name, ' ', '-')) ||
 '.example/p/' || page AS url FROM nation, unnest(range(2, 7)) AS t(page)""")
 def expand_url_template(spark, sf):
@@ -1137,10 +1161,11 @@ def run_report(spark, sf):
 
 
 @_query(f"""WITH {_ML_SQL},
-newest AS (SELECT id, title, label FROM judged ORDER BY publish_date DESC, id LIMIT 1000)
+newest AS (SELECT id, title, label FROM judged ORDER BY publish_date DESC, id LIMIT 200)
 SELECT id, title FROM newest WHERE label IS NULL""")
 def label_queue(spark, sf):
-    return labels.label_queue(_judged(spark, sf)).select("id", "title")
+    """The limit is the feature: it cuts the 200 newest from all articles."""
+    return labels.label_queue(_judged(spark, sf), 200).select("id", "title")
 
 
 @_query(f"WITH {_ML_SQL} SELECT id, title FROM judged WHERE incident = 0")
