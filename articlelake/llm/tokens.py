@@ -48,43 +48,62 @@ FILE_SCHEMA = "part int, seq int, before long, doc_ids array<long>, at array<lon
 
 
 def pack(ids: np.ndarray) -> bytes:
-    """Encode unsigned 64-bit ids."""
-    ids = np.asarray(ids, np.uint64)
-    n = len(ids)
-    escaped = ids >> np.uint64(60) > 0
-    places = np.cumsum(escaped) - 1
-    values = np.where(escaped, places.astype(np.uint64), ids) if escaped.any() else ids
-    index = np.arange(n, dtype=np.int64)
-    left = np.minimum((index // STRETCH + 1) * STRETCH, n) - index  # a word ends with its stretch
-    if escaped.any():
-        nearest = np.where(escaped, index, n)
-        left = np.minimum(left, np.minimum.accumulate(nearest[::-1])[::-1] - index)
-    count, selector = np.ones(n, np.int64), np.full(n, len(COUNTS), np.int64)
+    """Encode unsigned 64-bit ids as one block."""
+    return pack_blocks(ids, np.array([0, len(ids)]))[0]
+
+
+def pack_blocks(ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Encode several blocks, ids[bounds[i]:bounds[i + 1]] each, all stretches side by side."""
+    ids, n = np.asarray(ids, np.uint64), int(bounds[-1])
+    stretches = -(-np.diff(bounds) // STRETCH)
+    block = np.repeat(np.arange(len(stretches)), stretches)
+    nth = np.arange(len(block)) - np.repeat(np.cumsum(stretches) - stretches, stretches)
+    starts = (bounds[:-1][block] + nth * STRETCH).astype(np.int32)
+    ends = np.minimum(starts + STRETCH, bounds[1:][block]).astype(np.int32)
+    left = np.repeat(ends, ends - starts) - np.arange(n, dtype=np.int32)  # a word ends with its stretch
+    values, escaped = ids, np.flatnonzero(ids >> np.uint64(60))
+    if len(escaped):
+        near = np.full(n, n, np.int32)
+        near[escaped] = escaped
+        left = np.minimum(left, np.minimum.accumulate(near[::-1])[::-1] - np.arange(n, dtype=np.int32))
+        values = ids.copy()
+        values[escaped] = np.arange(len(escaped)) - np.searchsorted(escaped, bounds)[np.searchsorted(bounds, escaped, "right") - 1]
+    count, selector = np.ones(n, np.int32), np.full(n, len(COUNTS), np.uint8)
     largest = values.astype(np.uint32) if n and values.max() < 1 << 32 else values.copy()
     for c in range(2, COUNTS[0] + 1):  # largest[i] becomes that of ids i to i + c - 1
         np.maximum(largest[: n - c + 1], largest[1 : n - c + 2], out=largest[: n - c + 1])
         if c in COUNTS:
-            fits = np.flatnonzero((largest < min(1 << (60 // c), 1 << 31)) & (left >= c))
-            if not len(fits):
+            fits = (largest < min(1 << (60 // c), 1 << 31)) & (left >= c)
+            if not fits.any():
                 break
-            count[fits], selector[fits] = c, COUNTS.index(c) + 1
+            np.putmask(count, fits, c)
+            np.putmask(selector, fits, COUNTS.index(c) + 1)
     selector[escaped], count[escaped] = ESCAPE, 1
-    heads, at, jump = [], 0, (index + count).tolist()
-    while at < n:
+    then, at, stop, heads = np.arange(n, dtype=np.int32) + count, starts, ends, []
+    while len(at):
         heads.append(at)
-        at = jump[at]
-    heads = np.array(heads, np.int64)
+        at = then[at]
+        more = at < stop
+        at, stop = at[more], stop[more]
+    heads = np.sort(np.concatenate([np.zeros(0, np.int32), *heads]))
     chosen = selector[heads]
     words = chosen.astype(np.uint64)
-    for s in np.unique(chosen):
+    for s in np.flatnonzero(np.bincount(chosen)):
         here = np.flatnonzero(chosen == s)
         c = 1 if s == ESCAPE else COUNTS[s - 1]
+        from_, word = heads[here], words[here]
         for k in range(c):
-            words[here] |= values[heads[here] + k] << np.uint64(4 + k * (60 // c))
-    firsts = np.searchsorted(heads, np.arange(0, n, STRETCH)).astype("<u4")
-    escapes = ids[escaped].astype("<u8")
-    head = MAGIC + struct.pack("<4I", n, len(firsts), len(words), len(escapes))
-    return head + firsts.tobytes() + words.astype("<u8").tobytes() + escapes.tobytes()
+            word |= values[from_ + k] << np.uint64(4 + k * (60 // c))
+        words[here] = word
+    cuts, firsts = np.searchsorted(heads, bounds), np.searchsorted(heads, starts)
+    out, rows = [], np.cumsum([0, *stretches])
+    extra = np.searchsorted(escaped, bounds)
+    for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        escapes = ids[escaped[extra[i] : extra[i + 1]]]
+        own = firsts[rows[i] : rows[i + 1]] - a
+        head = MAGIC + struct.pack("<4I", bounds[i + 1] - bounds[i], len(own), b - a, len(escapes))
+        out.append(head + own.astype("<u4").tobytes() + words[a:b].astype("<u8").tobytes() + escapes.astype("<u8").tobytes())
+    return out
 
 
 def unpack(payload: bytes, stretch: int | None = None) -> np.ndarray:
@@ -224,38 +243,63 @@ def _encoder(path: Callable[[], str] | str) -> Encoder:
     return _encoders[path]
 
 
+_KINDS = pa.schema(
+    [
+        ("part", pa.int32()),
+        ("seq", pa.int32()),
+        ("before", pa.int64()),
+        ("doc_ids", pa.list_(pa.int64())),
+        ("at", pa.list_(pa.int64())),
+        ("payload", pa.binary()),
+    ]
+)
+
+
 def _blocks(path, end_id: int, block_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part, seq, before, held = TaskContext.get().partitionId(), 0, 0, 0
         keys: list = []
-        parts: list[np.ndarray] = []
+        sizes: list[int] = []
+        rest: list[np.ndarray] = []
+        closed: list[tuple] = []
+        encoder = _encoder(path)
 
-        def block() -> pa.RecordBatch:
-            ids = np.concatenate(parts)
-            at = np.cumsum([0, *map(len, parts)])[:-1]
-            row = [[part], [seq], [before], [list(keys)], [at.tolist()], [pack(ids)]]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            names = ["part", "seq", "before", "doc_ids", "at", "payload"]
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names)
+        def close() -> None:
+            nonlocal seq, before, held
+            at = (np.cumsum(sizes) - sizes).tolist()
+            closed.append((part, seq, before, list(keys), at, held))
+            seq, before, held = seq + 1, before + held, 0
+            keys.clear()
+            sizes.clear()
+
+        def packed() -> pa.RecordBatch:
+            """The blocks that are full; ids of one that is not stay."""
+            ids = np.concatenate(rest)
+            bounds = np.cumsum([0, *(row[-1] for row in closed)])
+            rest[:] = [ids[bounds[-1] :]]
+            rows = [(*row[:-1], data) for row, data in zip(closed, pack_blocks(ids[: bounds[-1]], bounds), strict=True)]
+            closed.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), _KINDS.types, strict=True)], schema=_KINDS
+            )
 
-        encoder = _encoder(path)
         for batch in batches:
             for some in slices(batch, "text", SLICE_BYTES):
                 flat, limits = encoder.encode(some.column("text"))
-                limits = limits.tolist()
-                for doc, a, b in zip(some.column("doc_id").to_pylist(), limits, limits[1:], strict=False):
+                rest.append(np.insert(flat, limits[1:], np.uint32(end_id)))
+                for doc, size in zip(some.column("doc_id").to_pylist(), (np.diff(limits) + 1).tolist(), strict=True):
                     keys.append(doc)
-                    parts.append(np.append(flat[a:b], np.uint32(end_id)))
-                    held += b - a + 1
+                    sizes.append(size)
+                    held += size
                     if held >= block_ids:
-                        yield block()
-                        seq, before, held = seq + 1, before + held, 0
-                        keys.clear()
-                        parts.clear()
+                        close()
+                if closed:
+                    yield packed()
         if keys:
-            yield block()
+            close()
+            yield packed()
 
     return run
 
