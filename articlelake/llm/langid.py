@@ -16,11 +16,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from articlelake.llm.chars import SCRIPTS, code_points, letters, lower, scripts
-from articlelake.llm.common import crc_of, name, small_batches
+from articlelake.llm.common import crc_of, draw_rows, name, small_batches
 from articlelake.llm.words import SLICE_BYTES, slices
 
 BUCKETS = 1 << 17
@@ -91,8 +91,7 @@ def learn(docs: DataFrame, key: str, text: str, lang: str, rows: int = SAMPLE_RO
     small_batches(docs.sparkSession)
     usable = docs.select(name(key).alias("doc_id"), name(lang).cast("string").alias("lang"), name(text).alias("text"))
     usable = usable.filter(F.col("lang").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id")), F.xxhash64("text"))
-    sample = usable.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows).select("lang", "text")
+    sample = draw_rows(usable, "lang", rows, "doc_id", "text").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,12 +281,12 @@ def keep_known(
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    label = _label(shared, switch)
+    label, place = _label(shared, switch), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             number = pa.array(range(batch.num_rows), pa.int64())
-            texts = pa.RecordBatch.from_arrays([number, batch.column(batch.schema.get_field_index(text))], ["doc_id", "text"])
+            texts = pa.RecordBatch.from_arrays([number, batch.column(place)], ["doc_id", "text"])
             parts = [part.select(["lang_pred", "score"]) for part in label(iter([texts]))]
             if parts:
                 found = pa.Table.from_batches(parts).combine_chunks()
@@ -295,7 +294,9 @@ def keep_known(
                 good = pc.and_(known, pc.greater_equal(found["score"], share)).combine_chunks()
                 yield batch.filter(good)
 
-    return docs.mapInArrow(run, docs.schema)
+    # By place, as names may hold dots.
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def held_out(key: Column) -> Column:
