@@ -150,37 +150,44 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}  # of a piece in the next two
-        self.start, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.place: dict[str, int] = {}  # of a word or a row of marks among the kept
+        self.count, self.start, self.length = 0, np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
+        # Pieces seen, by hash in order, with a second hash and their place.
+        self.seen, self.proof, self.found = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _keep(self, pieces: list[str], ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
-        at, to = len(self.place), len(self.place) + len(pieces)
+    def _keep(self, ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Keep runs of ids; returns their places."""
+        at, to = self.count, self.count + len(starts)
         while to > len(self.start):
             self.start, self.length = np.append(self.start, self.start), np.append(self.length, self.length)
         while self.used + len(ids) > len(self.flat):
             self.flat = np.append(self.flat, self.flat)
         self.flat[self.used : self.used + len(ids)] = ids
         self.start[at:to], self.length[at:to] = starts + self.used, lengths
-        self.place.update(zip(pieces, range(at, to), strict=True))
-        self.used += len(ids)
+        self.used, self.count = self.used + len(ids), to
+        return np.arange(at, to)
 
     def _keep_lists(self, pieces: list[str]) -> None:
         if pieces:
             lists = self._plain(pieces)
             lengths = np.array([len(x) for x in lists], np.int64)
             ids = np.array([i for x in lists for i in x], np.uint32)
-            self._keep(pieces, ids, np.cumsum(lengths) - lengths, lengths)
+            places = self._keep(ids, np.cumsum(lengths) - lengths, lengths)
+            self.place.update(zip(pieces, places.tolist(), strict=True))
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Plain words are learnt in lower case and without the marks after them,
-        which the tokenizer makes a piece of its own."""
+    def _learn(self, pieces: list[str]) -> np.ndarray:
+        """Places of new pieces. Plain words are learnt in lower case and without the
+        marks after them, which the tokenizer makes a piece of its own."""
         matches = [_PLAIN_WORD.match(p) for p in pieces]
-        cut = {p: (m[1].lower(), m[2]) for p, m in zip(pieces, matches, strict=True) if m}
-        words = [w for w in {w for w, _ in cut.values()} if w not in self.place]
+        plain = [i for i, m in enumerate(matches) if m]
+        odd = [i for i, m in enumerate(matches) if not m]
+        cores = [matches[i][1].lower() for i in plain]
+        marks = [matches[i][2] for i in plain]
+        words = [w for w in set(cores) if w not in self.place]
         for at in range(0, len(words), 1000):
             # The last id of a word of letters is one that ends words.
             some = words[at : at + 1000]
@@ -190,14 +197,19 @@ class Encoder:
                 self._keep_lists(some)
                 continue
             starts = np.append(0, ends[:-1])
-            self._keep(some, ids, starts, ends - starts)
-        rest = {m for _, m in cut.values()}.union(p for p in pieces if p not in cut)
+            self.place.update(zip(some, self._keep(ids, starts, ends - starts).tolist(), strict=True))
+        rest = set(marks).union(pieces[i] for i in odd)
         self._keep_lists([p for p in rest if p not in self.place])
-        joined = [p for p in cut if p not in self.place]
-        if joined:
-            both = np.array([self.place[x] for p in joined for x in cut[p]], np.int64)
-            lengths = self.length[both].reshape(-1, 2).sum(axis=1)
-            self._keep(joined, self._ids_at(both), np.cumsum(lengths) - lengths, lengths)
+        places = np.empty(len(pieces), np.int64)
+        places[odd] = [self.place[pieces[i]] for i in odd]
+        both = np.array([[self.place[w] for w in cores], [self.place[m] for m in marks]], np.int64).reshape(2, -1)
+        bare = np.array([m == "" for m in marks], bool)
+        lengths = self.length[both[:, ~bare]].sum(axis=0)
+        joined = self._keep(self._ids_at(both[:, ~bare].T.ravel()), np.cumsum(lengths) - lengths, lengths)
+        own = both[0].copy()
+        own[~bare] = joined
+        places[plain] = own
+        return places
 
     def _ids_at(self, places: np.ndarray) -> np.ndarray:
         lengths = self.length[places]
@@ -210,18 +222,28 @@ class Encoder:
         if b"<|" not in data.tobytes():  # special tokens are known by their case
             data = LOWER[data]
         starts, ends, bounds = spans(data, offsets, BETWEEN_BLANKS)
-        _, first, which = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
+        values, first, which = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
         second = hashes(data, starts, ends, SECOND)
-        if (second != second[first[which]]).any():  # two words of one hash
+        proof = second[first]
+        if self.count > REMEMBERED:
+            self._forget()
+        at = np.searchsorted(self.seen, values)
+        known = np.zeros(len(values), bool)
+        inside = at < len(self.seen)
+        known[inside] = self.seen[at[inside]] == values[inside]
+        if (second != proof[which]).any() or (self.proof[at[known]] != proof[known]).any():  # two pieces of one hash
             lists = self._plain(texts.fill_null("").to_pylist())
             limits = np.cumsum([0, *map(len, lists)])
             return np.array([i for x in lists for i in x], np.uint32), limits
-        raw = data.tobytes()
-        pieces = [raw[a:b].decode() for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        if len(self.place) > REMEMBERED:
-            self._forget()
-        self._learn([p for p in pieces if p not in self.place])
-        places = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))[which]
+        raw, new = data.tobytes(), first[~known]
+        pieces = [raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
+        places = np.empty(len(values), np.int64)
+        places[known] = self.found[at[known]]
+        places[~known] = self._learn(pieces)
+        self.seen = np.insert(self.seen, at[~known], values[~known])
+        self.proof = np.insert(self.proof, at[~known], proof[~known])
+        self.found = np.insert(self.found, at[~known], places[~known])
+        places = places[which]
         limits = np.append(0, np.cumsum(self.length[places]))
         return self._ids_at(places), limits[bounds]
 
