@@ -55,6 +55,16 @@ PATTERNS = {
 ANY = "|".join(PATTERNS.values())
 
 
+#: Letters that every title of the patterns begins with or holds.
+TITLES = ("Mr", "Ms", "Sr", "Mme", "Mlle", "Herr", "Frau", "Miss", "Monsieur", "Madame", "Señor", "г-")
+
+
+def _may_hold(text: Column) -> Column:
+    """Whether a text has what some pattern needs: a digit or @, a title, or long runs of hexadecimal letters."""
+    titles = reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in TITLES])
+    return text.rlike("[0-9@]") | titles | text.rlike("[a-f]{32}|[A-F]{32}")
+
+
 def _kind(mention: Column) -> Column:
     """The first kind whose pattern is the whole mention. Look-arounds hold, as the mention stands alone."""
     cases = reduce(
@@ -236,7 +246,7 @@ def replace_entities(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     columns are not looked at; an empty table gives an empty result.
     """
     rows = docs.select(name(key).alias("doc_id"), name(text).alias("text"), text_hash(text).alias("hash"))
-    found = rows.select("doc_id", "hash", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("found"))
+    found = rows.filter(_may_hold(F.col("text"))).select("doc_id", "hash", F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("found"))
     found = found.filter(F.size("found") > 0).select("doc_id", "hash", F.posexplode("found").alias("at", "mention"))
     parts = found.select("doc_id", "hash", "at", F.posexplode(_parts(F.col("mention"))).alias("nth", "part"))
     parts = written(parts.select("doc_id", "hash", "at", "nth", "part.*"), "mentions")
