@@ -52,6 +52,37 @@ def test_surrogates_stay_distinct(spark):
     assert not {r["surrogate"] for r in drawn} & {r["entity"].replace("@", "").replace(".com", "") for r in drawn}
 
 
+def test_surrogates_reach_the_end_of_mentions(spark):
+    """Whole mentions of any form, and untitled ones of people known by a title."""
+    labels = ".".join(f"l{k}x" for k in range(30))
+    texts = [
+        "Mrs. Ana Maria Lopez Garcia's car. Then Garcia and ANA left, Garcian not.",
+        "Dear Mr. J. Smith and Herr von Berg, also Mr. J.R.R. Tolkien; Dear J.R.R. Tolkien",
+        "So Mr. John Smith came. Later John Smith spoke, Smith left. The Mr. Smith, Mail John.smith@x.com See Berg",
+        "See Ana Maria Lopez Garcia there, and Old John Smith; Smith alone",
+        "+33 06 12 34 56 78, +33 1 23 45 67 89, +32 2 555 12 12, 555 123 4567, +1 (609) 555-2028.",
+        f"a@{labels}.com, b@x.com-thanks, c@mail7.example.museum. d@x.com.5 e@1.2.abcdefghijklmnopqrstuvwxyzabc",
+        "f" * 40 + "0a" * 44 + " " + "Mr. Παπαδόπουλος",
+    ]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in surrogates.replace_entities(table).collect()}
+    got = [rows[k]["text"] for k in range(len(texts))]
+    w = r"(\w+)"
+    ana = re.fullmatch(rf"Mrs\. {w} {w} {w} {w}'s car\. Then {w} and {w} left, Garcian not\.", got[0]).groups()
+    assert ana[3] == ana[4] and ana[5] == ana[0].upper() and not set(ana) & {"Ana", "Maria", "Lopez", "Garcia", "ANA"}
+    j, smith, berg, jrr, tolkien = re.fullmatch(rf"Dear Mr\. (\w\.) {w} and Herr von {w}, also Mr\. (\w\.\w\.\w\.) {w}; Dear \4 \5", got[1]).groups()
+    assert j != "J." and berg != "Berg" and tolkien != "Tolkien" and jrr[2] == jrr[4] != "R" and jrr[0] != jrr[2]
+    john = re.fullmatch(rf"So Mr\. {w} {smith} came\. Later \1 {smith} spoke, {smith} left\. The Mr\. {smith}, Mail (\S+)@(\w)\.com See Berg", got[2])
+    assert john[1] != "John" and john[2].lower() != "john.smith" and rows[2]["n_entities"] == 5
+    assert got[3] == f"See {' '.join(ana[:4])} there, and Old {john[1]} {smith}; {smith} alone"
+    digits = lambda t: re.findall(r"\d", t)
+    assert re.sub(r"\d", "0", got[4]) == re.sub(r"\d", "0", texts[4]) and got[4].startswith("+33 ")
+    assert sum(a == b for a, b in zip(digits(got[4]), digits(texts[4]), strict=True)) < 20 and rows[4]["n_entities"] == 5
+    assert not any(part in got[4] for part in ("34 56 78", "67 89", "12 12", "123 4567"))
+    assert not re.search(r"l\d+x|mail7|example", got[5]) and "-thanks" in got[5] and ".museum. " in got[5] and rows[5]["n_entities"] == 5
+    assert re.fullmatch(r"[0-9a-f]{128} Mr\. \w+", got[6]) and not got[6].startswith("f" * 40)
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "u", "Hello there\nhow are you?"),
