@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 from articlelake.functions.binding import let
 from articlelake.llm.common import name, text_hash, written
 
+#: Draws of a given name from the lists, before syllables stand for it.
+LISTED = 2
+#: Ends of a given name of syllables, so that no name is drawn for both genders.
+ENDS = {"latin": ("o", "a"), "cyrillic": ("ий", "ия"), "greek": ("ης", "α")}
+
 #: Anyone who knows it can redraw the surrogates of a guessed value; give your own.
 SECRET = "change me"
 
@@ -28,10 +33,13 @@ GIVEN = {
     "given_f": "alice anna carla clara diana elena emma eva greta helen ida julia laura lena maria nora olga rosa sara vera",
     "given_m_cyrillic": "андрей борис виктор григорий денис егор иван максим павел роман",
     "given_f_cyrillic": "алла вера галина дарья елена ирина мария нина ольга светлана",
+    "given_m_greek": "αλέξανδρος ανδρέας γιώργος δημήτρης κώστας μιχάλης νίκος παύλος πέτρος στέφανος",
+    "given_f_greek": "άννα βασιλική γεωργία ειρήνη ελένη ζωή κατερίνα μαρία νίκη σοφία",
 }
 SYLLABLES = {
     "latin": "bar del fen gar hol jen kel lin mor nev pol ras sten tol var wen",
     "cyrillic": "бар вел гор дан жел зим кол лин мор нев пол рад сол тор фен шум",
+    "greek": "βαρ γελ δαν ζιν θορ καλ λιν μορ νεφ παλ ραν σολ ταρ φεν χαρ ψιλ",
 }
 LETTERS = {
     "latin": "abcdefghijklmnopqrstuvwxyz",
@@ -150,7 +158,7 @@ def _luhn(digits: Column) -> Column:
     return F.call_function("luhn_check", digits)
 
 
-def _surrogate(kind: Column, entity: Column, hashed: Column) -> Column:
+def _surrogate(kind: Column, entity: Column, hashed: Column, attempt: int = 0) -> Column:
     """The characters that stand for the entity's, without punctuation but in addresses and names."""
     stem = F.when(kind == "email", F.regexp_replace(entity, r"\p{L}+$", "")).otherwise(entity)
     chars = F.split(F.regexp_replace(stem, r"[^\p{L}\p{N}]", ""), "")
@@ -173,12 +181,20 @@ def _surrogate(kind: Column, entity: Column, hashed: Column) -> Column:
     ends = F.filter(F.sequence(F.lit(0), F.lit(9)), lambda d: _luhn(F.concat(head, d.cast("string"))) == valid)
     last = F.element_at(ends, (_draw(hashed, 41) % F.size(ends) + 1).cast("int")).cast("string")
     octets = [_draw(hashed, k) % n + a for k, (n, a) in enumerate(((223, 1), (256, 0), (256, 0), (254, 1)))]
-    cyrillic = kind.endswith("_cyrillic")
-    syllable = lambda at: F.when(cyrillic, _pick(SYLLABLES["cyrillic"], _draw(hashed, at))).otherwise(
-        _pick(SYLLABLES["latin"], _draw(hashed, at))
-    )
-    more = F.when(_draw(hashed, 5) % 2 == 0, syllable(6)).otherwise("")
-    given = reduce(lambda c, k: c.when(kind == k, _pick(GIVEN[k], _draw(hashed, 0))), GIVEN, F.when(F.lit(False), ""))
+
+    def by_script(use) -> Column:
+        return F.when(kind.endswith("_cyrillic"), use("cyrillic")).when(kind.endswith("_greek"), use("greek")).otherwise(use("latin"))
+
+    syllable = lambda at: by_script(lambda k: _pick(SYLLABLES[k], _draw(hashed, at)))
+    # The more draws have failed, the longer names become, so that there are always enough.
+    longer = [syllable(10 + n) for n in range(attempt // 4)]
+    more = F.concat(F.when(_draw(hashed, 5) % 2 == 0, syllable(6)).otherwise(""), *longer)
+    pair = by_script(lambda k: F.concat(*[_substr(F.lit(LETTERS[k]), _draw(hashed, n) % len(LETTERS[k]) + 1) for n in (8, 9)]))
+    if attempt < LISTED:
+        given = reduce(lambda c, k: c.when(kind == k, _pick(GIVEN[k], _draw(hashed, 0))), GIVEN, F.when(F.lit(False), ""))
+    else:
+        end = by_script(lambda k: F.when(kind.startswith("given_f"), ENDS[k][1]).otherwise(ENDS[k][0]))
+        given = F.concat(syllable(1), syllable(2), syllable(3), more, end)
     return (
         F.when(kind.startswith("initial"), _initials(entity, hashed))
         .when(kind == "phone", F.concat(first, _substr_to(alike, 2, F.length(entity) - 1)))
@@ -186,7 +202,7 @@ def _surrogate(kind: Column, entity: Column, hashed: Column) -> Column:
         .when(kind == "card", F.concat(head, last))
         .when(kind == "ip", F.concat_ws(".", *octets))
         .when(kind.startswith("given"), given)
-        .when(kind.startswith("surname"), F.concat(syllable(1), syllable(2), more, _tail(hashed, cyrillic)))
+        .when(kind.startswith("surname"), F.concat(syllable(1), syllable(2), more, pair))
         .otherwise(alike)
     )
 
@@ -203,43 +219,38 @@ def _initials(entity: Column, hashed: Column) -> Column:
     return F.array_join(F.transform(F.split(F.regexp_replace(entity, "[|].*", ""), ""), letter), "")
 
 
-def _tail(hashed: Column, cyrillic: Column) -> Column:
-    """Two letters more, so that surnames seldom meet."""
-    pair = lambda letters: F.concat(*[_substr(F.lit(letters), _draw(hashed, k) % len(letters) + 1) for k in (8, 9)])
-    return F.when(cyrillic, pair(LETTERS["cyrillic"])).otherwise(pair(LETTERS["latin"]))
-
-
 def _substr_to(text: Column, start: int, size: Column) -> Column:
     return F.substring(text, F.lit(start), size.cast("int"))
 
 
 def draw_surrogates(entities: DataFrame, secret: str) -> DataFrame:
     """(kind, entity) -> (kind, entity, surrogate): no two entities of a kind share one,
-    and none is an entity of the corpus. Given names, of which there are few, may be
-    shared: a person is told apart by the surname."""
-    taken, open_, attempt = None, entities, 0
-    real = entities.select("kind", F.col("entity").alias("surrogate"))
-    real = real.withColumn("surrogate", F.when(F.col("kind").isin("email"), F.regexp_replace(F.regexp_replace("surrogate", r"\p{L}+$", ""), r"[^\p{L}\p{N}]", "")).otherwise(F.col("surrogate"))).distinct()
-    free = F.col("kind").startswith("given") | F.col("kind").startswith("initial")
+    and none is an entity of the corpus. Given names and surnames count as one kind,
+    so people differ in their surrogates where they differ in gender, given names or
+    surname. Initials are moved within their alphabet, which keeps them apart by itself."""
+    taken, open_, attempt = None, entities.withColumn("space", F.when(F.col("kind").rlike("^(given|surname)"), "name").otherwise(F.col("kind"))), 0
+    bare = F.regexp_replace(F.regexp_replace("entity", r"\p{L}+$", ""), r"[^\p{L}\p{N}]", "")
+    real = open_.select("space", F.when(F.col("kind") == "email", bare).otherwise(F.col("entity")).alias("surrogate")).distinct()
+    free = F.col("kind").startswith("initial")
     while True:
         who = F.when(F.col("kind").startswith("initial"), F.regexp_replace("entity", "^[^|]*", "")).otherwise(F.col("entity"))
         hashed = F.sha2(F.concat_ws("|", F.lit(secret), "kind", who, F.lit(attempt)), 512)
         drawn = open_.withColumn("hashed", hashed)
-        drawn = drawn.select("kind", "entity", _surrogate(F.col("kind"), F.col("entity"), F.col("hashed")).alias("surrogate"))
-        firsts = drawn.groupBy("kind", "surrogate").agg(F.min("entity").alias("first"))
-        clash = firsts.join(real, ["kind", "surrogate"], "left_semi").select("kind", "surrogate", F.lit(True).alias("clash"))
+        drawn = drawn.select("space", "kind", "entity", _surrogate(F.col("kind"), F.col("entity"), F.col("hashed"), attempt).alias("surrogate"))
+        firsts = drawn.groupBy("space", "surrogate").agg(F.min(F.struct("kind", "entity")).alias("first"))
+        clash = firsts.join(real, ["space", "surrogate"], "left_semi").select("space", "surrogate", F.lit(True).alias("clash"))
         if taken is not None:
             clash = clash.union(
-                firsts.join(taken, ["kind", "surrogate"], "left_semi").select("kind", "surrogate", F.lit(True))
+                firsts.join(taken, ["space", "surrogate"], "left_semi").select("space", "surrogate", F.lit(True))
             ).distinct()
-        judged = drawn.join(firsts, ["kind", "surrogate"]).join(clash, ["kind", "surrogate"], "left")
-        good = free | (F.col("clash").isNull() & (F.col("entity") == F.col("first")))
-        judged = written(judged.select("kind", "entity", "surrogate", good.alias("good")), "surrogates")
-        accepted = judged.filter("good").select("kind", "entity", "surrogate")
+        judged = drawn.join(firsts, ["space", "surrogate"]).join(clash, ["space", "surrogate"], "left")
+        good = free | (F.col("clash").isNull() & (F.struct("kind", "entity") == F.col("first")))
+        judged = written(judged.select("space", "kind", "entity", "surrogate", good.alias("good")), "surrogates")
+        accepted = judged.filter("good").select("space", "kind", "entity", "surrogate")
         taken = accepted if taken is None else taken.union(accepted)
-        open_ = judged.filter("NOT good").select("kind", "entity")
+        open_ = judged.filter("NOT good").select("space", "kind", "entity")
         if open_.isEmpty():
-            return taken
+            return taken.drop("space")
         attempt += 1
 
 

@@ -83,6 +83,21 @@ def test_surrogates_reach_the_end_of_mentions(spark):
     assert re.fullmatch(r"[0-9a-f]{128} Mr\. \w+", got[6]) and not got[6].startswith("f" * 40)
 
 
+def test_people_of_one_surname_stay_distinct(spark):
+    """More given names than the lists hold, some of them of the lists, in three scripts."""
+    names = [*surrogates.GIVEN["given_m"].split(), *(f"ab{chr(97 + k)}" for k in range(20))]
+    greek = ["Νίκος", "Γιώργος", "Αχιλλέας"]
+    texts = [f"Mr. {n.title()} Smith" for n in names] + [f"Mrs. {n.title()} Smith" for n in names[:5]]
+    texts += [f"Mr. {n} Παπαδόπουλος" for n in greek]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in surrogates.replace_entities(table).collect()}
+    assert len(set(got.values())) == len(texts) and not set(got.values()) & set(texts)
+    assert not {t.split()[1].lower() for t in got.values()} & set(names)
+    assert len({got[k].split()[-1] for k in range(len(names) + 5)}) == 1
+    assert all(re.fullmatch(r"Mr\. [\u0370-\u03ff]+ [\u0370-\u03ff]+", got[k]) for k in range(len(texts) - 3, len(texts)))
+    assert not {n.split()[1] for n in list(got.values())[-3:]} & set(greek)
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "u", "Hello there\nhow are you?"),
