@@ -132,6 +132,20 @@ def unpack(payload: bytes, stretch: int | None = None) -> np.ndarray:
     return out
 
 
+def _lower_ascii(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Lower-case the words that are pure ASCII. The tokenizer composes characters before it
+    lower-cases, and some small letters have composed forms that their capitals have not."""
+    high = np.flatnonzero(data >= 0x80)
+    out = LOWER[data]
+    if len(high):
+        held = np.unique(np.searchsorted(starts, high, "right") - 1)  # all such bytes are within words
+        lengths = ends[held] - starts[held]
+        shift = starts[held] - (np.cumsum(lengths) - lengths)
+        at = np.repeat(shift, lengths) + np.arange(int(lengths.sum()))
+        out[at] = data[at]
+    return out
+
+
 class Encoder:
     """`encode` of the tokenizers library, remembering the pieces between blanks.
 
@@ -219,9 +233,9 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and the bounds between the texts."""
         data, offsets = buffer_of(texts)
-        if b"<|" not in data.tobytes():  # special tokens are known by their case
-            data = LOWER[data]
         starts, ends, bounds = spans(data, offsets, BETWEEN_BLANKS)
+        if b"<|" not in data.tobytes():  # special tokens are known by their case
+            data = _lower_ascii(data, starts, ends)
         values, first, which = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
         second = hashes(data, starts, ends, SECOND)
         proof = second[first]

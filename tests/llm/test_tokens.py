@@ -56,3 +56,19 @@ def test_pieces_of_one_hash(monkeypatch, docs):
     monkeypatch.setattr(tokens, "hashes", lambda d, s, e, *base: (e - s if not base else s).astype(np.uint64))
     again, same = encoder.encode(pa.array(texts))
     assert (plain == again).all() and (limits == same).all()
+
+
+@pytest.mark.parametrize("beside", ["", "<|"])
+def test_capitals_with_marks(beside):
+    """Some small letters compose with a mark that their capitals do not compose with."""
+    import unicodedata
+
+    import pyarrow as pa
+
+    marks = [chr(c) for c in range(0x300, 0x370) if unicodedata.combining(chr(c))]
+    words = [f"{start}{chr(c)}{mark}{end}" for c in range(65, 91) for mark in marks for start, end in (("", ""), ("A", "B."))]
+    texts = [f"Plain {w} WORDS {w}" for w in words] + [beside]
+    ids, limits = tokens.Encoder(tokens.word_tokenizer()).encode(pa.array(texts))
+    library = Tokenizer.from_file(tokens.word_tokenizer())
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(limits, limits[1:], strict=False)] == want
