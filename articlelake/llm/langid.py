@@ -158,7 +158,7 @@ def best_labels(scores: np.ndarray, bounds: np.ndarray, switch: float) -> np.nda
     order = np.argsort(-lengths, kind="stable")
     owner, nth, starts, lengths = owner[order], nth[order], starts[order], lengths[order]
 
-    best = np.empty((count, langs), np.int8)  # the label before a switch, by entry
+    best = np.empty((count, langs), np.int16 if langs <= 1 << 15 else np.int32)  # the label before a switch, by entry
     stays = np.empty((count, langs, langs), bool)
     value = np.where(np.eye(langs, dtype=bool), 0.0, -np.inf)[None].repeat(len(owner), axis=0)
     value[nth == 0] = 0.0

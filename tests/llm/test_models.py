@@ -63,3 +63,11 @@ def test_toxicity(spark, docs, odd, none):
     assert toxicity.train_and_score(none, labels).isEmpty()
     unlabelled = toxicity.train_and_score(odd, labels.limit(0)).collect()
     assert all(r["predicted"] == 0 for r in unlabelled if r["doc_id"] == 5)
+
+
+def test_viterbi_with_many_labels():
+    """Labels beyond 127 are switched to and from."""
+    want = np.array([150, 199, 3, 128, 128, 199])
+    scores = np.full((len(want), 200), -50.0, np.float32)
+    scores[np.arange(len(want)), want] = 0.0
+    assert langid.best_labels(scores, np.array([0, 4, 6]), 1.0).tolist() == want.tolist()
