@@ -15,10 +15,13 @@ from articlelake.llm import (
     linededup,
     mixing,
     neardup,
+    negatives,
     quotes,
     surrogates,
     tokens,
+    topk,
     toxicity,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +94,22 @@ def op10_token_ids(spark, sf):
     return tokens.read_back(spark, folder)
 
 
+@_query()
+def op11_whitening(spark, sf):
+    return whitening.whiten(_read(spark, sf, "embeddings"))
+
+
+@_query(negatives.SQL)
+def op12_hard_negatives(spark, sf):
+    label = negatives.relabelled(F.col("vec_id"), F.col("label"))
+    return negatives.hard_negatives(_read(spark, sf, "embeddings"), label=label)
+
+
+@_query(topk.SQL)
+def op13_exact_top_k(spark, sf):
+    return topk.exact_top_k(_read(spark, sf, "embeddings"))
+
+
 @_query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
