@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -18,6 +19,19 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """Keep the expression that `build` makes of column names: writing a long one down takes a while."""
+    return functools.cache(build)
+
+
+def computed_once(value: Column) -> Column:
+    """`value`, which Spark copies neither into filters nor into the expressions that use it.
+
+    An expression that depends on the row's place stays where it was written.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def arrow_function(returns: T.DataType) -> Callable:
     """A pandas UDF that Spark calls once per row, where it was written.
 

@@ -1,112 +1,115 @@
 """Per-site selector rules.
 
 A rule made of one tag with classes, an id or attributes becomes a pair of
-patterns that Spark applies itself. Rules with a parent or a list of
-alternatives, and the rare page where an element holds another of its own kind,
-go to one Arrow function built on the standard HTML reader.
+patterns that Spark applies to the whole page. Rules with parents or a list of
+alternatives, and pages where an element holds another of its own kind, are
+answered from the page's tree.
 """
 
 from __future__ import annotations
 
-import re
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .binding import arrow_function
+from . import tree as T
+from .binding import let
 from .html import TAG_REST
+from .tree import VOID_TAGS
+
+_PART = r"""#[\w-]+|\.[\w-]+|\[\s*[\w:-]+\s*(?:[\^*$~]?=\s*(?:"[^"]*"|'[^']*'|[^"'\]]*)\s*)?\]"""
+_COMPOUND = rf"^(?=.)(?:[A-Za-z][\w-]*|\*)?(?:{_PART})*$"
+_SKIP = r"""(?:[^>"']*(?:"[^"]*"|'[^']*'))*?[^>"']*?"""
+# Outside the brackets of an attribute test.
+_PLAIN = r"(?![^\[]*\])"
+
+
+def _quoted(text: Column) -> Column:
+    return F.concat(F.lit(r"\Q"), F.replace(text, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+
+
+def _extract(text: Column, pattern: str, group: int = 0) -> Column:
+    return F.regexp_extract(text, pattern, group)
+
+
+def _value(test: Column, value: Column) -> Column:
+    """Pattern of an attribute's value as it stands in a tag."""
+
+    def form(any_: str, quote: str) -> Column:
+        some, none = F.lit(any_), F.lit("")
+        before = F.when(test.isin("$=", "*="), some).when(test == "~=", rf"(?:{any_}\s)?").otherwise(none)
+        after = F.when(test.isin("^=", "*="), some).when(test == "~=", rf"(?:\s{any_})?").otherwise(none)
+        return F.concat(F.lit(quote), before, _quoted(value), after, F.lit(quote))
+
+    bare = F.concat(form(r"[^\s>]*", ""), F.lit(r"(?=[\s/>])"))
+    return F.concat(F.lit("(?:"), F.concat_ws("|", form('[^"]*', '"'), form("[^']*", "'"), bare), F.lit(")"))
+
+
+def _look(part: Column) -> Column:
+    """Look-ahead for one class, id or attribute test."""
+    named = part.startswith("[")
+    name = F.when(part.startswith("#"), "id").when(part.startswith("."), "class").otherwise(_extract(part, r"^\[\s*([\w:-]+)", 1))
+    own = F.when(part.startswith("#"), "=").otherwise("~=")
+    test = F.when(named, _extract(part, r"^\[\s*[\w:-]+\s*([\^*$~]?=)", 1)).otherwise(own)
+    given = F.regexp_replace(_extract(part, r"(?s)=\s*(.*?)\s*\]$", 1), r"""^["']|["']$""", "")
+    value = F.when(named, given).otherwise(F.substring(part, F.lit(2), F.length(part)))
+    tail = F.when(test == "", F.lit(r"(?=[\s=/>])")).otherwise(F.concat(F.lit(r"\s*=\s*"), _value(test, value)))
+    return F.concat(F.lit(rf"(?={_SKIP}\s(?i:"), _quoted(name), F.lit(")"), tail, F.lit(")"))
+
+
+def _open(compound: Column) -> Column:
+    """Pattern of the open tag of `tag.class[attr=value]`."""
+    tag = _extract(compound, r"^[A-Za-z][\w-]*")
+    name = F.when(tag == "", F.lit("[A-Za-z][A-Za-z0-9-]*")).otherwise(F.concat(F.lit("(?i:"), _quoted(tag), F.lit(")")))
+    looks = F.array_join(F.transform(F.regexp_extract_all(compound, F.lit(f"({_PART})"), F.lit(1)), _look), "")
+    return F.concat(F.lit("(?s)<("), name, F.lit(r")(?=[\s/>])"), looks, F.lit(f"{TAG_REST}>"))
+
+
+def _path(text: Column) -> Column:
+    """Steps of one alternative: `array<struct<child, compound>>`."""
+    marked = F.regexp_replace(F.trim(text), rf"\s*>\s*{_PLAIN}", " >")
+    return F.transform(
+        F.split(marked, rf"\s+{_PLAIN}"),
+        lambda s: F.struct(s.startswith(">").alias("child"), F.regexp_replace(s, "^>", "").alias("compound")),
+    )
+
 
-# Tags that never have content.
-VOID_TAGS = frozenset(
-    "area base br col embed hr img input link meta param source track wbr".split()
-)
-
-_PART = re.compile(
-    r"""\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)
-    |\[\s*(?P<attr>[\w:-]+)\s*(?:(?P<op>[\^*$~]?=)\s*["']?(?P<val>[^"'\]]*?)["']?\s*)?\]""",
-    re.VERBOSE,
-)
-_COMPOUND = re.compile(r"(?P<tag>[A-Za-z][\w-]*|\*)?(?P<parts>(?:\#[\w-]+|\.[\w-]+|\[[^\]]*\])*)")
-
-COMPILED = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("css", "tag", "open", "whole")]
-)
-
-
-def parse_compound(css: str) -> tuple[str | None, list[tuple[str, str, str]]] | None:
-    """`tag.class[attr=value]` as (tag, [(attribute, test, value)]); None if more."""
-    match = _COMPOUND.fullmatch(css.strip())
-    if not match or not match.group(0):
-        return None
-    tests, parts = [], match.group("parts")
-    if _PART.sub("", parts):
-        return None
-    for part in _PART.finditer(parts):
-        if part["id"]:
-            tests.append(("id", "=", part["id"]))
-        elif part["cls"]:
-            tests.append(("class", "~=", part["cls"]))
-        else:
-            tests.append((part["attr"].lower(), part["op"] or "", part["val"] or ""))
-    tag = match.group("tag")
-    return (None if tag in (None, "*") else tag.lower()), tests
-
-
-def _value_pattern(test: str, value: str) -> str:
-    v = re.escape(value)
-    before, after = {
-        "=": ("", ""),
-        "^=": ("", "{any}"),
-        "$=": ("{any}", ""),
-        "*=": ("{any}", "{any}"),
-        "~=": (r"(?:{any}\s)?", r"(?:\s{any})?"),
-    }[test]
-    forms = []
-    for quote in "\"'":
-        text = f"[^{quote}]*"
-        forms.append(
-            quote + before.replace("{any}", text) + v + after.replace("{any}", text) + quote
+def compile_rule(css: Column) -> Column:
+    """Patterns of one selector as a struct; all null for an empty one.
+
+    `open` and `whole` are set for a rule of one step; `paths` holds the steps of every
+    alternative. `error` names a selector that is not supported.
+    """
+
+    def compiled(paths: Column) -> Column:
+        good = F.forall(paths, lambda p: F.forall(p, lambda s: s["compound"].rlike(_COMPOUND)) & ~F.get(p, 0)["child"])
+        steps = F.transform(
+            paths, lambda p: F.transform(p, lambda s: F.struct(s["child"].alias("child"), _open(s["compound"]).alias("open")))
         )
-    bare = before.replace("{any}", r"[^\s>]*") + v + after.replace("{any}", r"[^\s>]*")
-    return f"(?:{'|'.join(forms)}|{bare}(?=[\\s/>]))"
-
-
-def compile_selector(css: str | None) -> dict[str, str | None] | None:
-    """Patterns of one selector; `open` is null when the selector needs the reader."""
-    if css is None or not css.strip():
-        return None
-    simple = parse_compound(css)
-    if simple is None:
-        return {"css": css, "tag": None, "open": None, "whole": None}
-    tag, tests = simple
-    looks = []
-    for name, test, value in tests:
-        tail = rf"\s*=\s*{_value_pattern(test, value)}" if test else r"(?=[\s=/>])"
-        skip = r"""(?:[^>"']*(?:"[^"]*"|'[^']*'))*?[^>"']*?"""
-        looks.append(rf"(?={skip}\s(?i:{re.escape(name)}){tail})")
-    name = rf"(?i:{re.escape(tag)})" if tag else "[A-Za-z][A-Za-z0-9-]*"
-    start = rf"(?s)<({name})(?=[\s/>]){''.join(looks)}{TAG_REST}>"
-    whole = start if tag in VOID_TAGS else rf"{start}.*?</(?i:\1)\s*>"
-    return {"css": css, "tag": tag, "open": start, "whole": whole}
-
-
-@F.pandas_udf(COMPILED)
-def compile_rule(selectors: pd.Series) -> pd.DataFrame:
-    """Compile selectors held in a column: run on the rule table, not on pages."""
-    empty = {"css": None, "tag": None, "open": None, "whole": None}
-    return pd.DataFrame([compile_selector(s) or empty for s in selectors])
-
-
-@F.pandas_udf(T.ArrayType(COMPILED))
-def compile_rules(lists: pd.Series) -> pd.Series:
+        void = F.lower(_extract(F.get(F.get(paths, 0), 0)["compound"], r"^[A-Za-z][\w-]*")).isin(*VOID_TAGS)
+        rest = F.when(void, F.lit("")).otherwise(F.lit(r".*?</(?i:\1)\s*>"))
+
+        def rule(steps: Column) -> Column:
+            single = (F.size(steps) == 1) & (F.size(F.get(steps, 0)) == 1)
+            start = F.when(single, F.get(F.get(steps, 0), 0)["open"])
+            complaint = F.when(steps.isNull(), F.concat(F.lit("unsupported selector: "), css))
+            return F.struct(
+                css.alias("css"), start.alias("open"), F.concat(start, rest).alias("whole"), steps.alias("paths"),
+                complaint.alias("error"),
+            )
+
+        return let(F.when(good, steps), rule)
+
+    given = F.trim(css) != ""
+    paths = F.transform(F.split(css, rf",{_PLAIN}"), _path)
+    return F.when(given, let(paths, compiled))
+
+
+def compile_rules(lists: Column) -> Column:
     """`compile_rule` for a column of lists; empty selectors are left out."""
-    return lists.map(lambda css: [c for c in map(compile_selector, css) if c])
+    return F.array_compact(F.transform(lists, compile_rule))
 
 
-# ------------------------------------------------------- patterns applied by Spark
+# --------------------------------------------------------- patterns over whole pages
 
 
 def first_open(html: Column, rule: Column) -> Column:
@@ -129,180 +132,36 @@ def holds_own_kind(outer: Column) -> Column:
     return (outer != "") & F.call_function("regexp_like", outer, again)
 
 
-# ------------------------------------------------------------ the reader fallback
-
-
-class _Reader(HTMLParser):
-    """Records the span, name, attributes and open ancestors of every element."""
-
-    def __init__(self, html: str) -> None:
-        super().__init__(convert_charrefs=True)
-        self.elements: list[dict] = []
-        self._open: list[int] = []
-        self._lines = [0]
-        for line in html.split("\n"):
-            self._lines.append(self._lines[-1] + len(line) + 1)
-        self.feed(html)
-        self.close()
-        for i in self._open:
-            self.elements[i]["end"] = len(html)
-
-    def _offset(self) -> int:
-        line, column = self.getpos()
-        return self._lines[line - 1] + column
-
-    def handle_starttag(self, tag, attrs):
-        start = self._offset()
-        stop = start + len(self.get_starttag_text() or "")
-        self.elements.append(
-            {
-                "tag": tag,
-                "attrs": {k: v or "" for k, v in attrs},
-                "above": tuple(self._open),
-                "start": start,
-                "end": stop,
-            }
-        )
-        if tag not in VOID_TAGS:
-            self._open.append(len(self.elements) - 1)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID_TAGS:
-            self._open.pop()
-
-    def handle_endtag(self, tag):
-        at = self._offset()
-        if not any(self.elements[i]["tag"] == tag for i in self._open):
-            return
-        while self._open:
-            element = self.elements[self._open.pop()]
-            own = element["tag"] == tag
-            element["end"] = at + len(f"</{tag}>") if own else at
-            if own:
-                return
-
-    def select(self, css: str) -> list[dict]:
-        chains = [_chain(part) for part in css.split(",")]
-        return [e for e in self.elements if any(self._matches(e, c) for c in chains)]
-
-    def _matches(self, element: dict, chain: list) -> bool:
-        if not chain or not _passes(element, chain[-1][1]):
-            return False
-        if len(chain) == 1:
-            return True
-        above = [self.elements[i] for i in element["above"]]
-        if chain[-1][0] == ">":
-            above = above[-1:]
-        return any(self._matches(a, chain[:-1]) for a in above)
-
-
-def _chain(css: str) -> list:
-    steps, link = [], " "
-    for word in css.replace(">", " > ").split():
-        if word == ">":
-            link = ">"
-            continue
-        simple = parse_compound(word)
-        if simple is None:
-            return []
-        steps.append((link, simple))
-        link = " "
-    return steps
-
-
-def _passes(element: dict, compound: tuple) -> bool:
-    tag, tests = compound
-    if tag and element["tag"] != tag:
-        return False
-    return all(
-        name in element["attrs"] and _holds(element["attrs"][name], test, value)
-        for name, test, value in tests
-    )
+# ------------------------------------------------------------------ from the tree
 
 
-def _holds(have: str, test: str, want: str) -> bool:
-    return {
-        "": True,
-        "=": have == want,
-        "~=": want in have.split(),
-        "^=": have.startswith(want),
-        "$=": have.endswith(want),
-        "*=": want in have,
-    }[test]
-
-
-def _outer(html: str, element: dict, holes: list[dict] = ()) -> str:
-    pieces, at = [], element["start"]
-    for hole in sorted(holes, key=lambda h: h["start"]):
-        if hole["start"] >= at and hole["start"] < element["end"]:
-            pieces.append(html[at : hole["start"]])
-            at = min(hole["end"], element["end"])
-    pieces.append(html[at : element["end"]])
-    return "".join(pieces)
-
-
-def _inside(element: dict, outer: dict) -> bool:
-    return element["start"] > outer["start"] and element["end"] <= outer["end"]
-
-
-@arrow_function(T.ArrayType(T.StringType()))
-def read_first(pages: pd.Series, selectors: pd.Series) -> pd.Series:
-    """First match of each selector as outer HTML; null pages give null."""
-
-    def one(html, wanted):
-        if html is None:
-            return None
-        reader = _Reader(html)
-        found = [reader.select(css) if css else [] for css in wanted]
-        return [_outer(html, f[0]) if f else None for f in found]
-
-    return pd.Series([one(h, w) for h, w in zip(pages, selectors)], dtype="object")
-
-
-@arrow_function(T.ArrayType(T.StringType()))
-def read_all(pages: pd.Series, selectors: pd.Series, removed: pd.Series) -> pd.Series:
-    """Every match of a selector as outer HTML, without the removed elements."""
-
-    def one(html, css, remove):
-        if html is None or css is None:
-            return None
-        reader = _Reader(html)
-        holes = [h for r in (remove if remove is not None else []) for h in reader.select(r)]
-        found = reader.select(css)
-        gone = {id(h) for h in holes}
-        kept = [
-            e
-            for e in found
-            if id(e) not in gone and not any(_inside(e, h) for h in holes)
-        ]
-        return [_outer(html, e, holes) for e in kept]
-
-    rows = zip(pages, selectors, removed)
-    return pd.Series([one(h, c, r) for h, c, r in rows], dtype="object")
-
-
-@arrow_function(T.ArrayType(T.StringType()))
-def read_links(
-    pages: pd.Series, lists: pd.Series, containers: pd.Series, links: pd.Series
-) -> pd.Series:
-    """Link elements of a front page; null when the configured list is missing."""
-
-    def one(html, outer, inner, link):
-        if html is None:
-            return None
-        reader = _Reader(html)
-        scope = {"start": -1, "end": len(html)}
-        if outer:
-            found = reader.select(outer)
-            if not found:
-                return None
-            scope = found[0]
-        boxes = [e for e in reader.select(inner or "") if _inside(e, scope)]
-        if link:
-            wanted = reader.select(link)
-            boxes = [next((w for w in wanted if _inside(w, b)), None) for b in boxes]
-        return [_outer(html, b) for b in boxes if b]
-
-    rows = zip(pages, lists, containers, links)
-    return pd.Series([one(*row) for row in rows], dtype="object")
+def first_match(tree: Column, rule: Column) -> Column:
+    """First match of a selector as outer HTML; null when there is none."""
+    first = F.get(T.matches(tree, rule["paths"]), F.lit(0))
+    return F.when(rule["paths"].isNotNull(), let(first, lambda e: F.when(e.isNotNull(), T.outer_html(tree, e))))
+
+
+def removed_elements(tree: Column, rules: Column) -> Column:
+    """Outermost elements that the rules remove."""
+    return T.outermost(F.sort_array(F.flatten(F.transform(rules, lambda r: T.matches(tree, r["paths"])))))
+
+
+def outer_without(tree: Column, found: Column, holes: Column) -> Column:
+    """Outer HTML of elements, without `holes` and what is in them."""
+    kept = T.enclosed(found, holes, own=True, outside=True)
+    return F.transform(kept, lambda e: T.outer_html(tree, e, holes))
+
+
+def link_tags(tree: Column, lists: Column, boxes: Column, links: Column) -> Column:
+    """Open tags of the link elements of a front page; null when the configured list is missing.
+
+    Lists, boxes and links are matches in the tree, null where no selector is configured.
+    """
+    page = F.struct(
+        F.lit(-1).alias("at"), F.size(tree["pieces"]).alias("until"), F.lit(0).alias("level"), F.lit("").alias("tag")
+    )
+    scope = F.when(lists.isNull(), page).otherwise(F.get(lists, F.lit(0)))
+    none = F.filter(tree["elements"], lambda e: F.lit(False))
+    found = T.enclosed(F.coalesce(boxes, none), F.array(scope))
+    chosen = let(found, lambda f: F.when(links.isNull(), f).otherwise(T.first_inside(f, links)))
+    return F.when(scope.isNotNull(), F.transform(chosen, lambda e: e["tag"]))

@@ -13,10 +13,23 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions import selectors as S
+from ..functions import tree as T
+from ..functions.binding import built_once, computed_once
 from ..functions.dates import publish_date
 from ..functions.urls import resolve_url, site_icon, url_host
 from ..session import broadcast_if_bounded, fits_broadcast
 
+# Long expressions over columns that always have the same name.
+_tree = built_once(lambda page: T.page_tree(F.col(page)))
+_matches = built_once(lambda tree, rule: T.matches(F.col(tree), F.col(rule)["paths"]))
+_first_match = built_once(lambda tree, rule: S.first_match(F.col(tree), F.col(rule)))
+_link_tags = built_once(lambda tree, *found: S.link_tags(F.col(tree), *map(F.col, found)))
+_removed = built_once(lambda tree, rules: S.removed_elements(F.col(tree), F.col(rules)))
+_outer_without = built_once(lambda tree, found, holes: S.outer_without(F.col(tree), F.col(found), F.col(holes)))
+_rule = built_once(lambda css: S.compile_rule(F.col(css)))
+_decoded = built_once(lambda texts: F.transform(texts, H.decode_entities))
+_blocks = built_once(lambda page: H.text_blocks(F.col(page)))
+
 META_FIELDS = ("title", "description", "image_url", "author", "publish_date")
 
 
@@ -33,34 +46,49 @@ def split_by_status(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 def compile_profiles(profiles: DataFrame) -> DataFrame:
     """One row per profile with its selectors turned into patterns.
 
-    This runs on the small rule table; pages only see the finished patterns.
+    This runs on the small rule table, a row per selector; pages only see the finished patterns.
     """
     meta = F.col("scraping.meta")
     removed = F.col("scraping.content.remove")
+    slots = {
+        "list": F.col("source.scraping_targets.container_list"),
+        "box": F.col("source.scraping_targets.link_containers"),
+        "link": F.col("source.scraping_targets.links"),
+        "content": F.col("scraping.content.container"),
+        **{f: meta[f]["element"] for f in META_FIELDS},
+    }
+    named = F.array(*[F.struct(F.lit(k).alias("slot"), css.alias("css")) for k, css in slots.items()])
+    more = F.transform(
+        F.coalesce(removed, F.array().cast("array<string>")), lambda r: F.struct(F.lit("remove").alias("slot"), r.alias("css"))
+    )
     base = profiles.select(
         F.col("source.profile_name").alias("profile"),
         F.col("source.name").alias("site_name"),
         F.col("source.address").alias("address"),
-        F.col("source.scraping_targets.container_list").alias("list_css"),
-        F.col("source.scraping_targets.link_containers").alias("box_css"),
-        F.col("source.scraping_targets.links").alias("link_css"),
-        F.col("scraping.content.container").alias("content_css"),
-        F.coalesce(removed, F.array().cast("array<string>")).alias("remove_css"),
-        *[
-            F.nullif(F.trim(meta[f]["element"]), F.lit("")).alias(f"{f}_css")
-            for f in META_FIELDS
-        ],
         *[
             F.nullif(meta[f]["content_field"], F.lit("")).alias(f"{f}_attr")
             for f in META_FIELDS
         ],
+        F.inline(F.concat(named, more)),
     )
-    return base.withColumns(
-        {
-            f"{name}_rule": S.compile_rule(F.col(f"{name}_css"))
-            for name in ("list", "box", "link", "content", *META_FIELDS)
-        }
-    ).withColumn("remove_rules", S.compile_rules("remove_css"))
+    kept = [c for c in base.columns if c not in ("slot", "css")]
+    compiled = base.withColumn("rule", _rule("css"))
+    each = compiled.groupBy(*kept).agg(F.collect_list(F.struct("slot", "rule")).alias("rules"))
+
+    def of(slot: str) -> Column:
+        return F.transform(F.filter("rules", lambda r: r["slot"] == slot), lambda r: r["rule"])
+
+    ruled = each.select(*kept, *[F.get(of(k), F.lit(0)).alias(f"{k}_rule") for k in slots], of("remove").alias("remove_rules"))
+    return ruled.withColumn("remove_rules", F.array_compact("remove_rules"))
+
+
+def _unsupported(*rules: str, removed: bool = False) -> Column:
+    """Complaints about selectors that cannot be applied: their pages are rejected."""
+    own = F.array_compact(F.array(*[F.col(f"{r}_rule")["error"] for r in rules]))
+    if not removed:
+        return own
+    more = F.array_compact(F.transform("remove_rules", lambda r: r["error"]))
+    return F.concat(own, more)
 
 
 def with_profile(pages: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -115,8 +143,8 @@ def extract_links(
     found = page_links(pages, profiles, max_per_page)
     unknown = without_rules(pages, profiles).select("profile", F.lit("no profile").alias("reason"))
     failed = (
-        found.filter("list_missing")
-        .select("profile", F.lit("link list not found").alias("reason"))
+        found.filter("reason is not null")
+        .select("profile", "reason")
         .unionByName(unknown)
         .distinct()
     )
@@ -132,7 +160,7 @@ def extract_links(
 def page_links(
     pages: DataFrame, profiles: DataFrame, max_per_page: int = 10
 ) -> DataFrame:
-    """Per page: the capped, resolved `links` and whether the list was missing."""
+    """Per page: the capped, resolved `links`, whether the list was missing, and why there are none."""
     ruled = with_rules(pages, profiles)
     clean = F.col("__clean")
     scope = F.when(
@@ -152,7 +180,7 @@ def page_links(
     )
     # Boxes only lend their open tag when no inner link is configured.
     opened = F.regexp_count(F.col("__inner"), F.col("box_rule")["open"])
-    needs_reader = (
+    needs_tree = (
         _complex("list_rule")
         | _complex("box_rule")
         | _complex("link_rule")
@@ -161,11 +189,13 @@ def page_links(
         | F.exists("__boxes", S.holds_own_kind)
         | (_set("box_rule") & (opened != F.size("__boxes")))
     )
-    gate = F.coalesce(needs_reader, F.lit(False))
-    boxed = boxed.withColumn("__gate", gate).withColumn(
-        "__read",
-        S.read_links(F.when(F.col("__gate"), clean), "list_css", "box_css", "link_css"),
+    gate = F.coalesce(needs_tree, F.lit(False))
+    boxed = boxed.withColumn("__gate", gate).withColumn("__tree", computed_once(F.when(gate, _tree("__clean"))))
+    boxed = boxed.withColumns(
+        {f"__{r}s": _matches("__tree", f"{r}_rule") for r in ("list", "box", "link")}
     )
+    tags = _link_tags("__tree", "__lists", "__boxs", "__links")
+    boxed = boxed.withColumn("__read", computed_once(F.when(F.col("__gate"), tags)))
     by_pattern = F.when(
         _set("link_rule"),
         F.filter(
@@ -189,14 +219,15 @@ def page_links(
         ),
         lambda h: h.isNotNull(),
     )
-    links = F.transform(
-        F.transform(hrefs, H.decode_entities),
-        lambda h: resolve_url(F.col("address"), h),
-    )
+    boxed = boxed.withColumn("__hrefs", hrefs)
+    links = F.transform(_decoded("__hrefs"), lambda h: resolve_url(F.col("address"), h))
+    bad = _unsupported("list", "box", "link")
+    reason = F.when(F.size(bad) > 0, F.array_join(bad, "; ")).when(missing, "link list not found")
     return boxed.select(
         *pages.columns,
         missing.alias("list_missing"),
-        F.when(missing, F.array().cast("array<string>")).otherwise(links).alias("links"),
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), F.array().cast("array<string>")).otherwise(links).alias("links"),
     )
 
 
@@ -225,13 +256,10 @@ def with_meta(ruled: DataFrame, as_of: Column, fall_through: bool = False) -> Da
         doubtful |= _complex(f"{f}_rule") | (
             by_text & (unclosed | S.holds_own_kind(whole))
         )
-    found = found.withColumn("__doubt", F.coalesce(doubtful, F.lit(False))).withColumn(
-        "__read",
-        S.read_first(
-            F.when(F.col("__doubt"), clean),
-            F.array(*[F.col(f"{f}_css") for f in META_FIELDS]),
-        ),
-    )
+    found = found.withColumn("__doubt", F.coalesce(doubtful, F.lit(False)))
+    found = found.withColumn("__tree", computed_once(F.when(F.col("__doubt"), _tree("__clean"))))
+    first = F.array(*[_first_match("__tree", f"{f}_rule") for f in META_FIELDS])
+    found = found.withColumn("__read", computed_once(F.when(F.col("__doubt"), first)))
 
     def raw(f: str) -> Column:
         read = F.coalesce(F.get("__read", F.lit(META_FIELDS.index(f))), F.lit(""))
@@ -243,7 +271,7 @@ def with_meta(ruled: DataFrame, as_of: Column, fall_through: bool = False) -> Da
         return F.when(_set(f"{f}_rule"), F.nullif(taken, F.lit("")))
 
     found = found.withColumn("__raw", F.array(*[raw(f) for f in META_FIELDS]))
-    found = found.withColumn("__values", F.transform("__raw", H.decode_entities))
+    found = found.withColumn("__values", _decoded("__raw"))
     found = found.withColumns(
         {f"__v_{f}": F.get("__values", F.lit(i)) for i, f in enumerate(META_FIELDS)}
     ).withColumn(
@@ -272,7 +300,7 @@ def with_meta(ruled: DataFrame, as_of: Column, fall_through: bool = False) -> Da
         F.col("__date")["value"].alias("publish_date"),
         F.col("__date")["origin"].alias("date_origin"),
     )
-    errors = F.array_compact(
+    missing = F.array_compact(
         F.array(
             *[
                 F.when(F.col(f"__v_{f}").isNull(), F.lit(f"{f} not found"))
@@ -280,6 +308,7 @@ def with_meta(ruled: DataFrame, as_of: Column, fall_through: bool = False) -> Da
             ]
         )
     )
+    errors = F.concat(missing, _unsupported(*META_FIELDS, "content", removed=True))
     spent = [c for c in found.columns if c.startswith("__") and c not in ruled.columns]
     return found.withColumns({"meta": meta, "errors": errors}).drop(*spent)
 
@@ -323,15 +352,21 @@ def with_containers(ruled: DataFrame) -> DataFrame:
     )
     found = found.withColumn(
         "__gate", _set("content_rule") & ~F.coalesce(sound, F.lit(False))
-    ).withColumn(
-        "__read", S.read_all(F.when(F.col("__gate"), clean), "content_css", "remove_css")
+    ).withColumn("__tree", computed_once(F.when(F.col("__gate"), _tree("__clean"))))
+    found = found.withColumns(
+        {
+            "__holes": _removed("__tree", "remove_rules"),
+            "__found": _matches("__tree", "content_rule"),
+        }
     )
+    read = _outer_without("__tree", "__found", "__holes")
+    found = found.withColumn("__read", computed_once(F.when(F.col("__gate"), read)))
     none = F.array().cast("array<string>")
     containers = F.when(F.col("__gate"), F.col("__read")).otherwise(
         F.coalesce(F.col("__hits"), none)
     )
     return found.withColumn("containers", containers).drop(
-        "__plain", "__cut", "__hits", "__gate", "__read"
+        "__plain", "__cut", "__hits", "__gate", "__tree", "__holes", "__found", "__read"
     )
 
 
@@ -343,7 +378,7 @@ def with_content(
         "content_html",
         F.array_join(F.transform("containers", lambda c: F.concat(c, F.lit("\n"))), ""),
     )
-    return found.withColumn("blocks", H.text_blocks(F.col("content_html"))).withColumns(
+    return found.withColumn("blocks", _blocks("content_html")).withColumns(
         {
             "content_text": _ended(H.blocks_text(F.col("blocks"))),
             "markdown": H.blocks_markdown(F.col("blocks"), converters),

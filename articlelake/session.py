@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Rows carry whole pages and article texts, so Arrow batches stay small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # Noting the caller of every column function costs more than planning the page rules does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from articlelake.functions import html, selectors
+from articlelake.functions import html, selectors, tree
 from articlelake.operators import pages
 from articlelake.plans.build import build_articles
 from articlelake.plans.gather import gather_urls
@@ -114,14 +114,92 @@ def test_blocks_and_markdown(one):
 
 
 @pytest.mark.parametrize(
-    "css,simple",
+    "css,steps",
     [
-        ("div.ad", True), ("#main", True), ('meta[property="og:title"]', True), ("a.b.c", True),
-        ("body > p", False), ("ul li", False), ("h1, h2", False), ("p:first-child", False),
+        ("div.ad", [1]), ("#main", [1]), ('meta[property="og:title"]', [1]), ("a.b.c", [1]), ("[a='x, y > z']", [1]),
+        ("body > p", [2]), ("ul li>a", [3]), ("h1, h2 b", [1, 2]), ("p:first-child", None), ("> p", None), ("a,,b", None),
     ],
 )
-def test_compile_selector(css, simple):
-    assert (selectors.compile_selector(css)["open"] is not None) is simple
+def test_compile_rule(one, css, steps):
+    rule = one(selectors.compile_rule, css=css)
+    assert (rule["open"] is not None) is (steps == [1])
+    assert (rule["paths"] and [len(p) for p in rule["paths"]]) == steps
+    assert (rule["error"] is None) is (steps is not None)
+
+
+def test_no_rule(one):
+    assert one(selectors.compile_rule, css=" ") is None
+
+
+@pytest.mark.parametrize(
+    "css,tag,hit",
+    [
+        ("a.x", '<a class="y x">', True), ("a.x", '<a class="yx">', False), ("a.x", "<a title='class=x'>", False),
+        ("[href^='/p']", "<a href=/p/q>", True), ("[href$=q]", '<a href="/p/q">', True), ("[href*='.+']", '<a href="a.b">', False),
+        ("A#Q", "<a id=Q>", True), ("*[data-x]", "<b data-x>", True), ("b", "<br>", False), ("a[rel~=no]", '<a rel="yes no">', True),
+    ],
+)
+def test_open_patterns(one, css, tag, hit):
+    found = one(lambda c, t: selectors.first_open(t, selectors.compile_rule(c)), c=css, t=tag)
+    assert (found == tag) is hit
+
+
+def elements(one, page):
+    found = one(tree.page_tree, t=page)
+    return [("".join(found["pieces"][e["at"] : e["until"] + 1]), e["level"]) for e in found["elements"]]
+
+
+def test_tree(one):
+    assert elements(one, "x<div>a<div>b</div><br>c</div>y") == [("<div>a<div>b</div><br>c</div>", 1), ("<div>b</div>", 2), ("<br>", 2)]
+    # Unclosed elements reach to the end of what is around them; stray close tags are passed over.
+    assert elements(one, "</p><ul><li>a<li>b</ul>c<p>d") == [
+        ("<ul><li>a<li>b</ul>", 1), ("<li>a<li>b", 2), ("<li>b", 3), ("<p>d", 1)
+    ]
+    assert elements(one, "<b><i>x</b></i>") [0] == ("<b><i>x</b>", 1)
+    assert elements(one, "") == [] and elements(one, "a < b") == []
+
+
+def found_in(spark, page, css, *remove):
+    row = spark.createDataFrame([(page, css, list(remove))], "t string, c string, r array<string>")
+    row = row.select(tree.page_tree(F.col("t")).alias("t"), selectors.compile_rule(F.col("c")).alias("c"), F.transform(F.col("r"), selectors.compile_rule).alias("r"))
+    row = row.select("t", tree.matches(F.col("t"), F.col("c.paths")).alias("f"), selectors.removed_elements(F.col("t"), F.col("r")).alias("h"))
+    return row.select(selectors.outer_without(F.col("t"), F.col("f"), F.col("h")).alias("v")).first()["v"]
+
+
+def test_paths(spark):
+    page = "<div><p>1</p><div><p>2</p></div></div><p>3</p><section><b><p>4</p></b></section>"
+    assert found_in(spark, page, "div > p") == ["<p>1</p>", "<p>2</p>"]
+    assert found_in(spark, page, "div div p") == ["<p>2</p>"]
+    assert found_in(spark, page, "section > p") == []
+    assert found_in(spark, "<html><body><nav>x</nav><br><p>y", "body > nav, body > p") == ["<nav>x</nav>", "<p>y"]
+    assert found_in(spark, page, "section p, div > p, p") == ["<p>1</p>", "<p>2</p>", "<p>3</p>", "<p>4</p>"]
+    assert found_in(spark, "<div><div><div>x</div></div></div>", "div > div > div") == ["<div>x</div>"]
+    holes = "<div>a<i>b<i>c</i></i>d<b>e</b></div><i><div>f</div></i>"
+    assert found_in(spark, holes, "div", "i", "b", "i i") == ["<div>ad</div>"]
+
+
+@pytest.mark.parametrize("before,tag,after", [("", "<div>", ""), ("<div class=c>", "<p>", "</div>"), ("<b>", "</div>", "<i>")])
+def test_many_tags_stay_linear(one, before, tag, after):
+    page = before + tag * 100_000 + after
+    found = one(lambda t: F.size(tree.page_tree(t)["elements"]), t=page)
+    assert found == page.replace("</", "").count("<")
+
+
+def test_unsupported_selectors_are_rejected(spark):
+    page = f"<body>{HEAD}<h1>T</h1><article>x</article>{NAV}</body>"
+    table = page_table(spark, page)
+    bad = rules(spark, profile(container="article:first-child", boxes="li:hover"))
+    made, rejected = build_articles(table, bad, ["the"], as_of())
+    assert made.isEmpty() and rejected.first()["errors"] == ["unsupported selector: article:first-child"]
+    found, failed = pages.extract_links(table, bad)
+    assert found.isEmpty() and failed.first()["reason"] == "unsupported selector: li:hover"
+
+
+def test_nested_rules_use_no_python(spark):
+    p = rules(spark, profile(container="body > article", remove=["article div.ad"], boxes="ul > li", title=selector("body h1")))
+    for frame in (pages.extract_content(page_table(spark, "x"), p), pages.page_links(page_table(spark, "x"), p)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "EvalPython" not in plan and "InArrow" not in plan and "InPandas" not in plan
 
 
 def links(spark, page, n=10, **over):
@@ -148,7 +226,7 @@ def test_links_whole_page_and_missing_list(spark):
     assert links(spark, page[:1], boxes="a", links=None)[0] == ["https://a.b/b?x=1&y", "https://o.p/c"]
 
 
-def test_nested_boxes_use_the_reader(spark):
+def test_nested_boxes(spark):
     page = ['<nav><div class="r"><div>x</div><a href="/1">1</a></div><div class="r"><a href="/2">2</a></div></nav>']
     assert links(spark, page, boxes="div.r")[0] == ["https://a.b/1", "https://a.b/2"]
 
