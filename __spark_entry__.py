@@ -522,7 +522,7 @@ def page_links(spark, sf):
 
 @_query(f"WITH {_LINKS_SQL} SELECT DISTINCT profile, url FROM resolved WHERE nth <= 3")
 def page_links_nested_rule(spark, sf):
-    """The same links by a rule with parents, which needs the HTML reader."""
+    """The same links by a rule with parents, answered from the page tree."""
     profiles = _profiles(spark, sf, lists="body > nav", boxes="nav ul > li")
     return pages.extract_links(_pages(spark, sf, profiles), profiles, 3)[0]
 
@@ -599,7 +599,7 @@ def page_content(spark, sf):
 
 @_query(f"WITH {_BLOCKS_SQL} SELECT page_id, pos::BIGINT AS pos, tag, text FROM blocks")
 def page_content_nested_rule(spark, sf):
-    """The same content by a rule with parents, which needs the HTML reader."""
+    """The same content by a rule with parents, answered from the page tree."""
     profiles = _profiles(spark, sf, "body > article", ("body div.ad", "nav, footer"))
     return pages.page_blocks(_pages(spark, sf, profiles), profiles).withColumn(
         "pos", F.col("pos").cast("bigint")
@@ -924,6 +924,26 @@ def update_fields(spark, sf):
     return merge.update_fields(store, batch, ["title"]).select("id", "title", "description")
 
 
+@_query(f"""WITH {_ARTICLES_SQL},
+seen AS (SELECT user_id AS doc_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS nth FROM events)
+SELECT a.doc_id, event_type AS token, round(e.value, 6) AS weight FROM articles a
+JOIN seen s ON s.doc_id = a.doc_id AND nth = 1 JOIN events e USING (event_id)
+UNION ALL SELECT doc_id, 'old', doc_id::DOUBLE FROM articles WHERE doc_id NOT IN (SELECT user_id FROM events)""")
+def update_fields_vectors(spark, sf):
+    """Each event brings a new sparse vector for the article numbered like its user; the last one counts."""
+    old = F.create_map(F.lit("old"), F.col("doc_id").cast("double"))
+    store = _articles(spark, sf).select("doc_id", "id", F.struct(old.alias("elser")).alias("embeddings"))
+    fresh = F.create_map(F.col("event_type"), F.round("value", 6))
+    batch = (
+        _table(spark, sf, "events")
+        .withColumn("embeddings", F.struct(fresh.alias("elser")))
+        .select(F.col("user_id").alias("doc_id"), "event_id", "embeddings")
+        .join(store.select("doc_id", "id"), "doc_id")
+    )
+    done = merge.update_fields(store, batch, ["embeddings"], order=["event_id"])
+    return done.select("doc_id", F.explode("embeddings.elser").alias("token", "weight"))
+
+
 def _copied(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     source = merge.align_schema(_judged(spark, sf), ARTICLE_SCHEMA).withColumn(
         "read_times", F.col("n_chars")
@@ -1100,6 +1120,39 @@ def apply_corrections(spark, sf):
     return good.select("id", "title", "url")
 
 
+@_query("""WITH bad AS (SELECT doc_id FROM documents WHERE lang = 'es'),
+ranked AS (SELECT user_id AS doc_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS nth FROM events)
+SELECT doc_id::VARCHAR AS id, 'Fix ' || event_id AS title FROM bad JOIN ranked USING (doc_id) WHERE nth = 1""")
+def corrections_repeated(spark, sf):
+    """Untitled articles get a title from every event of the user of their number; the last one counts."""
+    docs = _table(spark, sf, "documents")
+    bad = docs.select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.when(F.col("lang") == "es", F.lit("")).otherwise(F.lit("x")).alias("title"),
+    )
+    rules = {"title": [("is required", F.col("title") != "")]}
+    _, bad = quality.validate(bad, rules)
+    fixes = _table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("id"), F.lit("title").alias("field"),
+        F.concat(F.lit("Fix "), "event_id").alias("new_value"), "event_id",
+    )
+    good, _ = quality.apply_corrections(bad, fixes, fixes.limit(0), rules, ["title"], order=["event_id"])
+    return good.select("id", "title")
+
+
+@_query("""WITH bad AS (SELECT doc_id::VARCHAR AS id FROM documents WHERE lang = 'es')
+SELECT event_id, CASE WHEN event_type = 'view' THEN 'not a field to correct' ELSE 'no such row' END AS reason
+FROM events WHERE event_type = 'view' OR user_id::VARCHAR NOT IN (SELECT id FROM bad)""")
+def corrections_unused(spark, sf):
+    """Fixes of another field, and those of articles that are not invalid, are reported."""
+    bad = _table(spark, sf, "documents").filter("lang = 'es'").select(F.col("doc_id").cast("string").alias("id"), F.lit("").alias("title"))
+    field = F.when(F.col("event_type") == "view", F.lit("summary")).otherwise(F.lit("title"))
+    fixes = _table(spark, sf, "events").select(
+        F.col("user_id").cast("string").alias("id"), field.alias("field"), F.lit("x").alias("new_value"), "event_id"
+    )
+    return quality.unused_corrections(bad, fixes, ["title"]).select("event_id", "reason")
+
+
 @_query(f"""SELECT DISTINCT {_HOST_SQL} AS profile, 'more-' || length({_HOST_SQL}) AS name FROM pages
 WHERE length({_HOST_SQL}) NOT IN (SELECT length(lower(n_name)) + 8 FROM nation)""")
 def verify_references(spark, sf):
@@ -1223,6 +1276,23 @@ def apply_incident(spark, sf):
     return done.select("id", F.col("ml.incident").alias("incident"))
 
 
+@_query(f"""WITH {_ML_SQL},
+last AS (SELECT user_id AS doc_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS nth
+         FROM events WHERE event_id % 10 < 7),
+named AS (SELECT doc_id, list_extract(['trends', 'vulnerability', 'incident', 'research', 'apt', 'ransomware group', 'malware'],
+                                      (event_id % 10)::INT + 1) AS name FROM last WHERE nth = 1)
+SELECT id, coalesce(n.name, label, '') AS labels FROM judged LEFT JOIN named n USING (doc_id)""")
+def apply_labels_repeated(spark, sf):
+    """Every event is a decision on the article of its user; the last readable one counts."""
+    articles = _judged(spark, sf)
+    decisions = _table(spark, sf, "events").select(
+        F.col("user_id").alias("doc_id"), (F.col("event_id") % 10).cast("string").alias("choice"), "event_id"
+    )
+    decisions = decisions.join(articles.select("doc_id", "id"), "doc_id").select("id", "choice", "event_id")
+    done, _ = labels.apply_labels(articles, decisions, order=["event_id"])
+    return done.select("id", F.array_join("ml.labels", ",").alias("labels"))
+
+
 # ------------------------------------------------------------ exports and the store
 
 _PLAIN_SQL = f"""WITH {_ARTICLES_SQL}

@@ -83,31 +83,39 @@ def _label_name(index: Column) -> Column:
 
 
 def apply_labels(
-    articles: DataFrame, decisions: DataFrame
+    articles: DataFrame, decisions: DataFrame, order: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Store `(id, choice)` decisions in `ml.labels`; unreadable ones are rejected."""
+    """Store `(id, choice)` decisions in `ml.labels`; unreadable ones are rejected.
+
+    Of several readable decisions on an article the last by `order` counts; without an
+    order such decisions are an error.
+    """
     named = decisions.withColumn("labels", label_names(F.col("choice")))
     rejected = named.filter("labels is null").drop("labels").withColumn(
         "reason", F.lit("not a list of label numbers")
     )
-    return _with_ml(articles, named.filter("labels is not null"), "labels"), rejected
+    return _with_ml(articles, named.filter("labels is not null"), "labels", order), rejected
 
 
 def incident_code(is_incident: Column) -> Column:
     return F.when(is_incident, F.lit(INCIDENT_YES)).otherwise(F.lit(INCIDENT_NO))
 
 
-def apply_incident(articles: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Store `(id, is_incident)` decisions in `ml.incident`."""
+def apply_incident(
+    articles: DataFrame, decisions: DataFrame, order: Sequence[str] | None = None
+) -> DataFrame:
+    """Store `(id, is_incident)` decisions in `ml.incident`; `order` as for labels."""
     coded = decisions.withColumn("incident", incident_code(F.col("is_incident")))
-    return _with_ml(articles, coded, "incident")
+    return _with_ml(articles, coded, "incident", order)
 
 
-def _with_ml(articles: DataFrame, decisions: DataFrame, member: str) -> DataFrame:
+def _with_ml(
+    articles: DataFrame, decisions: DataFrame, member: str, order: Sequence[str] | None
+) -> DataFrame:
     """Update one member of `ml` where a decision exists."""
     flat = articles.withColumn("__value", F.col("ml")[member])
     changed = update_fields(
-        flat, decisions.select("id", F.col(member).alias("__value")), ["__value"]
+        flat, decisions.withColumn("__value", F.col(member)), ["__value"], order=order
     )
     empty = F.struct(
         F.lit(None).cast("array<string>").alias("labels"),

@@ -6,7 +6,7 @@ when the batch is measured small, never shuffled either.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -83,31 +83,55 @@ def upsert(
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
+def last_written(
+    batch: DataFrame, key: str, fields: Mapping[str, Column], order: Sequence[str]
+) -> DataFrame:
+    """`(key, fields...)` with each key's values from its row greatest in `order`.
+
+    Values may be of any type, maps included: only `order` is compared. Combined in each task before the shuffle. Rows that are equal in
+    `order` are told apart by a hash of their values, so a job gives the same result twice.
+    """
+    if not order:
+        raise ValueError("say by `order` which of several rows of a key counts")
+    hashed = {f: F.xxhash64(F.to_json(F.struct(c.alias("v")))) for f, c in fields.items()}
+    by = F.struct(*[_nulls_first(c) for c in order], *hashed.values())
+    values = F.struct(*[c.alias(f) for f, c in fields.items()])
+    last = batch.groupBy(F.col(key)).agg(F.max_by(values, by).alias("__last"))
+    return last.select(key, *[F.col("__last")[f].alias(f) for f in fields])
+
+
+def _nulls_first(column: str) -> Column:
+    """Null is the least value; structs that hold it compare as such."""
+    return F.struct(F.col(column).isNotNull(), F.col(column))
+
+
 def update_fields(
     store: DataFrame,
     batch: DataFrame,
     fields: Sequence[str],
     key: str = "id",
-    order: Sequence[str] = (),
+    order: Sequence[str] | None = None,
 ) -> DataFrame:
     """Store with only `fields` taken from the batch row of the same key.
 
-    A null in the batch is a value. Keys the store lacks are ignored. When a
-    key repeats in the batch, `order` decides which row counts.
+    A null in the batch is a value. Keys the store lacks are ignored. `order` names the
+    batch's columns by which the last of several rows of a key is known; without it
+    a batch with a repeated key is an error, raised where the repeat is met.
     """
-    fresh = batch.select(
-        key,
-        F.struct(*fields).alias("__new"),
-        F.struct(*(order or fields)).alias("__order"),
-    )
-    fresh = latest_per_key(fresh, key, ["__order"]).select(
-        key, "__new", F.lit(True).alias("__hit")
-    )
+    if order is None:
+        fresh = batch.groupBy(F.col(key)).agg(
+            F.count(F.lit(1)).alias("__times"), F.first(F.struct(*fields)).alias("__new")
+        )
+        complaint = F.concat(F.lit("no order for the rows of key "), F.col(key).cast("string"))
+        once = F.when(F.col("__times") > 1, F.raise_error(complaint).cast("boolean")).otherwise(True)
+        fresh = fresh.select(key, "__new", once.alias("__hit"))
+    else:
+        last = last_written(batch, key, {f: F.col(f) for f in fields}, order)
+        fresh = last.select(key, F.struct(*fields).alias("__new"), F.lit(True).alias("__hit"))
     if fits_broadcast(batch.select(key, *fields)):
         fresh = F.broadcast(fresh)
-    hit = F.col("__hit").isNotNull()
     changes = {
-        f: F.when(hit, F.col("__new")[f]).otherwise(F.col(f)) for f in fields
+        f: F.when(F.col("__hit"), F.col("__new")[f]).otherwise(F.col(f)) for f in fields
     }
     return store.join(fresh, key, "left").withColumns(changes).select(*store.columns)
 
@@ -143,11 +167,18 @@ def rekey(store: DataFrame, order: Sequence[str] = ("inserted_at",)) -> DataFram
 
 
 def copy_fields(
-    source: DataFrame, target: DataFrame, fields: Sequence[str], key: str = "url"
+    source: DataFrame,
+    target: DataFrame,
+    fields: Sequence[str],
+    key: str = "url",
+    order: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Carry `fields` to the target's rows of the same url; report urls it lacks."""
+    """Carry `fields` to the target's rows of the same url; report urls it lacks.
+
+    `order` as in `update_fields`.
+    """
     absent = not_stored(source.select(key), target, key).distinct()
-    return update_fields(target, source, fields, key), absent
+    return update_fields(target, source, fields, key, order), absent
 
 
 # --------------------------------------------------------------------------- shape

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import assume_utc
 from ..functions.urls import is_valid_url
 from ..session import broadcast_if_bounded
+from .merge import last_written
 
 #: field -> [(message, expression that is true for a good value)]
 Rules = Mapping[str, Sequence[tuple[str, Column]]]
@@ -69,23 +70,28 @@ def apply_corrections(
     rules: Rules,
     fields: Sequence[str],
     key: str = "id",
+    order: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Apply `(id, field, new_value)` decisions and validate again.
 
     Returns rows that are good now and rows that still are not; rows listed in
-    `deletes` are in neither.
+    `deletes` are in neither. Of several fixes of one field the last by `order` counts;
+    without an order they are an error. Fixes of other fields than `fields` do
+    not get lost: `unused_corrections` lists them.
     """
-    wide = (
-        fixes.filter(F.col("field").isin(*fields))
-        .groupBy(key)
-        .agg(
-            *[
-                F.max(
-                    F.when(F.col("field") == f, F.struct(F.lit(True), "new_value"))
-                ).alias(f"__{f}")
-                for f in fields
-            ]
-        )
+    each = fixes.filter(F.col("field").isin(*fields)).withColumn("__at", F.struct(F.col(key), F.col("field")))
+    if order is None:
+        last = each.groupBy("__at").agg(F.first("new_value", ignorenulls=False).alias("new_value"), F.count(F.lit(1)).alias("n"))
+        complaint = F.concat(F.lit("no order for the fixes of "), F.col("__at")["field"])
+        last = last.withColumn("__at", F.when(F.col("n") > 1, F.raise_error(complaint).cast(last.schema["__at"].dataType)).otherwise(F.col("__at")))
+    else:
+        last = last_written(each, "__at", {"new_value": F.col("new_value")}, order)
+    # One value per field is left, so any aggregate takes it.
+    wide = last.groupBy(F.col("__at")[key].alias(key)).agg(
+        *[
+            F.max(F.when(F.col("__at")["field"] == f, F.struct(F.lit(True).alias("set"), "new_value"))).alias(f"__{f}")
+            for f in fields
+        ]
     )
     left = invalid.drop("errors").join(
         broadcast_if_bounded(deletes.select(key)), key, "left_anti"
@@ -102,6 +108,18 @@ def apply_corrections(
     return validate(fixed.select(*left.columns), rules)
 
 
+def unused_corrections(
+    invalid: DataFrame, fixes: DataFrame, fields: Sequence[str], key: str = "id"
+) -> DataFrame:
+    """Fixes that `apply_corrections` has no place for, each with a `reason`."""
+    other = fixes.filter(~F.coalesce(F.col("field").isin(*fields), F.lit(False))).withColumn(
+        "reason", F.lit("not a field to correct")
+    )
+    known = fixes.filter(F.col("field").isin(*fields))
+    ids = broadcast_if_bounded(invalid.select(key).distinct())
+    return other.unionByName(known.join(ids, key, "left_anti").withColumn("reason", F.lit("no such row")))
+
+
 def missing_references(
     profiles: DataFrame, files: DataFrame, strict: bool = False
 ) -> DataFrame:

@@ -15,6 +15,15 @@ TABLES = (
 ).split()
 
 
+def frozen(value):
+    """Rows can be counted when their lists, structs and maps can be hashed."""
+    if isinstance(value, dict):
+        return frozenset((k, frozen(v)) for k, v in value.items())
+    if isinstance(value, (list, tuple)):
+        return tuple(frozen(v) for v in value)
+    return value
+
+
 def sql_rows(sf: str, sql: str) -> tuple[list[str], Counter]:
     con = duckdb.connect()
     for name in TABLES:
@@ -22,14 +31,14 @@ def sql_rows(sf: str, sql: str) -> tuple[list[str], Counter]:
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
     order = sorted(range(len(names)), key=names.__getitem__)
-    rows = Counter(tuple(r[i] for i in order) for r in cur.fetchall())
+    rows = Counter(tuple(frozen(r[i]) for i in order) for r in cur.fetchall())
     con.close()
     return sorted(names), rows
 
 
 def spark_rows(df) -> tuple[list[str], Counter]:
     names = sorted(df.columns)
-    return names, Counter(tuple(r[n] for n in names) for r in df.collect())
+    return names, Counter(tuple(frozen(r[n]) for n in names) for r in df.collect())
 
 
 def compare(spark, sf: str, name: str) -> tuple[int, list, list]:

@@ -86,6 +86,35 @@ def test_update_fields(spark, size):
     assert as_set(changed) == {("a", "u1", None, 1), ("b", "u2", "B", 1), ("c", "u3", "C", 1)}
 
 
+def test_last_row_of_a_key_counts(spark, size):
+    shape = "id string, seq int, m map<string,double>"
+    old = table(spark, "id string, m map<string,double>", ("a", {"o": 1.0}), ("b", {"o": 2.0}), ("c", None))
+    batch = table(spark, shape, ("a", 1, {"x": 9.0}), ("a", 3, {"y": 1.0}), ("a", 2, {"z": 5.0}), ("b", 7, None), ("b", None, {"q": 1.0}))
+    changed = merge.update_fields(old, batch, ["m"], order=["seq"])
+    assert {r["id"]: r["m"] for r in changed.collect()} == {"a": {"y": 1.0}, "b": None, "c": None}
+    with pytest.raises(Exception, match="no order for the rows of key a"):
+        merge.update_fields(old, batch, ["m"]).collect()
+    decisions = table(spark, "id string, choice string, at int", ("a", "6", 1), ("a", "0", 2), ("a", "x", 3), ("b", "3", 1))
+    done, rejected = labels.apply_labels(judged(spark), decisions, order=["at"])
+    assert {r["id"]: r["ml"] and r["ml"]["labels"] for r in done.collect()} == {"a": ["trends"], "b": ["research"], "c": None}
+    assert rejected.count() == 1
+
+
+def test_corrections_by_order(spark):
+    rules = {"title": [("is required", F.coalesce(F.col("title") != "", F.lit(False)))]}
+    bad = quality.validate(table(spark, "id string, title string", ("1", None), ("2", ""), ("3", "t")), rules)[1]
+    fixes = table(
+        spark, "id string, field string, new_value string, at int",
+        ("1", "title", "z", 1), ("1", "title", "a", 2), ("2", "title", "good", 1), ("2", "title", "", 2), ("1", "odd", "x", 1), ("9", "title", "x", 1),
+    )
+    good, still = quality.apply_corrections(bad, fixes, fixes.limit(0), rules, ["title"], order=["at"])
+    assert as_set(good) == {("1", "a")} and [r["id"] for r in still.collect()] == ["2"]
+    unused = quality.unused_corrections(bad, fixes, ["title"])
+    assert {(r["id"], r["reason"]) for r in unused.collect()} == {("1", "not a field to correct"), ("9", "no such row")}
+    with pytest.raises(Exception, match="no order for the fixes of title"):
+        quality.apply_corrections(bad, fixes, fixes.limit(0), rules, ["title"])[0].collect()
+
+
 def test_delete(spark, size):
     gone = table(spark, "id string", ("a",), ("a",), ("q",))
     assert {r["id"] for r in merge.delete_by_id(store(spark), gone).collect()} == {"b", "c"}
