@@ -24,6 +24,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -138,7 +139,8 @@ def _lower_ascii(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     high = np.flatnonzero(data >= 0x80)
     out = LOWER[data]
     if len(high):
-        held = np.unique(np.searchsorted(starts, high, "right") - 1)  # all such bytes are within words
+        held = np.searchsorted(starts, high, "right") - 1  # all such bytes are within words
+        held = held[np.append(True, held[1:] != held[:-1])]
         lengths = ends[held] - starts[held]
         shift = starts[held] - (np.cumsum(lengths) - lengths)
         at = np.repeat(shift, lengths) + np.arange(int(lengths.sum()))
@@ -236,7 +238,11 @@ class Encoder:
         starts, ends, bounds = spans(data, offsets, BETWEEN_BLANKS)
         if b"<|" not in data.tobytes():  # special tokens are known by their case
             data = _lower_ascii(data, starts, ends)
-        values, first, which = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
+        which, values = pd.factorize(hashes(data, starts, ends))
+        order = np.argsort(values)
+        values, which = values[order], np.argsort(order)[which]
+        first = np.empty(len(values), np.int64)
+        first[which] = np.arange(len(which))  # any of a piece's places will do
         second = hashes(data, starts, ends, SECOND)
         proof = second[first]
         if self.count > REMEMBERED:
