@@ -20,6 +20,7 @@ from articlelake.plans import corpus as jobs
 from articlelake.schemas import ARTICLE_SCHEMA, COPIED_FIELDS
 from articlelake.session import scratch_dir, spread
 from articlelake.sources import readers, writers
+from articlelake.sources.buckets import BucketStore
 from articlelake.sources.store import ArticleStore
 from articlelake.streaming.ingest import ingest_incremental
 
@@ -1325,6 +1326,26 @@ def backup(spark, sf):
     return _plain(saved.filter("highlights is null")).withColumn("index", F.lit("articles"))
 
 
+@_query(f"""WITH {_ARTICLES_SQL},
+latest AS (SELECT user_id AS doc_id, max(event_id) AS seq FROM events WHERE user_id % 9 = 4 GROUP BY user_id)
+SELECT id, coalesce('Revised ' || seq, title) AS title, CASE WHEN l.doc_id IS NULL THEN description ELSE 'quality ' || quality END AS description
+FROM articles a LEFT JOIN latest USING (doc_id) LEFT JOIN labels l ON l.doc_id = a.doc_id
+WHERE a.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)""")
+def store_update(spark, sf):
+    """A store of buckets after an upsert, an update of one field and a removal."""
+    whole = merge.align_schema(_articles(spark, sf).withColumnRenamed("n_chars", "read_times"), ARTICLE_SCHEMA)
+    whole = whole.select("doc_id", *ARTICLE_SCHEMA.fieldNames())
+    store = BucketStore(spark, scratch_dir(spark, "buckets"), buckets=16)
+    store.create(whole.drop("doc_id"))
+    events = _table(spark, sf, "events").filter("user_id % 9 = 4").select(F.col("user_id").alias("doc_id"), "event_id")
+    revised = whole.join(events, "doc_id").withColumn("title", F.concat(F.lit("Revised "), "event_id"))
+    store.upsert(revised.drop("doc_id"), order=["event_id"])
+    marks = _table(spark, sf, "labels").join(whole.select("doc_id", "id"), "doc_id")
+    store.update_fields(marks.select("id", F.concat(F.lit("quality "), "quality").alias("description")), ["description"])
+    store.delete(marks.filter("toxic = 1").select("id"))
+    return store.read().select("id", "title", "description")
+
+
 @_query("""SELECT event_id, k FROM (SELECT event_id, (props->>'$.k')::BIGINT AS k FROM events)""")
 def raw_backup(spark, sf):
     """Event properties as untyped documents of a second store."""

@@ -3,11 +3,13 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from articlelake.operators import merge
 from articlelake.plans import corpus as jobs
 from articlelake.schemas import ARTICLE_SCHEMA, PAGE_SCHEMA
 from articlelake.sources import readers, writers
+from articlelake.sources.buckets import BucketStore
 from articlelake.sources.store import ArticleStore
 from articlelake.streaming.ingest import ingest_incremental
 
@@ -223,3 +225,23 @@ def test_ingest(spark, tmp_path):
     rejects = spark.read.parquet(f"{tmp_path}/rejects/*")
     assert rejects.filter("url like '%/0'").count() >= 1
     assert rejects.filter("url like '%/9' and array_contains(errors, 'status 500')").count() >= 1
+
+
+def test_bucket_store_rewrites_only_touched_buckets(spark, tmp_path):
+    shape = T.StructType.fromDDL("id string, title string, seq int")
+    store = BucketStore(spark, str(tmp_path / "b"), shape, buckets=8, files=2)
+    store.create(spark.createDataFrame([(str(i), f"t{i}", 0) for i in range(100)], shape))
+    files = lambda: {p for p in (tmp_path / "b").rglob("*.parquet")}
+    before = files()
+    touched = store.upsert(spark.createDataFrame([("7", "new", 1), ("7", "old", 0), (None, "x", 1)], shape), ["seq"])
+    assert len(touched) == 1
+    kept = before & files()
+    assert len(kept) > len(before) / 2 and {p.parent.name for p in before - kept} == {f"__bucket={touched[0]}"}
+    store.update_fields(spark.createDataFrame([("8", None), ("none", "y")], "id string, title string"), ["title"])
+    rows = {r["id"]: r["title"] for r in store.read().collect()}
+    assert len(rows) == 100 and rows["7"] == "new" and rows["8"] is None and rows["9"] == "t9"
+    # Buckets may lose all their rows.
+    store.delete(spark.createDataFrame([(str(i),) for i in range(99)] + [("q",)], "id string"))
+    assert [r["id"] for r in store.read().collect()] == ["99"]
+    assert store.delete(spark.createDataFrame([], "id string")) == [] and store.read().count() == 1
+    assert store.read().columns == ["id", "title", "seq"]
