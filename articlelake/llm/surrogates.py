@@ -138,6 +138,10 @@ def _parts(mention: Column) -> Column:
     return F.when(kind == "name", let(F.split(mention, " "), roles)).otherwise(one)
 
 
+#: Draws within an entity's own form before it grows.
+DRAWS = 8
+
+
 def _draw(hashed: Column, at) -> Column:
     """A number below 65,536 for each place, from the hexadecimal digits of a hash."""
     at = F.lit(at) if isinstance(at, int) else at
@@ -195,12 +199,19 @@ def _surrogate(kind: Column, entity: Column, hashed: Column, attempt: int = 0) -
     else:
         end = by_script(lambda k: F.when(kind.startswith("given_f"), ENDS[k][1]).otherwise(ENDS[k][0]))
         given = F.concat(syllable(1), syllable(2), syllable(3), more, end)
+    # Other forms are finite, and all of one may be real: then they grow by a place a draw.
+    added = range(max(0, attempt - DRAWS + 1))
+    digits = F.concat(F.lit(""), *[(_draw(hashed, 12 + n) % 10).cast("string") for n in added])
+    letters = F.concat(F.lit(""), *[_substr(F.lit(LETTERS["latin"]), _draw(hashed, 12 + n) % 26 + 1) for n in added])
+    octets += [_draw(hashed, 12 + n) % 256 for n in added]
     return (
         F.when(kind.startswith("initial"), _initials(entity, hashed))
-        .when(kind == "phone", F.concat(first, _substr_to(alike, 2, F.length(entity) - 1)))
-        .when(kind == "ssn", F.concat(F.lit("9"), _substr_to(alike, 2, F.length(entity) - 1)))
-        .when(kind == "card", F.concat(head, last))
+        .when(kind == "phone", F.concat(first, _substr_to(alike, 2, F.length(entity) - 1), digits))
+        .when(kind == "ssn", F.concat(F.lit("9"), _substr_to(alike, 2, F.length(entity) - 1), digits))
+        .when(kind == "card", F.concat(head, last, digits))
         .when(kind == "ip", F.concat_ws(".", *octets))
+        .when(kind == "email", F.concat(alike, letters))
+        .when(kind == "hex", F.concat(alike, digits))
         .when(kind.startswith("given"), given)
         .when(kind.startswith("surname"), F.concat(syllable(1), syllable(2), more, pair))
         .otherwise(alike)
@@ -227,7 +238,8 @@ def draw_surrogates(entities: DataFrame, secret: str) -> DataFrame:
     """(kind, entity) -> (kind, entity, surrogate): no two entities of a kind share one,
     and none is an entity of the corpus. Given names and surnames count as one kind,
     so people differ in their surrogates where they differ in gender, given names or
-    surname. Initials are moved within their alphabet, which keeps them apart by itself."""
+    surname. Initials are moved within their alphabet, which keeps them apart by itself.
+    Where every value of a form is real or taken, later draws make it longer, so the search ends."""
     taken, open_, attempt = None, entities.withColumn("space", F.when(F.col("kind").rlike("^(given|surname)"), "name").otherwise(F.col("kind"))), 0
     bare = F.regexp_replace(F.regexp_replace("entity", r"\p{L}+$", ""), r"[^\p{L}\p{N}]", "")
     real = open_.select("space", F.when(F.col("kind") == "email", bare).otherwise(F.col("entity")).alias("surrogate")).distinct()
@@ -248,6 +260,8 @@ def draw_surrogates(entities: DataFrame, secret: str) -> DataFrame:
         judged = written(judged.select("space", "kind", "entity", "surrogate", good.alias("good")), "surrogates")
         accepted = judged.filter("good").select("space", "kind", "entity", "surrogate")
         taken = accepted if taken is None else taken.union(accepted)
+        if attempt % 4 == 3:  # one table instead of a union of many
+            taken = written(taken, "taken")
         open_ = judged.filter("NOT good").select("space", "kind", "entity")
         if open_.isEmpty():
             return taken.drop("space")
@@ -259,14 +273,16 @@ def _written_as(kind: Column, shape: Column, surrogate: Column) -> Column:
     own = r"[\p{L}\p{N}]"
     chars, gaps = F.regexp_extract_all(shape, F.lit(own), F.lit(0)), F.split(shape, own, -1)
     tail = F.when(kind == "email", F.length(F.regexp_extract(shape, r"\p{L}+$", 0))).otherwise(0)
-    lead = F.size(chars) - tail - F.length(surrogate)  # as a country's prefix stays
+    room = F.size(chars) - tail
+    lead = F.greatest(room - F.length(surrogate), F.lit(0))  # as a country's prefix stays
+    longer = F.when(F.length(surrogate) > room, F.substring(surrogate, room + 1, F.length(surrogate))).otherwise("")
 
     def put(c: Column, place: Column, news: Column) -> Column:
         new = F.get(news, place)
         return F.coalesce(F.when(c.rlike(r"\p{Lu}"), F.upper(new)).otherwise(new), c)
 
     fill = lambda news, before: F.transform(chars, lambda c, i: put(c, i - before, news))
-    filled = let(F.split(surrogate, ""), lambda news: let(lead, lambda before: fill(news, before)))
+    filled = let(F.split(F.substring(surrogate, F.lit(1), room), ""), lambda news: let(lead, lambda before: fill(news, before)))
     shaped = F.array_join(F.flatten(F.zip_with(gaps, filled, lambda g, c: F.array(g, F.coalesce(c, F.lit(""))))), "")
     letters = F.regexp_replace(shape, r"\P{L}", "")
     proper = F.when((F.length(letters) > 1) & (F.upper(shape) == shape), F.upper(surrogate)).otherwise(F.initcap(surrogate))
@@ -275,7 +291,8 @@ def _written_as(kind: Column, shape: Column, surrogate: Column) -> Column:
         F.when(kind.startswith("given") | kind.startswith("surname"), proper)
         .when(kind == "ip", surrogate)
         .when(kind == "hex", F.when(shape.rlike("[A-F]"), F.upper(surrogate)).otherwise(surrogate))
-        .otherwise(shaped)
+        .when(kind == "email", F.concat(longer, shaped))
+        .otherwise(F.concat(shaped, longer))
     )
 
 
