@@ -49,11 +49,24 @@ def _passages(text: Column) -> Column:
 
 
 def _keys(lines: Column) -> Column:
-    """Hash and length of a passage and, if it has several, of each of its lines; empty ones have none."""
+    """Hash and length of a passage (line -1) and, if it has several lines, of each of them; empty ones have none."""
     whole = F.trim(F.array_join(F.filter(lines, lambda x: x != ""), " "))
-    several = F.when(F.size(lines) > 1, lines).otherwise(F.array().cast("array<string>"))
-    texts = F.filter(F.concat(F.array(whole), several), lambda x: x != "")
-    return F.transform(texts, lambda x: F.struct(F.unhex(F.md5(x)).alias("key"), F.length(x).alias("size")))
+    none = F.array().cast("array<struct<line:int,text:string>>")
+    each = F.transform(lines, lambda x, i: F.struct(i.alias("line"), x.alias("text")))
+    texts = F.concat(F.array(F.struct(F.lit(-1).alias("line"), whole.alias("text"))), F.when(F.size(lines) > 1, each).otherwise(none))
+    filled = F.filter(texts, lambda x: x["text"] != "")
+    return F.transform(
+        filled, lambda x: F.struct(x["line"].alias("line"), F.unhex(F.md5(x["text"])).alias("key"), F.length(x["text"]).alias("size"))
+    )
+
+
+def _left(passage: Column, found: Column) -> Column:
+    """Raw lines of a passage without those found; none if all of it was found. `found` has line numbers, -1 for all."""
+    places = F.sequence(F.lit(0), F.size(passage["raw"]) - 1)
+    filled = F.filter(places, lambda i: passage["lines"][i] != "")
+    whole = F.array_contains(found, -1) | (F.size(F.array_except(filled, found)) == 0)
+    some = F.transform(F.array_except(places, found), lambda i: passage["raw"][i])
+    return F.when(F.coalesce(F.size(found), F.lit(0)) <= 0, passage["raw"]).when(whole, F.array().cast("array<string>")).otherwise(some)
 
 
 def _latest(quoted: DataFrame, original: DataFrame) -> DataFrame:
@@ -97,8 +110,10 @@ def reply_order(
 ) -> DataFrame:
     """One row per message: conv_id, turn, role, body, reply_to, thread, depth, position, n_quotes, n_linked.
 
-    `body` is the text without the quoted passages that were found in an earlier
-    message; a quote found nowhere stays. `reply_to` is the turn of the message
+    `body` is the text without what was found of its quotes in earlier messages: a whole
+    passage, if it or all its lines that are not empty were found, or else only the lines found. A quoted line
+    found nowhere stays, as do lines that introduce a quote. `n_linked` counts passages
+    of which anything was found. Very long texts are parsed in their row. `reply_to` is the turn of the message
     replied to, null for one that quotes none; `thread` and `depth` say where
     following replies back ends and after how many steps; `position` counts a
     conversation's messages from 0 by thread and turn. A null text has a null
@@ -114,17 +129,19 @@ def reply_order(
     parts = rows.select("conv", "turn", "hash", F.posexplode(_passages(F.col("text"))).alias("nth", "x"))
     parts = parts.filter("turn IS NOT NULL").select("conv", "turn", "hash", "nth", "x.level", _keys(F.col("x.lines")).alias("keys"))
     keyed = written(parts.select("conv", "turn", "hash", "nth", "level", F.explode("keys").alias("k")).select("*", "k.*").drop("k"), "keys")
-    quoted = keyed.filter("level > 0").select("conv", "turn", "hash", "nth", "level", "key", "size").distinct()
+    quoted = keyed.filter("level > 0").select("conv", "turn", "hash", "nth", "line", "level", "key", "size").distinct()
     original = keyed.filter("level = 0").select("conv", "turn", "key").distinct()
     found = written(_latest(quoted, original), "found")
 
-    weight = found.groupBy("conv", "turn", "to").agg(F.min("level").alias("level"), F.sum("size").alias("size"))
+    once = found.drop("line").distinct()  # a line that repeats in a passage counts once
+    weight = once.groupBy("conv", "turn", "to").agg(F.min("level").alias("level"), F.sum("size").alias("size"))
     replies = weight.groupBy("conv", "turn").agg(F.max(F.struct(-F.col("level"), "size", "to")).alias("best"))
     replies = written(replies.select("conv", "turn", F.col("best.to").alias("to")), "replies")
     threads = _threads(replies).select(F.col("conv").alias("c1"), F.col("turn").alias("t1"), "thread", "depth")
     replies = replies.select(F.col("conv").alias("c2"), F.col("turn").alias("t2"), F.col("to").alias("reply_to"))
-    linked = found.groupBy(F.col("conv").alias("c3"), F.col("turn").alias("t3"), F.col("hash").alias("h3")).agg(
-        F.collect_set("nth").alias("linked")
+    lines = found.groupBy("conv", "turn", "hash", "nth").agg(F.collect_set("line").alias("lines"))
+    linked = lines.groupBy(F.col("conv").alias("c3"), F.col("turn").alias("t3"), F.col("hash").alias("h3")).agg(
+        F.map_from_entries(F.collect_list(F.struct("nth", "lines"))).alias("linked")
     )
 
     def at(c: str, t: str) -> Column:
@@ -138,8 +155,8 @@ def reply_order(
     passages = _passages(F.col("text"))
 
     def body(all_: Column) -> Column:
-        left = F.array_except(F.sequence(F.lit(0), F.size(all_) - 1), F.col("linked"))
-        return F.array_join(F.flatten(F.transform(left, lambda i: all_[i]["raw"])), "\n")
+        left = F.transform(all_, lambda x, i: _left(x, F.try_element_at(F.col("linked"), i)))
+        return F.array_join(F.flatten(left), "\n")
 
     quotes = F.size(F.filter(passages, lambda x: x["level"] > 0))
     done = joined.select(

@@ -98,6 +98,17 @@ def test_people_of_one_surname_stay_distinct(spark):
     assert not {n.split()[1] for n in list(got.values())[-3:]} & set(greek)
 
 
+def test_full_forms_grow(spark):
+    """All addresses of one form occur, so their surrogates need another one."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.{end}" for a in letters for b in letters for end in ("co", "de")]
+    table = spark.createDataFrame([(i, f"to {m} now") for i, m in enumerate(mails)], "doc_id long, text string")
+    got = surrogates.replace_entities(table).collect()
+    new = {r["doc_id"]: r["text"].split()[1] for r in got}
+    assert len(set(new.values())) == len(mails) and not set(new.values()) & set(mails)
+    assert all(new[i].count("@") == 1 and new[i].split(".")[-1] == m.split(".")[-1] for i, m in enumerate(mails))
+
+
 def test_quotes(spark):
     rows = [
         (1, 0, "u", "Hello there\nhow are you?"),
@@ -129,6 +140,20 @@ def test_quotes(spark):
     assert quotes.reply_order(table.limit(0)).isEmpty()
 
 
+def test_only_found_lines_go(spark):
+    rows = [
+        (1, 0, "u", "Thanks"), (1, 1, "a", "> never said one\n> two\n> three\n> Thanks\nreply body"),
+        (1, 2, "u", "alpha\nbeta"), (1, 3, "a", "> beta\n>\n> alpha\nyes\n> Thanks\n> alpha\n> other"),
+    ]
+    got = {r["turn"]: r for r in quotes.reply_order(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[1]["body"] == "> never said one\n> two\n> three\nreply body" and got[1]["reply_to"] == 0
+    assert got[3]["body"] == "yes\n> other" and got[3]["reply_to"] == 2 and got[3]["n_linked"] == 2
+    # Against a plain version: every line that stays stood in the text, in its order.
+    for r, (_, turn, _, text) in zip(sorted(got.values(), key=lambda r: r["turn"]), rows, strict=True):
+        lines = iter(text.split("\n"))
+        assert r["turn"] == turn and all(line in lines for line in r["body"].split("\n"))
+
+
 def test_long_reply_chain(spark):
     rows = [(1, k, "u", (f"> line number {k - 1}\n" if k else "") + f"line number {k}") for k in range(60)]
     got = quotes.reply_order(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
