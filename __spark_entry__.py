@@ -8,12 +8,13 @@ write out the same way.
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.functions import dates, html, indicators, text, urls
+from articlelake.functions import dates, html, indicators, models, text, urls
 from articlelake.operators import corpus, labels, merge, pages, quality
 from articlelake.plans import build, gather
 from articlelake.plans import corpus as jobs
@@ -469,18 +470,47 @@ FROM counted JOIN df USING (token)"""
 
 @_query(f"WITH {_VECTOR_SQL}")
 def sparse_embed(spark, sf):
+    return _vector_rows(corpus.sparse_embed(_to_embed(spark, sf)))
+
+
+def _load_length_model() -> Callable:
+    """Stands for a model read from files: a word's weight is its count times its length."""
+
+    def weigh(texts):
+        counts = [Counter(w for w in t.split(" ") if w) for t in texts]
+        return [{w: n * len(w) for w, n in c.items()} for c in counts]
+
+    return weigh
+
+
+@_query("""WITH parts AS (
+  SELECT doc_id, 0::BIGINT AS part, 'Document ' || doc_id AS text FROM documents
+  UNION ALL SELECT doc_id, 1, lang || ' text of ' || source FROM documents
+  UNION ALL SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) + 1,
+                   unnest(string_split(text, chr(10))) FROM documents),
+words AS (SELECT doc_id, part, unnest(string_split(text, ' ')) AS token FROM parts)
+SELECT doc_id, part, token, (count(*) * length(token))::DOUBLE AS weight FROM words WHERE token <> '' GROUP BY doc_id, part, token""")
+def sparse_embed_model(spark, sf):
+    """Vectors by a user's model, run over batches; many articles share an id."""
+    articles = _to_embed(spark, sf).withColumn("id", F.col("profile"))
+    return _vector_rows(corpus.sparse_embed(articles, models.model_weigher(_load_length_model)))
+
+
+def _to_embed(spark: SparkSession, sf: str) -> DataFrame:
     chunk = "array<struct<text:string,elser:map<string,float>>>"
     lines = F.transform(
         F.split("content", "\n"), lambda t: F.struct(t, F.lit(None))
     ).cast(chunk)
     vector = F.lit(None).cast("struct<elser:map<string,float>>")
-    articles = _articles(spark, sf).withColumn(
+    return _articles(spark, sf).withColumn(
         "embeddings",
         F.struct(
             vector.alias("title"), vector.alias("description"), lines.alias("content_chunks")
         ),
     )
-    done = corpus.sparse_embed(articles)
+
+
+def _vector_rows(done: DataFrame) -> DataFrame:
     vectors = F.concat(
         F.array("embeddings.title.elser", "embeddings.description.elser"),
         F.transform("embeddings.content_chunks", lambda c: c["elser"]),
@@ -1016,10 +1046,19 @@ def _zoned(spark: SparkSession, sf: str) -> DataFrame:
 @_query("""SELECT event_id AS id, strftime(CASE event_type WHEN 'click' THEN ts - INTERVAL 2 HOUR ELSE ts END,
   '%Y-%m-%d %H:%M:%S') AS publish_date FROM events""")
 def add_timezone(spark, sf):
-    done = jobs.add_timezone(_zoned(spark, sf))
+    done, _ = jobs.add_timezone(_zoned(spark, sf))
     return done.select("id", _stamp("publish_date").alias("publish_date"))
 
 
+@_query("""SELECT event_id AS id, 'on ' || event_type AS publish_date, 'publish_date is not a date' AS reason
+FROM events WHERE event_type = 'click'""")
+def add_timezone_rejects(spark, sf):
+    """Articles with a date that cannot be read come back as they were."""
+    text = F.when(F.col("publish_date").endswith("+02:00"), F.lit("on click")).otherwise(F.col("publish_date"))
+    _, rejected = jobs.add_timezone(_zoned(spark, sf).withColumn("publish_date", text))
+    return rejected.select("id", "publish_date", "reason")
+
+
 @_query("""SELECT event_id AS id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS publish_date FROM events
 WHERE event_type NOT IN ('click', 'view')""")
 def add_timezone_modified(spark, sf):
@@ -1404,3 +1443,21 @@ def incremental_ingest(spark, sf):
     run()
     run()
     return store.read().select("id", "url")
+
+
+@_query(f"""SELECT url, CASE WHEN contains(url, '?') THEN 'status 404' ELSE 'no profile' END AS errors FROM (
+  SELECT DISTINCT url FROM pages WHERE contains(url, '?') OR {_HOST_SQL} NOT LIKE 'm.%')""")
+def ingest_rejects(spark, sf):
+    """What the ingest writes of pages that were not found or have no profile."""
+    root = scratch_dir(spark, "ingest")
+    profiles = _profiles(spark, sf)
+    known = profiles.filter(F.col("source.profile_name").startswith("m."))
+    status = F.when(F.contains(F.col("url"), F.lit("?")), F.lit(404)).otherwise(F.lit(200))
+    crawled = _table(spark, sf, "pages").withColumn("status", status)
+    crawled.write.parquet(f"{root}/pages")
+    ingest_incremental(
+        spark, f"{root}/pages", crawled.schema, known, COMMON, ArticleStore(spark, f"{root}/store"),
+        f"{root}/checkpoint", _ts(AS_OF),
+    )
+    rejected = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/checkpoint-rejects")
+    return rejected.select("url", F.array_join("errors", ",").alias("errors")).distinct()

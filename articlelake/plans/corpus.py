@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import assume_utc, uniform_draw, was_naive
@@ -17,6 +18,7 @@ from ..functions.urls import article_id
 from ..operators.corpus import sparse_embed, with_tags
 from ..operators.merge import delete_by_id, new_articles, update_fields, upsert
 from ..operators.quality import Rules, article_rules, validate
+from ..session import scratch_dir
 from .build import articles_from_markdown
 
 
@@ -49,7 +51,7 @@ def modified_dates(
 def unreadable_dates(
     articles: DataFrame, fields: Sequence[str] = ("publish_date", "inserted_at"), key: str = "id"
 ) -> DataFrame:
-    """`(key, field, value)` of date texts that cannot be read, which `add_timezone` makes null."""
+    """`(key, field, value)` of date texts that cannot be read, for which `add_timezone` rejects an article."""
     texts = [F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value"), assume_utc(F.col(f)).alias("read")) for f in fields]
     each = articles.select(key, F.inline(F.array(*texts)))
     return each.filter("value IS NOT NULL AND read IS NULL").select(key, "field", "value")
@@ -57,9 +59,19 @@ def unreadable_dates(
 
 def add_timezone(
     articles: DataFrame, fields: Sequence[str] = ("publish_date", "inserted_at")
-) -> DataFrame:
-    """The corpus with date text read as instants, UTC where no zone was named."""
-    return articles.withColumns({f: assume_utc(F.col(f)) for f in fields})
+) -> tuple[DataFrame, DataFrame]:
+    """The articles with date text read as instants, UTC where no zone was named, and rejects.
+
+    An article with a date that is there but cannot be read is a reject, unchanged, with
+    a `reason`; nothing of it gets lost.
+    """
+    bad = F.array_compact(
+        F.array(*[F.when(F.col(f).isNotNull() & assume_utc(F.col(f)).isNull(), F.lit(f"{f} is not a date")) for f in fields])
+    )
+    checked = articles.withColumn("__bad", bad)
+    good = checked.filter(F.size("__bad") == 0).drop("__bad").withColumns({f: assume_utc(F.col(f)) for f in fields})
+    rejected = checked.filter(F.size("__bad") > 0).withColumn("reason", F.array_join("__bad", "; ")).drop("__bad")
+    return good, rejected
 
 
 def import_articles(
@@ -108,12 +120,10 @@ def backfill_headers(
     are dealt out repeatably by path, and `descriptions(path, description)` are
     supplied.
     """
-    ordered = sources.select("source").distinct().agg(
-        F.sort_array(F.collect_list("source")).alias("names")
-    )
-    names = ordered.first()["names"]
-    pick = uniform_draw(F.col("path"), F.lit(len(names)), seed).cast("int")
-    source = F.get(F.split(F.lit("\u0001".join(names)), "\u0001"), pick)
+    numbered = _numbered(sources.select("source").filter("source is not null").distinct(), "source")
+    pick = uniform_draw(F.col("path"), F.lit(numbered.count()), seed)
+    files = files.select("path", "content").withColumn("__pick", pick).join(numbered, F.col("__pick") == F.col("__number"), "left")
+    source = F.col("source")
     return files.join(descriptions, "path", "left").select(
         "path",
         article_id(F.col("content")).alias("id"),
@@ -125,6 +135,24 @@ def backfill_headers(
     )
 
 
+def _numbered(values: DataFrame, column: str) -> DataFrame:
+    """Distinct values with their place in sorted order as `__number`, from 0.
+
+    Parts of the order are numbered where they lie; only the sizes of parts meet in one task.
+    """
+    ordered = values.repartitionByRange(column).sortWithinPartitions(column)
+    path = scratch_dir(values.sparkSession, "numbered")
+    # Written once: a part keeps its number and size however often it is read.
+    ordered.withColumn("__id", F.monotonically_increasing_id()).write.parquet(path)
+    parts = values.sparkSession.read.parquet(path)
+    part, low = F.shiftright("__id", 33), F.col("__id").bitwiseAND((1 << 33) - 1)
+    sizes = parts.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)  # one row per part
+    before = sizes.select("__part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before"))
+    placed = parts.withColumn("__part", part).join(before, "__part")
+    return placed.select(column, (F.col("__before") + low).alias("__number"))
+
+
 def with_header(filled: DataFrame) -> DataFrame:
     """`(path, content)` with the filled-in header written in front of the text."""
 

@@ -197,6 +197,9 @@ def test_store(spark, tmp_path):
 def test_unreadable_dates(spark):
     found = spark.createDataFrame([("1", "soon", "2024-01-02"), ("2", None, "2024-01-02T03:04:05+01:00")], "id string, publish_date string, inserted_at string")
     assert [tuple(r) for r in jobs.unreadable_dates(found).collect()] == [("1", "publish_date", "soon")]
+    good, rejected = jobs.add_timezone(found)
+    assert good.count() + 1 == found.count() and dict(good.dtypes)["publish_date"] == "timestamp"
+    assert [(r["id"], r["publish_date"], r["reason"]) for r in rejected.collect()] == [("1", "soon", "publish_date is not a date")]
     assert [r["id"] for r in jobs.modified_dates(found).collect()] == ["1"]
 
 
