@@ -339,7 +339,11 @@ def decontaminate(
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of `docs` in which no window of the items occurs."""
+    """The rows of `docs` in which no window of the items occurs, columns as they are.
+
+    A null or empty text has no words and stays, as does everything where there are no items. Rows of equal id and
+    text stay or go together; null ids are equal. Whole texts are searched, however long.
+    """
     found = decontaminate(docs, items, key, text, **how).filter("contaminated").select("doc_id", "text_hash").distinct()
     return rows_of(docs, written(found, "contaminated"), "left_anti", key, text)
 

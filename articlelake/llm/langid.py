@@ -277,7 +277,11 @@ def identify(
 def keep_known(
     docs: DataFrame, model: LanguageModel, text: str = "text", share: float = LEAST_SHARE, switch: float = SWITCH
 ) -> DataFrame:
-    """The rows of `docs` with letters, of which one language has at least `share`; columns stay as they are."""
+    """The rows of `docs` with letters, of which one language has at least `share`; columns stay as they are.
+
+    Null and empty texts have no letters and go. Every row is judged by itself and whole, so
+    repeated rows and null ids need no rule; an empty table stays empty.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -305,7 +309,12 @@ def held_out(key: Column) -> Column:
 
 
 def train_and_identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Learn from the rows that are not held out, and label all: doc_id, held_out, lang_pred, score, spans."""
+    """Learn from the rows that are not held out, and label all: doc_id, held_out, lang_pred, score, spans.
+
+    One row per row, repeated ones and null ids included. A text that is null, empty or
+    without letters is `und` with score 0 and no spans; so is every text if nothing
+    could be learnt. Other columns are not looked at; an empty table gives an empty result.
+    """
     model = learn(docs.filter(~held_out(name(key))), key, text, lang)
     found = identify(docs, model, key, text)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "spans")
