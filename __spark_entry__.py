@@ -51,7 +51,10 @@ def _llm(part: str) -> dict:
     """Queries over text corpora, where that subpackage is there."""
     try:
         from articlelake.llm import queries as llm
-    except ImportError:
+    except ImportError as e:
+        # Only its absence is passed over, not a fault in it or a library it lacks.
+        if e.name not in ("articlelake.llm", "articlelake.llm.queries", "corpus_pipeline"):
+            raise
         return {}
     return getattr(llm, part)
 
