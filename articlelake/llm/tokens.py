@@ -360,7 +360,8 @@ def write_ids(
     A null text counts as empty, which is the end id alone. Rows of equal id
     follow each other by text; null ids come last. `path` is the tokenizer's
     file, or a function that finds it on the machine that encodes. An empty
-    table leaves a folder without blocks.
+    table leaves a folder without blocks. A text is never cut: a very long one makes its block
+    longer. Other columns are not looked at.
     """
     small_batches(docs.sparkSession)
     folder = folder or fresh_folder(docs.sparkSession, "token-ids")
@@ -390,7 +391,10 @@ def _checks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_back(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per document from the files: doc_id, start, n_tokens, ids_crc32."""
+    """One row per document from the files: doc_id, start, n_tokens, ids_crc32.
+
+    A folder without blocks gives no rows; repeated and null ids have a row each time they were written.
+    """
     stored = spark.read.schema(FILE_SCHEMA).parquet(folder)
     # One row per part of the files: where each begins in the whole.
     sizes = stored.select("part", (F.col("before") + _n_ids(F.col("payload"))).alias("end"))

@@ -177,7 +177,12 @@ def train_and_score(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic"
 ) -> DataFrame:
     """Learn from labelled rows that are not held out, and score all:
-    doc_id, held_out, score, predicted. Without both labels every score is one half or just below."""
+    doc_id, held_out, score, predicted. Without both labels every score is one half or just below.
+
+    One row per row, repeated ones and null ids included; a null text counts as empty and
+    has a score too. Whole texts are scored. Other columns are not looked at; an empty table
+    gives an empty result.
+    """
     model = learn(docs, labels.filter(~held_out(name(key))), key, text, label)
     found = score(docs, model, key, text)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
