@@ -654,6 +654,23 @@ def page_markdown(spark, sf):
     return done.select("page_id", "markdown")
 
 
+@_query(f"""WITH boxes AS (
+  SELECT page_id, unnest(regexp_extract_all(regexp_extract({_CLEAN_PAGE_SQL}, '(?is)<nav[^>]*>.*?</nav\\s*>'),
+           '(?is)<li[^>]*>.*?</li\\s*>')) AS box,
+         generate_subscripts(regexp_extract_all(regexp_extract({_CLEAN_PAGE_SQL}, '(?is)<nav[^>]*>.*?</nav\\s*>'),
+           '(?is)<li[^>]*>.*?</li\\s*>'), 1) AS nth FROM pages)
+SELECT page_id, string_agg('- ' || regexp_replace({_decode_sql("regexp_replace(box, '" + _TAG_SQL + "', '', 'g')")}, '\\s+', ' ', 'g')
+  || ' (see ' || {_decode_sql("regexp_extract(box, 'href=" + '"([^"]*)"' + "', 1)")} || ')', chr(10) || chr(10) ORDER BY nth) AS markdown
+FROM boxes GROUP BY page_id""")
+def page_markdown_override(spark, sf):
+    """The menu of each page, with links written out by a converter of the caller's."""
+    profiles = _profiles(spark, sf, "nav", ())
+    inline = html.default_inline()
+    inline["a"] = lambda text, tag: F.concat(text, F.lit(" (see "), html.raw_attribute(tag, F.lit("href")), F.lit(")"))
+    done = pages.pages_to_markdown(_pages(spark, sf, profiles), profiles, inline=inline)
+    return done.filter("markdown <> ''").select("page_id", "markdown")
+
+
 _BUILT_SQL = f"""{_BLOCKS_SQL},
 texts AS (SELECT page_id, {_clean_sql("string_agg(text, chr(10) ORDER BY pos) || chr(10)")} AS content
           FROM blocks GROUP BY page_id),

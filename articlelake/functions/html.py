@@ -223,6 +223,48 @@ def default_converters() -> dict[str, Converter]:
     }
 
 
+#: From the text and the open tag of an inline element to its Markdown.
+InlineConverter = Callable[[Column, Column], Column]
+
+
+def default_inline() -> dict[str, InlineConverter]:
+    """Markdown of inline elements by tag, inner ones first; a copy, so a caller may override or add entries."""
+
+    def around(mark: str) -> InlineConverter:
+        return lambda text, tag: F.concat(F.lit(mark), F.trim(text), F.lit(mark))
+
+    def link(text: Column, tag: Column) -> Column:
+        href = raw_attribute(tag, F.lit("href"))
+        return F.when(href.isNull(), text).otherwise(F.concat(F.lit("["), text, F.lit("]("), href, F.lit(")")))
+
+    bold, slanted = around("**"), around("*")
+    return {"b": bold, "strong": bold, "i": slanted, "em": slanted, "code": around("`"), "a": link}
+
+
+def _converted_inline(html: Column, table: Mapping[str, InlineConverter]) -> Column:
+    """Every closed element of the table's tags, in its order, replaced by what its converter makes of it.
+
+    The text between elements is cut out and put back, so converters see whole elements.
+    """
+    for tag, convert in table.items():
+        html = let(html, _element_replacer(tag, convert))
+    return html
+
+
+def _element_replacer(tag: str, convert: InlineConverter) -> Converter:
+    element = rf"(?is)<{tag}(?=[\s/>]){TAG_REST}>.*?</{tag}\s*>"
+
+    def one(e: Column) -> Column:
+        return convert(inner_html(e), F.regexp_extract(e, rf"(?s){_HEAD}", 0))
+
+    def replaced(text: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(text, F.lit(element), F.lit(0)), one)
+        ends = F.concat(found, F.array(F.lit("")))
+        return F.array_join(F.flatten(F.zip_with(F.split(text, element, -1), ends, lambda t, m: F.array(t, m))), "")
+
+    return replaced
+
+
 def _inline_markdown(html: Column) -> Column:
     def wrap(text: Column, tags: str, mark: str) -> Column:
         pair = rf"(?is)<({tags})(?=[\s/>]){TAG_REST}>\s*([^<]+?)\s*</\1\s*>"
@@ -238,9 +280,11 @@ def _inline_markdown(html: Column) -> Column:
 
 
 def block_markdown(
-    block: Column, converters: Mapping[str, Converter] | None = None
+    block: Column,
+    converters: Mapping[str, Converter] | None = None,
+    inline: Mapping[str, InlineConverter] | None = None,
 ) -> Column:
-    """Markdown of one block."""
+    """Markdown of one block; tables of converters take the place of the default ones."""
     table = default_converters() if converters is None else converters
 
     def converted(text: Column) -> Column:
@@ -251,18 +295,21 @@ def block_markdown(
             result = F.when(block["tag"] == tag, convert(source)).otherwise(result)
         return result
 
+    written = _inline_markdown(block["html"]) if inline is None else _converted_inline(block["html"], inline)
     # Without inline tags the block's plain text already is the answer.
     marked = F.when(
         F.contains(block["html"], F.lit("<")),
-        _trim(decode_entities(strip_tags(_inline_markdown(block["html"])))),
+        _trim(decode_entities(strip_tags(written))),
     ).otherwise(block["text"])
     return let(marked, converted)
 
 
 def blocks_markdown(
-    blocks: Column, converters: Mapping[str, Converter] | None = None
+    blocks: Column,
+    converters: Mapping[str, Converter] | None = None,
+    inline: Mapping[str, InlineConverter] | None = None,
 ) -> Column:
     """Markdown of a page: one paragraph per block."""
     return F.array_join(
-        F.transform(blocks, lambda b: block_markdown(b, converters)), "\n\n"
+        F.transform(blocks, lambda b: block_markdown(b, converters, inline)), "\n\n"
     )

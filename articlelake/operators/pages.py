@@ -371,7 +371,9 @@ def with_containers(ruled: DataFrame) -> DataFrame:
 
 
 def with_content(
-    ruled: DataFrame, converters: Mapping[str, H.Converter] | None = None
+    ruled: DataFrame,
+    converters: Mapping[str, H.Converter] | None = None,
+    inline: Mapping[str, H.InlineConverter] | None = None,
 ) -> DataFrame:
     """Add `blocks`, `content_html`, `content_text` and `markdown` to ruled pages."""
     found = with_containers(ruled).withColumn(
@@ -381,7 +383,7 @@ def with_content(
     return found.withColumn("blocks", _blocks("content_html")).withColumns(
         {
             "content_text": _ended(H.blocks_text(F.col("blocks"))),
-            "markdown": H.blocks_markdown(F.col("blocks"), converters),
+            "markdown": H.blocks_markdown(F.col("blocks"), converters, inline),
         }
     )
 
@@ -410,6 +412,8 @@ def pages_to_markdown(
     pages: DataFrame,
     profiles: DataFrame,
     converters: Mapping[str, H.Converter] | None = None,
+    inline: Mapping[str, H.InlineConverter] | None = None,
 ) -> DataFrame:
-    ruled = with_content(with_rules(pages, profiles), converters)
+    """Pages with their content as Markdown; `converters` are by block tag, `inline` by inline tag."""
+    ruled = with_content(with_rules(pages, profiles), converters, inline)
     return ruled.select(*pages.columns, "markdown")

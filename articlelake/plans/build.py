@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import spread_dates
-from ..functions.html import Converter
+from ..functions.html import Converter, InlineConverter
 from ..functions.indicators import Indicator
 from ..functions.text import clean_text
 from ..functions.urls import article_id, profile_slug
@@ -25,6 +25,7 @@ def build_articles(
     store: DataFrame | None = None,
     converters: Mapping[str, Converter] | None = None,
     indicators: Mapping[str, Indicator] | None = None,
+    inline: Mapping[str, InlineConverter] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Articles of `(url, html, profile)` pages, and rejected pages with `errors`.
 
@@ -45,7 +46,7 @@ def build_articles(
         .unionByName(failed.select("url", "profile", F.array("reason").alias("errors")))
         .unionByName(unknown.select("url", "profile", F.array(F.lit("no profile")).alias("errors")))
     )
-    good = with_content(read.filter(F.size("errors") == 0), converters)
+    good = with_content(read.filter(F.size("errors") == 0), converters, inline)
     articles = good.select(
         article_id(F.col("url")).alias("id"),
         "meta.title",

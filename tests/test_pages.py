@@ -113,6 +113,19 @@ def test_blocks_and_markdown(one):
     assert markdown("<h2>x</h2>", table) == "X"
 
 
+def test_inline_converters(one):
+    def markdown(source, table):
+        return one(lambda t: html.blocks_markdown(html.text_blocks(t), None, table), t=source)
+
+    page = '<p>see <a title="t" href="/u?a=1&amp;b">the <b> bold </b> one</a>, <a>none</a> &amp; <em>more</em> <code>x</code></p>'
+    assert markdown(page, html.default_inline()) == "see [the **bold** one](/u?a=1&b), none & *more* `x`"
+    table = html.default_inline()
+    table["a"] = lambda text, tag: F.upper(text)
+    del table["em"]
+    assert markdown(page, table) == "see THE **BOLD** ONE, NONE & more `x`"
+    assert markdown("<p>plain</p><p><b>open", table) == "plain\n\nopen"
+
+
 @pytest.mark.parametrize(
     "css,steps",
     [
