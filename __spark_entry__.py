@@ -1294,6 +1294,19 @@ def query_articles(spark, sf):
     )
 
 
+@_query(f"""WITH {_ERRORS_SQL},
+found AS (SELECT doc_id::VARCHAR AS id FROM documents WHERE source IN ('src1', 'src2'))
+SELECT id, coalesce(field, 'valid') AS field FROM found LEFT JOIN errors USING (id)""")
+def query_checked(spark, sf):
+    """The articles of two sources, valid ones and each error of the others."""
+    sources = _table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("source").alias("profile"))
+    articles = _doubtful(spark, sf).join(sources, "id")
+    rules = quality.article_rules(_ts(AS_OF))
+    good, bad = quality.query_checked(articles, rules, sources=["src1", "src2"], fields=["title"])
+    listed = bad.select("id", F.inline_outer("errors")).select("id", "field")
+    return good.select("id", F.lit("valid").alias("field")).unionByName(listed)
+
+
 _CHOICE_SQL = """CASE WHEN quality = 1 AND toxic = 1 THEN '0, 3' WHEN quality = 1 THEN '6'
   WHEN toxic = 1 THEN '7' ELSE '' END"""
 

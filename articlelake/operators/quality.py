@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import assume_utc
 from ..functions.urls import is_valid_url
 from ..session import broadcast_if_bounded
+from .labels import query_articles
 from .merge import last_written
 
 #: field -> [(message, expression that is true for a good value)]
@@ -63,6 +64,16 @@ def validate(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def query_checked(articles: DataFrame, rules: Rules, **query) -> tuple[DataFrame, DataFrame]:
+    """What `labels.query_articles` finds, as its good rows and its bad rows with their errors.
+
+    Rules are checked on the rows found, before fields are left out; the bad rows keep all their fields.
+    """
+    fields, key = query.pop("fields", None), query.get("key", "id")
+    good, bad = validate(query_articles(articles, **query), rules)
+    return (good if fields is None else good.select(*dict.fromkeys([key, *fields]))), bad
+
+
 def apply_corrections(
     invalid: DataFrame,
     fixes: DataFrame,
