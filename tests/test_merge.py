@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
+from articlelake.functions import models
 from articlelake import session
 from articlelake.operators import corpus, labels, merge, quality
 from articlelake.plans import corpus as jobs
@@ -276,6 +277,15 @@ def test_vectors(spark):
     assert got["2"]["title"]["elser"] == {"blue": 4.0} and got["2"]["content_chunks"] is None
 
 
+def test_model_weigher(spark):
+    def load():
+        return lambda texts: [{t: len(t), "all": len(texts)} for t in texts]
+
+    texts = spark.createDataFrame([("ab",), (None,), ("",)], "t string").coalesce(1)
+    got = [r["v"] for r in texts.select(models.model_weigher(load)(F.col("t")).alias("v")).collect()]
+    assert got[1] is None and got[0] == {"ab": 2.0, "all": 2.0} and got[2] == {"": 0.0, "all": 2.0}
+
+
 def test_regenerated_tags(spark):
     stored = merge.align_schema(
         table(spark, "id string, content string", ("1", "odd odd odd T1059.001")), ARTICLE_SCHEMA
