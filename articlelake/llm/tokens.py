@@ -18,7 +18,7 @@ A file is Parquet with one row per block of whole documents:
 from __future__ import annotations
 
 import os
-import re
+import string
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -37,14 +37,18 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 STRETCH = 4096
 BLOCK_IDS = 1 << 16
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 END_ID = 2
 MAGIC = b"S8B1"
 #: Word pieces remembered by a worker before it starts anew.
 REMEMBERED = 1_500_000
 
-#: Letters of the first 256 characters, then marks that never join a letter's piece.
-_PLAIN_WORD = re.compile('([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|"#]*)$')
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+_SMALL = _LETTER & (np.arange(256) >= ord("a"))
+#: Never join a letter's piece.
+_MARK = np.zeros(256, bool)
+_MARK[list(b'.,;:!?|"#')] = True
 FILE_SCHEMA = "part int, seq int, before long, doc_ids array<long>, at array<long>, payload binary"
 
 
@@ -148,6 +152,39 @@ def _lower_ascii(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return out
 
 
+def _gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of some spans in a row, and the spans there."""
+    lengths = ends - starts
+    to = np.cumsum(lengths)
+    at = np.repeat(starts - (to - lengths), lengths) + np.arange(int(lengths.sum()))
+    return data[at], to - lengths, to
+
+
+def _plain_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the marks at the end of each span begin, and whether all before them, which is
+    something, are letters of the first 256 characters."""
+    core, at = ends.copy(), np.arange(len(ends))
+    while len(at):
+        at = at[core[at] > starts[at]]
+        at = at[_MARK[data[core[at] - 1]]]
+        core[at] -= 1
+    # From À to ÿ the first byte is C3; × and ÷ are no letters.
+    lead = data == 0xC3
+    good = _LETTER[data] | lead
+    good[1:] |= lead[:-1] & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    return core, (core > starts) & ~_any_not(good, starts, core)
+
+
+def _any_not(good: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each span holds a byte that is not good."""
+    bad = np.append(0, np.cumsum(~good, dtype=np.int32))
+    return bad[ends] > bad[starts]
+
+
+def _ids(tokenizer, texts: list[str]) -> list[list[int]]:
+    return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 class Encoder:
     """`encode` of the tokenizers library, remembering the pieces between blanks.
 
@@ -160,20 +197,34 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
+        self.letters = self._for_letters()
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self._forget()
 
+    def _for_letters(self):
+        """The same model for words of a to z, without the steps that leave those as they are."""
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        letters, normal, cut = string.ascii_lowercase, self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if normal is not None and normal.normalize_str(letters) != letters:
+            return self.tokenizer
+        if cut is None or [piece for piece, _ in cut.pre_tokenize_str(letters)] != [letters]:
+            return self.tokenizer
+        bare = Tokenizer(self.tokenizer.model)
+        bare.pre_tokenizer = WhitespaceSplit()
+        return bare
+
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}  # of a word or a row of marks among the kept
-        self.count, self.start, self.length = 0, np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.count, self.start, self.length = 0, np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
         self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
-        # Pieces seen, by hash in order, with a second hash and their place.
-        self.seen, self.proof, self.found = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        # Pieces seen, by hash in order, with a second hash and their place among the kept.
+        self.seen, self.proof, self.found = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int32)
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return _ids(self.tokenizer, texts)
 
     def _keep(self, ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Keep runs of ids; returns their places."""
@@ -187,57 +238,38 @@ class Encoder:
         self.used, self.count = self.used + len(ids), to
         return np.arange(at, to)
 
-    def _keep_lists(self, pieces: list[str]) -> None:
-        if pieces:
-            lists = self._plain(pieces)
+    def _encoded(self, pieces: list[str], joined=None) -> np.ndarray:
+        """Places of pieces that the tokenizer encodes; words of letters many at once, by `joined`."""
+        places = [np.zeros(0, np.int32)]
+        for at in range(0, len(pieces), 1000):
+            some = pieces[at : at + 1000]
+            if joined is not None:
+                # The last id of a word of letters is one that ends words.
+                ids = np.array(_ids(joined, [" ".join(some)])[0], np.int64)
+                ends = np.flatnonzero(self.ends[ids]) + 1
+                if len(ends) == len(some):
+                    starts = np.append(0, ends[:-1])
+                    places.append(self._keep(ids, starts, ends - starts))
+                    continue
+            lists = self._plain(some)
             lengths = np.array([len(x) for x in lists], np.int64)
             ids = np.array([i for x in lists for i in x], np.uint32)
-            places = self._keep(ids, np.cumsum(lengths) - lengths, lengths)
-            self.place.update(zip(pieces, places.tolist(), strict=True))
-
-    def _learn(self, pieces: list[str]) -> np.ndarray:
-        """Places of new pieces. Plain words are learnt in lower case and without the
-        marks after them, which the tokenizer makes a piece of its own."""
-        matches = [_PLAIN_WORD.match(p) for p in pieces]
-        plain = [i for i, m in enumerate(matches) if m]
-        odd = [i for i, m in enumerate(matches) if not m]
-        cores = [matches[i][1].lower() for i in plain]
-        marks = [matches[i][2] for i in plain]
-        words = [w for w in set(cores) if w not in self.place]
-        for at in range(0, len(words), 1000):
-            # The last id of a word of letters is one that ends words.
-            some = words[at : at + 1000]
-            ids = np.array(self._plain([" ".join(some)])[0], np.int64)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(some):
-                self._keep_lists(some)
-                continue
-            starts = np.append(0, ends[:-1])
-            self.place.update(zip(some, self._keep(ids, starts, ends - starts).tolist(), strict=True))
-        rest = set(marks).union(pieces[i] for i in odd)
-        self._keep_lists([p for p in rest if p not in self.place])
-        places = np.empty(len(pieces), np.int64)
-        places[odd] = [self.place[pieces[i]] for i in odd]
-        both = np.array([[self.place[w] for w in cores], [self.place[m] for m in marks]], np.int64).reshape(2, -1)
-        bare = np.array([m == "" for m in marks], bool)
-        lengths = self.length[both[:, ~bare]].sum(axis=0)
-        joined = self._keep(self._ids_at(both[:, ~bare].T.ravel()), np.cumsum(lengths) - lengths, lengths)
-        own = both[0].copy()
-        own[~bare] = joined
-        places[plain] = own
-        return places
+            places.append(self._keep(ids, np.cumsum(lengths) - lengths, lengths))
+        return np.concatenate(places)
 
-    def _ids_at(self, places: np.ndarray) -> np.ndarray:
-        lengths = self.length[places]
-        shift = (self.start[places] - (np.cumsum(lengths) - lengths)).astype(np.int32)
-        return self.flat[np.repeat(shift, lengths) + np.arange(int(lengths.sum()), dtype=np.int32)]
+    def _remember(self, values: np.ndarray, proof: np.ndarray, places: np.ndarray) -> None:
+        order = np.argsort(values)
+        at = np.searchsorted(self.seen, values[order])
+        self.seen = np.insert(self.seen, at, values[order])
+        self.proof = np.insert(self.proof, at, proof[order])
+        self.found = np.insert(self.found, at, places[order])
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts in a row, and the bounds between the texts."""
-        data, offsets = buffer_of(texts)
-        starts, ends, bounds = spans(data, offsets, BETWEEN_BLANKS)
-        if b"<|" not in data.tobytes():  # special tokens are known by their case
-            data = _lower_ascii(data, starts, ends)
+    def _places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray | None:
+        """Where the ids of each span are kept, those of new pieces too; None if two pieces have one hash.
+
+        Of a plain word the marks after it, which the tokenizer makes a piece of their
+        own, are learnt apart.
+        """
         which, values = pd.factorize(hashes(data, starts, ends))
         order = np.argsort(values)
         values, which = values[order], np.argsort(order)[which]
@@ -245,26 +277,58 @@ class Encoder:
         first[which] = np.arange(len(which))  # any of a piece's places will do
         second = hashes(data, starts, ends, SECOND)
         proof = second[first]
-        if self.count > REMEMBERED:
-            self._forget()
         at = np.searchsorted(self.seen, values)
         known = np.zeros(len(values), bool)
         inside = at < len(self.seen)
         known[inside] = self.seen[at[inside]] == values[inside]
-        if (second != proof[which]).any() or (self.proof[at[known]] != proof[known]).any():  # two pieces of one hash
+        if (second != proof[which]).any() or (self.proof[at[known]] != proof[known]).any():
+            return None
+        places = np.empty(len(values), np.int32)
+        places[known] = self.found[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            new = new[np.argsort(first[new])]  # spans in the order of the data
+            data, begin, end = _gathered(data, starts[first[new]], ends[first[new]])
+            core, plain = _plain_words(data, begin, end)
+            marked = plain & (core < end)
+            small = plain & ~_any_not(_SMALL[data], begin, end)
+            raw = data.tobytes()
+            for kind, joined in ((small, self.letters), (plain & ~marked & ~small, self.tokenizer), (~plain, None)):
+                here = new[kind]
+                pieces = [raw[a:b].decode() for a, b in zip(begin[kind].tolist(), end[kind].tolist(), strict=True)]
+                places[here] = self._encoded(pieces, joined)
+                self._remember(values[here], proof[here], places[here])
+            if marked.any():
+                words = self._places(*_gathered(data, begin[marked], core[marked]))
+                marks = self._places(*_gathered(data, core[marked], end[marked]))
+                if words is None or marks is None:
+                    return None
+                both = np.stack([words, marks])
+                lengths = self.length[both].sum(axis=0, dtype=np.int64)
+                here = new[marked]
+                places[here] = self._keep(self._ids_at(both.T.ravel()), np.cumsum(lengths) - lengths, lengths)
+                self._remember(values[here], proof[here], places[here])
+        return places[which]
+
+    def _ids_at(self, places: np.ndarray) -> np.ndarray:
+        lengths = self.length[places]
+        shift = (self.start[places] - (np.cumsum(lengths, dtype=np.int64) - lengths)).astype(np.int32)
+        return self.flat[np.repeat(shift, lengths) + np.arange(int(lengths.sum()), dtype=np.int32)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and the bounds between the texts."""
+        data, offsets = buffer_of(texts)
+        starts, ends, bounds = spans(data, offsets, BETWEEN_BLANKS)
+        if b"<|" not in data.tobytes():  # special tokens are known by their case
+            data = _lower_ascii(data, starts, ends)
+        if self.count > REMEMBERED:
+            self._forget()
+        places = self._places(data, starts, ends)
+        if places is None:
             lists = self._plain(texts.fill_null("").to_pylist())
             limits = np.cumsum([0, *map(len, lists)])
             return np.array([i for x in lists for i in x], np.uint32), limits
-        raw, new = data.tobytes(), first[~known]
-        pieces = [raw[a:b].decode() for a, b in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
-        places = np.empty(len(values), np.int64)
-        places[known] = self.found[at[known]]
-        places[~known] = self._learn(pieces)
-        self.seen = np.insert(self.seen, at[~known], values[~known])
-        self.proof = np.insert(self.proof, at[~known], proof[~known])
-        self.found = np.insert(self.found, at[~known], places[~known])
-        places = places[which]
-        limits = np.append(0, np.cumsum(self.length[places]))
+        limits = np.append(0, np.cumsum(self.length[places], dtype=np.int64))
         return self._ids_at(places), limits[bounds]
 
 

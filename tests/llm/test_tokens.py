@@ -72,3 +72,32 @@ def test_capitals_with_marks(beside):
     library = Tokenizer.from_file(tokens.word_tokenizer())
     want = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert [ids[a:b].tolist() for a, b in zip(limits, limits[1:], strict=False)] == want
+
+
+def test_remembered_pieces_are_small():
+    """A worker keeps no texts of the pieces that it has met."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    texts = ["".join(chr(97 + c) for c in row) + "." for row in rng.integers(0, 26, (40_000, 9))]
+    encoder = tokens.Encoder(tokens.word_tokenizer())
+    batches = [pa.array([" ".join(texts[i : i + 2000])]) for i in range(0, len(texts), 2000)]
+    encoder.encode(pa.array(["warm up"]))
+    tracemalloc.start()
+    for batch in batches:
+        encoder.encode(batch)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 200 * len(texts)
+
+
+def test_marks_and_letters_apart():
+    import pyarrow as pa
+
+    texts = ["Élan élan× naïve, word. word.. WORD ... #a a# \"#", "÷ ×, ÿ. ç.C Ã, x", None, "word, ... élan. <|endoftext|>."]
+    ids, limits = tokens.Encoder(tokens.word_tokenizer()).encode(pa.array(texts))
+    library = Tokenizer.from_file(tokens.word_tokenizer())
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(limits, limits[1:], strict=False)] == want
