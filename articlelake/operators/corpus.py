@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.binding import let
 from ..functions.indicators import Indicator, extract_indicators
 from ..functions.tags import frequent_tokens, without_words
-from ..functions.text import clean_text, tokenize
+from ..functions.text import clean_text, clean_texts, tokenize
+from ..session import scratch_dir
 
 
 def token_counts(docs: DataFrame, key: str = "id", text: str = "content") -> DataFrame:
@@ -151,28 +152,37 @@ def article_texts(articles: DataFrame) -> DataFrame:
 def sparse_embed(articles: DataFrame, model: Weigher | None = None) -> DataFrame:
     """Replace all vectors of `embeddings` by fresh ones.
 
-    `model` maps a text column to `map<string,float>`; it may be a pandas UDF.
-    Without one, weights are TF-IDF over the articles' own texts, by the exact
-    number of texts that hold a token. Articles without chunks keep a null chunk
-    list. An article is known by its id and its texts, so articles that share an
-    id, or have none, get their own vectors.
+    `model` maps a text column to `map<string,float>`; it may be a pandas UDF. One that
+    has a method `of_lists`, as `model_weigher` makes it, weighs all texts of an article
+    in its row, which needs no shuffle. Without a model, weights are TF-IDF over the
+    articles' own texts, by the exact number of texts that hold a token. Articles
+    without chunks keep a null chunk list. Articles that share an id, or have none,
+    get their own vectors.
     """
-    keyed = articles.withColumn("__key", F.md5(F.to_json(F.struct(_texts(articles).alias("t")))))
-    parts = keyed.select("id", "__key", F.posexplode(_texts(articles)).alias("at", "text"))
-    if model is not None:
-        weighed = parts.withColumn("elser", F.map_entries(model(F.col("text"))))
-        entries = weighed.select("id", "__key", "at", "elser").distinct()
-    else:
-        entries = _tfidf(parts)
-    vectors = entries.groupBy(F.col("id").alias("__id"), F.col("__key").alias("__k")).agg(
-        F.map_from_entries(F.collect_list(F.struct("at", "elser"))).alias("__vectors")
+    if model is None:
+        return _with_vectors(_tfidf(articles))
+    if hasattr(model, "of_lists"):
+        return _with_vectors(articles.withColumn("__vectors", model.of_lists(_texts(articles))))
+    # Articles move once, with their texts weighed on the way; each is its own group.
+    whole = F.struct(*[F.col(f"`{c}`") for c in articles.columns])
+    texts = F.transform(_texts(articles), lambda t, i: F.struct(t.alias("text"), F.when(i == 0, whole).alias("all")))
+    placed = articles.select(F.monotonically_increasing_id().alias("__row"), texts.alias("__parts"))
+    parts = placed.select("__row", F.posexplode_outer("__parts").alias("at", "part"))
+    entry = F.struct("at", F.map_entries(model(F.col("part.text"))).alias("elser"))
+    rows = parts.select("__row", F.col("part.all").alias("all"), entry.alias("entry")).groupBy("__row").agg(
+        F.first("all", ignorenulls=True).alias("__all"), F.sort_array(F.collect_list("entry")).alias("__entries")
     )
-    same = keyed["id"].eqNullSafe(vectors["__id"]) & (keyed["__key"] == vectors["__k"])
+    vectors = F.transform("__entries", lambda e: F.map_from_entries(e["elser"]))
+    return _with_vectors(rows.select("__all.*", vectors.alias("__vectors")))
+
+
+def _with_vectors(articles: DataFrame) -> DataFrame:
+    """Put `__vectors`, one for each of `_texts`, where the vectors of an article belong."""
 
     def vector(at: Column, text: Column) -> Column:
         none = F.array().cast("array<struct<key:string,value:float>>")
-        found = F.coalesce(F.try_element_at(F.col("__vectors"), at), none)
-        return F.when(text.isNotNull(), F.map_from_entries(found))
+        found = F.coalesce(F.get("__vectors", at), F.map_from_entries(none))
+        return F.when(text.isNotNull(), found)
 
     chunks = F.transform(
         "embeddings.content_chunks",
@@ -183,27 +193,62 @@ def sparse_embed(articles: DataFrame, model: Weigher | None = None) -> DataFrame
         F.struct(vector(F.lit(1), F.col("description")).alias("elser")).alias("description"),
         chunks.alias("content_chunks"),
     )
-    joined = keyed.join(vectors, same, "left").withColumn("embeddings", fresh)
-    return joined.drop("__key", "__id", "__k", "__vectors")
+    return articles.withColumn("embeddings", fresh).drop("__vectors")
 
 
-def _tfidf(parts: DataFrame) -> DataFrame:
-    """`(id, __key, at, elser)` with the weights of each text as sorted entries.
+def _tfidf(articles: DataFrame) -> DataFrame:
+    """Articles with `__vectors`: the weights of each of their texts.
 
-    Counts are made in the row of the text. Tokens meet their frequency by a
-    join that Spark splits where a token is in very many texts, or broadcasts
-    where the frequencies turn out to be few.
+    Texts are cut into words and counted in the row, once, and written with the
+    article. Its words then meet their frequencies as (row, place, word); back come
+    the frequencies alone, in the order of the places. Spark splits that join where a
+    word is in very many texts, or broadcasts the frequencies where they are few.
     """
-    words = F.sort_array(_words(clean_text(F.col("text"))))
-    texts = parts.select("id", "__key", "at", words.alias("words")).filter(F.size("words") > 0)
-    counted = texts.select("id", "__key", "at", F.inline_outer(let(F.col("words"), _runs)))
-    frequencies = counted.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    total = parts.filter("text is not null").agg(F.count(F.lit(1)).alias("texts"))
-    weight = F.col("n") * (F.log((F.col("texts") + 1) / (F.col("df") + 1)) + 1)
-    weighed = counted.join(frequencies, "token").join(F.broadcast(total)).select(
-        "id", "__key", "at", F.struct(F.col("token").alias("key"), weight.cast("float").alias("value")).alias("entry")
+    spark = articles.sparkSession
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        path = scratch_dir(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    none = F.array().cast("array<struct<token:string,n:int>>")
+
+    def count(text: Column) -> Column:
+        words = F.sort_array(_words(text))
+        runs = let(words, lambda w: F.when(F.size(w) > 0, _runs(w)).otherwise(none))
+        return F.when(text.isNotNull(), runs)
+
+    counts = F.transform(clean_texts(_texts(articles)), count)
+    placed = articles.withColumn("__counts", counts).withColumn("__row", F.monotonically_increasing_id())
+    placed = stored(placed, "counted")
+
+    words = F.flatten(F.transform("__counts", lambda c: F.coalesce(c, none)["token"]))
+    pairs = placed.select("__row", F.posexplode_outer(words).alias("nth", "token")).filter("token is not null")
+    frequencies = stored(pairs.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "frequencies")
+    total = placed.agg(F.sum(F.size(F.filter("__counts", lambda c: c.isNotNull()))).alias("texts"))
+    met = pairs.join(frequencies, "token").groupBy(F.col("__row").alias("__r")).agg(
+        F.sort_array(F.collect_list(F.struct("nth", "df"))).alias("__met")
     )
-    return weighed.groupBy("id", "__key", "at").agg(F.collect_set("entry").alias("elser"))
+    joined = placed.join(met, F.col("__row") == F.col("__r"), "left").join(F.broadcast(total))
+
+    # A mark before the words of each text says how many come before them.
+    mark = F.array(F.lit(True))
+    marked = F.flatten(F.transform("__counts", lambda c: F.concat(mark, F.transform(F.coalesce(c, none), lambda _: F.lit(False)))))
+    ends = F.filter(F.transform(marked, lambda m, i: F.when(m, i)), lambda i: i.isNotNull())
+    before = F.transform(ends, lambda i, k: i - k)
+
+    def weights(before: Column) -> Column:
+        def of_text(counts: Column, k: Column) -> Column:
+            def weight(c: Column, i: Column) -> Column:
+                df = F.get("__met", F.get(before, k) + i)["df"]
+                value = c["n"] * (F.log((F.col("texts") + 1) / (df + 1)) + 1)
+                return F.struct(c["token"].alias("key"), value.cast("float").alias("value"))
+
+            return F.map_from_entries(F.transform(counts, weight))
+
+        return F.transform("__counts", of_text)
+
+    return joined.withColumn("__vectors", let(before, weights)).drop("__counts", "__row", "__r", "__met", "texts")
 
 
 def _runs(words: Column) -> Column:

@@ -277,6 +277,55 @@ def test_vectors(spark):
     assert got["2"]["title"]["elser"] == {"blue": 4.0} and got["2"]["content_chunks"] is None
 
 
+def odd_articles(spark):
+    def vectors(*texts):
+        return ((None,), (None,), [(t, None) for t in texts])
+
+    twice = ("1", "red car", "fast car", vectors("car car", "", None, "red", "'x", "— é car"))
+    rows = [twice, twice, ("1", "other", None, vectors()), (None, None, None, None), (None, "", "", vectors("", None))]
+    schema = (
+        "id string, title string, description string, embeddings struct<"
+        "title:struct<elser:map<string,float>>,description:struct<elser:map<string,float>>,"
+        "content_chunks:array<struct<text:string,elser:map<string,float>>>>"
+    )
+    return spark.createDataFrame(rows, schema).repartition(2)
+
+
+def own_models():
+    def load():
+        return lambda texts: [{w: float(t.split().count(w)) for w in t.split()} for t in texts]
+
+    whole = models.model_weigher(load)
+    return whole, lambda t: whole(t)
+
+
+def test_vectors_of_odd_articles(spark):
+    for model in (None, *own_models()):
+        got = corpus.sparse_embed(odd_articles(spark), model).collect()
+        assert sorted(str(r["title"]) for r in got) == ["", "None", "other", "red car", "red car"]
+        for r in got:
+            e = r["embeddings"]
+            if r["title"] == "red car":
+                chunks = [c["elser"] for c in e["content_chunks"]]
+                assert set(e["title"]["elser"]) == {"red", "car"} and chunks[2] is None and chunks[1] == {}
+                assert set(chunks[0]) == {"car"} and set(chunks[3]) == {"red"} and "car" in chunks[5]
+            elif r["title"] is None:
+                assert e["title"]["elser"] is None and e["content_chunks"] is None
+            elif r["title"] == "":
+                assert e["title"]["elser"] == {} and [c["elser"] for c in e["content_chunks"]] == [{}, None]
+
+
+def exchanged(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_vectors_move_little(spark):
+    """A model's vectors stay in the article's row; an article without a model moves once, its words as pairs once each way."""
+    assert exchanged(corpus.sparse_embed(odd_articles(spark), own_models()[0])) == 0
+    assert exchanged(corpus.sparse_embed(odd_articles(spark), own_models()[1])) == 1
+    assert exchanged(corpus.sparse_embed(odd_articles(spark))) <= 4
+
+
 def test_model_weigher(spark):
     def load():
         return lambda texts: [{t: len(t), "all": len(texts)} for t in texts]
