@@ -213,16 +213,16 @@ def mix(
 def mixed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """Rows of `docs` as often as the mix takes them, columns as they are.
 
-    A document is taken whole in each pass over its source in which the mix
-    takes its first word, so a source is at most one document over its target.
-    Rows alike in id, text and source share their passes, rounded up.
+    A document is taken whole each time a slot of the schedule takes its first
+    word, so a source is at most one document over its target. Rows alike in id,
+    text and source share their times, rounded up.
     """
     plan = mix(docs, key, text, source, **how)
-    goal = F.floor(F.col("target") + 0.5)
-    rounds = F.floor(goal / F.col("source_size"))
-    placed = plan.docs.filter("size > 0").join(plan.sources.select("sid", "source", "source_size", "target"), "sid")
-    passes = rounds + (F.col("at") < goal - rounds * F.col("source_size")).cast("int")
-    taken = placed.groupBy("doc_id", "text_hash", "source").agg(F.ceil(F.avg(passes)).cast("int").alias("__times"))
+    begun = plan.pieces.filter("offset = 0").groupBy("sid", "bucket", "row").agg(F.count(F.lit(1)).alias("times"))
+    placed = plan.docs.filter("size > 0").join(begun, ["sid", "bucket", "row"], "left")
+    placed = placed.join(plan.sources.select("sid", "source"), "sid")
+    times = F.ceil(F.avg(F.coalesce("times", F.lit(0)))).cast("int")
+    taken = placed.groupBy("doc_id", "text_hash", "source").agg(times.alias("__times"))
     taken = written(taken.filter("__times > 0"), "taken").select(
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("source").alias("__source"), "__times"
     )

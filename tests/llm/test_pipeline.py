@@ -39,3 +39,12 @@ def test_stages_take_odd_rows(spark, sf, odd, none):
             rows = stage(spark, rows, sf)
             assert rows.columns in (odd.columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
         rows.collect()
+
+
+def test_mixing_follows_its_schedule(monkeypatch, docs):
+    """What the schedule leaves out is not in the mixed rows, and the stage changes what is encoded."""
+    all_rows = mixing.mixed_rows(docs).count()
+    assert all_rows > docs.count()
+    whole = mixing._schedule
+    monkeypatch.setattr(mixing, "_schedule", lambda *a: whole(*a).filter("rank = 0"))
+    assert 0 < mixing.mixed_rows(docs).count() < all_rows
