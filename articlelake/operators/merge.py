@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.urls import article_id
-from ..session import broadcast_if_bounded, fits_broadcast
+from ..session import broadcast_if_bounded, fits_broadcast, scratch_dir
 
 
 # ------------------------------------------------------------------------ presence
@@ -141,16 +141,25 @@ def delete_by_id(store: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame
 
     A long list of keys is first reduced to those the store has, by keys alone:
     for a batch of mostly new articles few remain, and the store stays in place.
+    Keys may come of whole files that have to be read for them, and are looked at
+    several times: each is worked out once and written.
     """
-    keys = ids.select(key)
+    keys = _written(ids.select(key), "keys")
     if fits_broadcast(keys):
         gone = F.broadcast(keys)
     else:
         held = store.select(key).join(keys, key, "left_semi").distinct()
-        gone = broadcast_if_bounded(held)
+        gone = broadcast_if_bounded(_written(held, "held"))
     return store.join(gone, key, "left_anti")
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder and read back."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def rekey(store: DataFrame, order: Sequence[str] = ("inserted_at",)) -> DataFrame:
     """Give every article the md5 of its url as id.
 

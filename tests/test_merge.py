@@ -341,3 +341,20 @@ def test_regenerated_tags(spark):
     )
     row = jobs.regenerate_tags(stored, []).first()
     assert row["tags"]["automatic"] == ["odd"] and row["tags"]["interesting"][0]["name"] == "MITRE IDs"
+
+
+def test_keys_are_worked_out_once(spark):
+    """Keys of a delete may come of whole files; each is read once for them."""
+    from pyspark.sql import types as T
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(value):
+        seen.add(1)
+        return value
+
+    ids = spark.createDataFrame([("a",), ("c",), (None,), ("c",)], "id string")
+    ids = ids.select(F.udf(noted, T.StringType()).asNondeterministic()("id").alias("id"))
+    store = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "id string")
+    got = [r["id"] for r in merge.delete_by_id(store, ids).collect()]
+    assert sorted(got, key=str) == [None, "b", "b"] and seen.value == 4
