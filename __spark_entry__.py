@@ -19,7 +19,7 @@ from articlelake.operators import corpus, labels, merge, pages, quality
 from articlelake.plans import build, gather
 from articlelake.plans import corpus as jobs
 from articlelake.schemas import ARTICLE_SCHEMA, COPIED_FIELDS
-from articlelake.session import scratch_dir, spread
+from articlelake.session import scratch_dir, small_batches, spread
 from articlelake.sources import readers, writers
 from articlelake.sources.buckets import BucketStore
 from articlelake.sources.store import ArticleStore
@@ -80,6 +80,7 @@ SPAN = 60 * 24 * 60 * 60
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    small_batches(spark)
     table = spark.read.parquet(f"{sf}/{name}.parquet")
     return spread(table) if name in ("documents", "pages") else table
 
