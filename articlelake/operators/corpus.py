@@ -16,20 +16,30 @@ from ..functions.binding import let
 from ..functions.indicators import Indicator, extract_indicators
 from ..functions.tags import frequent_tokens, without_words
 from ..functions.text import clean_text, clean_texts, tokenize
-from ..session import scratch_dir
+from ..session import broadcast_if_bounded, scratch_dir
 
 
 def token_counts(docs: DataFrame, key: str = "id", text: str = "content") -> DataFrame:
     """Occurrences and first position of each token of each document.
 
-    The key of the shuffle is (document, token), so a huge document spreads.
+    Words of a document that is one row, as most are, are counted there and do not
+    move. Rows that share a key meet by (document, token), counted first, so a key of
+    very many rows spreads.
     """
-    words = docs.select(
-        key, F.posexplode_outer(tokenize(F.col(text))).alias("pos", "token")
-    ).filter("token is not null")
-    return words.groupBy(key, "token").agg(
-        F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos")
+    placed = F.transform(tokenize(F.col(text)), lambda t, i: F.struct(t.alias("token"), i.alias("pos")))
+    own = let(F.sort_array(placed), lambda w: F.when(F.size(w) > 0, _placed_runs(w)))
+    repeated = docs.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__rows")).filter("__rows > 1")
+    repeated = broadcast_if_bounded(repeated.select("__key"))
+    same = F.col(key).eqNullSafe(F.col("__key"))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.select(key, F.inline_outer(own)).filter("token is not null")
+
+    single = counted(docs.join(repeated, same, "left_anti"))
+    shared = counted(docs.join(repeated, same, "left_semi")).groupBy(key, "token").agg(
+        F.sum("n").alias("n"), F.min("first_pos").alias("first_pos")
     )
+    return single.unionByName(shared)
 
 
 def with_top_tags(
@@ -251,6 +261,26 @@ def _tfidf(articles: DataFrame) -> DataFrame:
     return joined.withColumn("__vectors", let(before, weights)).drop("__counts", "__row", "__r", "__met", "texts")
 
 
+def _placed_runs(words: Column) -> Column:
+    """`(token, n, first_pos)` of sorted `(token, pos)`."""
+    last = F.filter(
+        F.sequence(F.lit(1), F.size(words)),
+        lambda i: (i == F.size(words)) | (F.get(words, i)["token"] != F.get(words, i - 1)["token"]),
+    )
+
+    def entry(ends: Column) -> Column:
+        def one(end: Column, k: Column) -> Column:
+            start = F.when(k == 0, 0).otherwise(F.get(ends, k - 1))
+            return let(
+                F.get(words, start),
+                lambda w: F.struct(w["token"].alias("token"), (end - start).cast("bigint").alias("n"), w["pos"].alias("first_pos")),
+            )
+
+        return F.transform(ends, one)
+
+    return let(last, entry)
+
+
 def _runs(words: Column) -> Column:
     """`(token, n)` of sorted words."""
     ends = F.filter(

@@ -266,3 +266,39 @@ def test_spread_dates(spark):
     low, high, n = drawn.agg(F.min("d"), F.max("d"), F.count_distinct("d")).first()
     assert str(low) >= "2024-01-01" and str(high) < "2024-01-02" and n > 400
     assert drawn.collect() == drawn.collect()
+
+
+def test_counts_of_repeated_keys(spark):
+    rows = [(1, "a b a"), (1, "b a c"), (None, "x x"), (None, "y x"), (2, "a  b"), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "id long, content string").repartition(2)
+    got = {tuple(r) for r in corpus.token_counts(docs).collect()}
+    assert got == {
+        (1, "a", 3, 0), (1, "b", 2, 0), (1, "c", 1, 2), (None, "x", 3, 0), (None, "y", 1, 0),
+        (2, "a", 1, 0), (2, "b", 1, 1), (4, "", 1, 0),
+    }
+
+
+def test_words_of_single_rows_stay(spark):
+    docs = spark.createDataFrame([(i, "some words some") for i in range(20)], "id long, content string")
+    counts = corpus.token_counts(docs)
+    assert counts.count() == 40
+    counts.collect()
+    plan = counts._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "isFinalPlan=true" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_queries_keep_batches_small(spark, sf):
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).parents[1]))
+    import __spark_entry__ as registry
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        registry.queries()["top_tags_word_table"](spark, sf)
+        assert int(spark.conf.get(key)) <= 500
+    finally:
+        spark.conf.set(key, before)
