@@ -185,8 +185,12 @@ def _any_not(good: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return bad[ends] > bad[starts]
 
 
+#: Longer pieces are hashed by `hashes`, whose tables take 67 MB of each worker.
+_WIDE = 256
+
+
 def _keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes of every span: of up to 16 bytes from those as two numbers, else as `hashes` has them."""
+    """Two 64-bit hashes of every span: of up to 256 bytes from those, eight as one number, else as `hashes` has them."""
     room = np.append(data, np.zeros(16, np.uint8))
     eight = np.ndarray(len(data) + 9, "<u8", room, 0, (1,))  # the eight bytes from each place on
     size = ends - starts
@@ -194,7 +198,12 @@ def _keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     high = eight[np.minimum(starts + 8, len(data))] & _HELD[np.clip(size - 8, 0, 8)]
     first = mix(mix(low) + high * SECOND + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     second = mix(high + np.uint64(0x632BE59BD9B4E019)) + low * np.uint64(0x9E3779B97F4A7C15) + size.astype(np.uint64)
-    wide = np.flatnonzero(size > 16)
+    at, more = 16, np.flatnonzero((size > 16) & (size <= _WIDE))
+    while len(more):
+        part = eight[starts[more] + at] & _HELD[np.minimum(size[more] - at, 8)]
+        first[more], second[more] = mix(first[more] + part * SECOND), mix(second[more] ^ part)
+        at, more = at + 8, more[size[more] > at + 8]
+    wide = np.flatnonzero(size > _WIDE)
     if len(wide):
         part = _gathered(data, starts[wide], ends[wide])
         first[wide], second[wide] = hashes(*part), hashes(*part, SECOND)

@@ -119,7 +119,7 @@ def test_small_accented_letters_take_the_short_way(monkeypatch):
 
 
 def test_short_pieces_need_no_powers(monkeypatch):
-    """Pieces of up to 16 bytes are told apart by their bytes; no table of powers, 67 MB in each worker, is made."""
+    """Pieces of up to 256 bytes are told apart by their bytes; no table of powers, 67 MB in each worker, is made."""
     import pyarrow as pa
 
     from articlelake.llm import words
@@ -128,7 +128,9 @@ def test_short_pieces_need_no_powers(monkeypatch):
     encoder = tokens.Encoder(tokens.word_tokenizer())
     texts = ["a ab abcdefgh abcdefghi abcdefghijklmnop bcdefghijklmnop \0 \0\0 a\0 a\0\0 abcdefgh\0 \0a", None, "", "a"]
     library = Tokenizer.from_file(tokens.word_tokenizer())
-    for some in (texts, [*texts, "abcdefghijklmnopq abcdefghijklmnopq\0 abcdefghijklmnop\0 " + "x" * 70]):
+    ends = ["x" * n + c for n in (15, 16, 17, 23, 24, 25, 31, 32, 33, 255) for c in "ab\0"]
+    texts.append(" ".join(["abcdefghijklmnopq abcdefghijklmnopq\0 abcdefghijklmnop\0", *ends]))
+    for some in (texts, [*texts, " ".join(end * n for n in (256, 300) for end in "xy")]):
         ids, limits = encoder.encode(pa.array(some))
         want = [library.encode(t or "", add_special_tokens=False).ids for t in some]
         assert [ids[a:b].tolist() for a, b in zip(limits, limits[1:], strict=False)] == want
