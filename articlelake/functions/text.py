@@ -6,6 +6,8 @@ that one runs as an Arrow function, and rows of plain ASCII send it a null.
 
 from __future__ import annotations
 
+import functools
+import operator
 import unicodedata
 
 import pandas as pd
@@ -22,6 +24,8 @@ DASHES = (
 
 # Java's Unicode white space lacks the four separators U+001C..U+001F.
 _RARE_SPACE = r"[\x1c-\x1f]"
+# Without these, some steps of cutting a text into words change nothing.
+_RARE_MARKS = "'\u2019{\u201c\"()"
 _MARKS = r"[,.\"'/\\:-]"
 
 
@@ -67,17 +71,27 @@ def clean_texts(texts: Column) -> Column:
 
 def tokenize(text: Column) -> Column:
     """Lower-case words of cleaned text; empty strings may remain between spaces."""
-    usual = _split_words(text, r"\s", r"\S")
-    exact = _split_words(text, r"[\s\x1c-\x1f]", r"[^\s\x1c-\x1f]")
-    return F.when(text.rlike(_RARE_SPACE), exact).otherwise(usual)
+    return F.split(spaced_words(text), " ")
 
 
-def _split_words(text: Column, space: str, ink: str) -> Column:
-    text = F.regexp_replace(text, f"(?U)['\u2019]{ink}*", "")
+def spaced_words(text: Column) -> Column:
+    """The words of `tokenize` as one string, in which they lie between spaces."""
+    usual = _spaced_words(text, r"\s", r"\S")
+    exact = _spaced_words(text, r"[\s\x1c-\x1f]", r"[^\s\x1c-\x1f]")
+    plain = _spaced_words(text, r"\s")
+    marked = functools.reduce(operator.or_, [F.contains(text, F.lit(m)) for m in _RARE_MARKS])
+    return F.when(text.rlike(_RARE_SPACE), exact).when(marked, usual).otherwise(plain)
+
+
+def _spaced_words(text: Column, space: str, ink: str | None = None) -> Column:
+    """Without `ink`, `text` has nothing of `_RARE_MARKS`, and the steps that would find nothing are left out."""
+    if ink is not None:
+        text = F.regexp_replace(text, f"(?U)['\u2019]{ink}*", "")
     # The look-behind tries each run of marks once, so long rules stay linear.
     edge = f"(?U){space}{_MARKS}+|{_MARKS}(?<!{_MARKS}{{2}}){_MARKS}*+{space}"
     text = F.regexp_replace(text, edge, " ")
-    text = F.regexp_replace(text, r"(?d)\{.*\}", "")
-    text = F.regexp_replace(text, "[\u201c\"()]", " ")
+    if ink is not None:
+        text = F.regexp_replace(text, r"(?d)\{.*\}", "")
+        text = F.regexp_replace(text, "[\u201c\"()]", " ")
     text = F.regexp_replace(text, f"(?U){space}[^a-zA-Z]*{space}", " ")
-    return F.split(F.lower(text), " ")
+    return F.lower(text)

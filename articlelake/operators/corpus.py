@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import weights
 from ..functions.binding import let
 from ..functions.indicators import Indicator, extract_indicators
 from ..functions.tags import frequent_tokens, without_words
-from ..functions.text import clean_text, clean_texts, tokenize
+from ..functions.text import clean_text, clean_texts, spaced_words, tokenize
 from ..session import broadcast_if_bounded, scratch_dir
 
 
@@ -206,59 +207,45 @@ def _with_vectors(articles: DataFrame) -> DataFrame:
     return articles.withColumn("embeddings", fresh).drop("__vectors")
 
 
+#: Articles of a block, by a power of two. Larger blocks move fewer words, smaller ones spread better.
+BLOCK_BITS = 13
+
+
 def _tfidf(articles: DataFrame) -> DataFrame:
     """Articles with `__vectors`: the weights of each of their texts.
 
-    Texts are cut into words and counted in the row, once, and written with the
-    article. Its words then meet their frequencies as (row, place, word); back come
-    the frequencies alone, in the order of the places. Spark splits that join where a
-    word is in very many texts, or broadcasts the frequencies where they are few.
+    Articles are written once, in blocks of neighbours. A block's words are counted
+    together and only they move, once each, to meet their frequencies and back; so
+    does an article, to its block's words. A word that comes back is in several texts
+    of the corpus, any other is in one.
     """
     spark = articles.sparkSession
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        path = scratch_dir(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    none = F.array().cast("array<struct<token:string,n:int>>")
-
-    def count(text: Column) -> Column:
-        words = F.sort_array(_words(text))
-        runs = let(words, lambda w: F.when(F.size(w) > 0, _runs(w)).otherwise(none))
-        return F.when(text.isNotNull(), runs)
-
-    counts = F.transform(clean_texts(_texts(articles)), count)
-    placed = articles.withColumn("__counts", counts).withColumn("__row", F.monotonically_increasing_id())
-    placed = stored(placed, "counted")
-
-    words = F.flatten(F.transform("__counts", lambda c: F.coalesce(c, none)["token"]))
-    pairs = placed.select("__row", F.posexplode_outer(words).alias("nth", "token")).filter("token is not null")
-    frequencies = stored(pairs.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "frequencies")
-    total = placed.agg(F.sum(F.size(F.filter("__counts", lambda c: c.isNotNull()))).alias("texts"))
-    met = pairs.join(frequencies, "token").groupBy(F.col("__row").alias("__r")).agg(
-        F.sort_array(F.collect_list(F.struct("nth", "df"))).alias("__met")
-    )
-    joined = placed.join(met, F.col("__row") == F.col("__r"), "left").join(F.broadcast(total))
-
-    # A mark before the words of each text says how many come before them.
-    mark = F.array(F.lit(True))
-    marked = F.flatten(F.transform("__counts", lambda c: F.concat(mark, F.transform(F.coalesce(c, none), lambda _: F.lit(False)))))
-    ends = F.filter(F.transform(marked, lambda m, i: F.when(m, i)), lambda i: i.isNotNull())
-    before = F.transform(ends, lambda i, k: i - k)
-
-    def weights(before: Column) -> Column:
-        def of_text(counts: Column, k: Column) -> Column:
-            def weight(c: Column, i: Column) -> Column:
-                df = F.get("__met", F.get(before, k) + i)["df"]
-                value = c["n"] * (F.log((F.col("texts") + 1) / (df + 1)) + 1)
-                return F.struct(c["token"].alias("key"), value.cast("float").alias("value"))
-
-            return F.map_from_entries(F.transform(counts, weight))
-
-        return F.transform("__counts", of_text)
-
-    return joined.withColumn("__vectors", let(before, weights)).drop("__counts", "__row", "__r", "__met", "texts")
+    chunks = F.transform("embeddings.content_chunks", lambda c: F.struct(c["text"].alias("text")))
+    path = scratch_dir(spark, "articles")
+    placed = articles.withColumns({
+        "embeddings": F.struct(chunks.alias("content_chunks")),  # stale vectors stay behind
+        "__block": F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS),
+        "__texts": F.size(F.filter(_texts(articles), lambda t: t.isNotNull())),
+    })
+    placed.write.option("compression", "zstd").parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
+    total = placed.agg(F.coalesce(F.sum("__texts"), F.lit(0))).first()[0]
+
+    def idf(df: Column) -> Column:
+        return F.log((F.lit(total) + 1) / (df + 1)) + 1
+
+    def spaced(rows: DataFrame) -> Column:
+        return F.transform(clean_texts(_texts(rows)), spaced_words)
+
+    counts = placed.select("__block", spaced(placed).alias("__spaced")).mapInArrow(weights.count_words, weights.COUNTED)
+    df = F.sum("n").over(W.partitionBy("token"))
+    known = counts.select("block", "token", df.alias("df")).filter("df > 1").toDF("__block", "__token", "__df")
+
+    both = placed.drop("__texts").unionByName(known, allowMissingColumns=True)
+    both = both.repartition("__block").sortWithinPartitions("__block", F.col("__token").isNull())
+    vectors = weights.weigh("__block", "__token", idf(F.col("__df")), spaced(both), idf(F.lit(1)))
+    weighed = both.withColumn("__vectors", vectors).filter("__token is null")
+    return weighed.drop("__block", "__token", "__df")
 
 
 def _placed_runs(words: Column) -> Column:
@@ -281,25 +268,6 @@ def _placed_runs(words: Column) -> Column:
     return let(last, entry)
 
 
-def _runs(words: Column) -> Column:
-    """`(token, n)` of sorted words."""
-    ends = F.filter(
-        F.sequence(F.lit(1), F.size(words)),
-        lambda i: (i == F.size(words)) | (F.get(words, i) != F.get(words, i - 1)),
-    )
-
-    def entry(ends: Column) -> Column:
-        return F.transform(
-            ends,
-            lambda end, k: F.struct(
-                F.get(words, end - 1).alias("token"),
-                (end - F.when(k == 0, 0).otherwise(F.get(ends, k - 1))).alias("n"),
-            ),
-        )
-
-    return let(ends, entry)
-
-
 def without_vectors(articles: DataFrame) -> DataFrame:
     """Drop every stored vector, at the top level and inside each chunk."""
     bare = F.transform(

@@ -1,12 +1,18 @@
+import math
+import unicodedata
+from collections import Counter
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from articlelake.functions import models
+from articlelake.functions import models, weights
 from articlelake import session
 from articlelake.operators import corpus, labels, merge, quality
 from articlelake.plans import corpus as jobs
 from articlelake.schemas import ARTICLE_SCHEMA
+from articlelake.session import scratch_dir
 
 
 def table(spark, schema, *rows):
@@ -326,6 +332,62 @@ def test_vectors_move_little(spark):
     assert exchanged(corpus.sparse_embed(odd_articles(spark))) <= 4
 
 
+def test_articles_without_a_model_move_once(spark):
+    """Words move once a block to their frequencies; back they come with the articles."""
+    assert exchanged(corpus.sparse_embed(odd_articles(spark))) == 2
+
+
+def worded_articles(spark):
+    words = ["car", "red", "sky", "é", "blue"]
+
+    def line(i):
+        return " ".join([words[i % 5], words[i * i % 5], f"w{i // 3}", f"only{i}", words[i % 2]])
+
+    rows = [(str(i % 7), line(i), None if i % 4 else "sky", ((None,), (None,), chunks(line(i + 9), line(i)))) for i in range(50)]
+    return spark.createDataFrame(rows, odd_articles(spark).schema).repartition(3)
+
+
+def test_vectors_of_many_blocks(spark, monkeypatch):
+    for bits in (1, 13):
+        monkeypatch.setattr(corpus, "BLOCK_BITS", bits)
+        articles = worded_articles(spark)
+        texts = [t.split() for r in articles.collect() for t in (r["title"], r["description"], *(c["text"] for c in r["embeddings"]["content_chunks"])) if t]
+        df = Counter(w for t in texts for w in {unicodedata.normalize("NFKD", w) for w in t})
+        assert min(df.values()) == 1 < max(df.values())
+        got = corpus.sparse_embed(articles).collect()
+        assert len(got) == 50
+        for r in got:
+            e = r["embeddings"]
+            pairs = [(r["title"], e["title"]["elser"]), *((c["text"], c["elser"]) for c in e["content_chunks"])]
+            for text, vector in pairs:
+                n = Counter(unicodedata.normalize("NFKD", text).split())
+                assert vector == pytest.approx({w: k * (math.log((len(texts) + 1) / (df[w] + 1)) + 1) for w, k in n.items()})
+            assert (e["description"]["elser"] is None) == (r["description"] is None)
+
+
+@pytest.mark.parametrize("held", [1, 1000])
+def test_words_are_counted_by_block(monkeypatch, held):
+    monkeypatch.setattr(weights, "HELD_WORDS", held)
+    def batch(blocks, *texts):
+        return pa.record_batch([pa.array(blocks, pa.int64()), pa.array(texts, pa.list_(pa.string()))], names=["b", "t"])
+
+    rows = batch([1, 1], ["a  b a", None], ["b", ""]), batch([1, 2, 3], ["b c"], ["a", "a"], [None])
+    got = [r for b in weights.count_words(iter(rows)) for r in b.to_pylist()]
+    total = Counter()
+    for r in got:
+        total[r["block"], r["token"]] += r["n"]
+    assert total == {(1, "a"): 1, (1, "b"): 3, (1, "c"): 1, (2, "a"): 2}
+    assert held == 1 or len(got) == 4
+
+
+def test_neither_words_nor_stale_vectors_are_written(spark, monkeypatch):
+    paths = []
+    monkeypatch.setattr(corpus, "scratch_dir", lambda s, name: paths.append(scratch_dir(s, name)) or paths[-1])
+    corpus.sparse_embed(odd_articles(spark))
+    (written,) = [spark.read.parquet(p).schema for p in paths]
+    assert "map<" not in written.simpleString() and "n:int" not in written.simpleString()
+
+
 def test_model_weigher(spark):
     def load():
         return lambda texts: [{t: len(t), "all": len(texts)} for t in texts]

@@ -302,3 +302,15 @@ def test_queries_keep_batches_small(spark, sf):
         assert int(spark.conf.get(key)) <= 500
     finally:
         spark.conf.set(key, before)
+
+
+def test_texts_without_rare_marks_skip_steps_without_effect(spark):
+    raw = ["", "a, b -- 5 c.", "it's a", "x ’s y", "{a} b {c", "“q” (r)", 'say "a, b"', "a 7 8 b\x1fc", "é : ﬁ", "( 5 )", None]
+    rows = spark.createDataFrame([(t,) for t in raw], "t string")
+    whole = F.split(text._spaced_words(F.col("t"), r"\s", r"\S"), " ")
+    for r in rows.select("t", text.tokenize(F.col("t")).alias("w"), whole.alias("all")).collect():
+        assert r["w"] == r["all"] or "\x1f" in r["t"]
+    plain = F.col("t").rlike("^[^'’{“\"()\x1c-\x1f]*$")
+    few = text._spaced_words(F.col("t"), r"\s")
+    got = rows.filter(plain).select(few.alias("a"), F.array_join(whole, " ").alias("b")).collect()
+    assert len(got) == 3 and all(r["a"] == r["b"] for r in got)
